@@ -3,37 +3,85 @@
 A plain ``avg`` of doubles depends on the order in which partial sums meet, so
 the same query can round to a different second decimal on another run, another
 partitioning or another micro-batch split.  Readings carry at most
-``MEASURE_SCALE`` decimals, so summing them as decimals is exact, and the
-mean is the exact sum divided by the count.  Decimal sums stay map-side
-combinable (partial + final aggregate), so they cost one extra cast per row.
-Non-finite inputs (NaN, +-Infinity) cannot be decimals and are left out.
+``MEASURE_SCALE`` decimals, so each value is an exact integer number of
+``10**-MEASURE_SCALE`` units, and integer sums are exact and order-free.
+
+Summing those integers as DECIMAL keeps 128-bit buffers, which Spark cannot
+hold in its fast fixed-width aggregation rows (measured ~6x slower than
+``avg``).  Instead each unit count ``v`` is split as ``v = hi * 2**20 + lo``
+with ``0 <= lo < 2**20``; ``sum(hi)`` and ``sum(lo)`` are plain LONG sums
+(codegen'd, map-side combinable) that cannot overflow below ~8e12 rows per
+group, and are joined into one exact DECIMAL(38,0) only once per group.
+Non-finite inputs (NaN, +-Infinity) have no unit count and are left out.
+
+Expressions are built as SQL text and turned into one Column with a single
+``F.expr`` call: the same plan as nested ``F.*`` calls, without hundreds of
+driver-to-JVM round trips per query.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from stationflow.schema import MEASURE_SCALE
 
+_UNIT = f"{10**MEASURE_SCALE}D"
+_SPLIT_BITS = 20
+_LOW_MASK = (1 << _SPLIT_BITS) - 1
+
+
+def units_sql(expr: str) -> str:
+    """Exact integer number of 10**-MEASURE_SCALE units (null if not finite)."""
+    return f"try_cast(rint(({expr}) * {_UNIT}) AS BIGINT)"
+
+
+def _total_sql(units: str) -> str:
+    hi = f"CAST(sum(shiftright({units}, {_SPLIT_BITS})) AS DECIMAL(38,0))"
+    lo = f"CAST(sum({units} & {_LOW_MASK}) AS DECIMAL(38,0))"
+    return f"(CAST({hi} * {1 << _SPLIT_BITS} + {lo} AS DOUBLE) / {_UNIT})"
+
+
+def exact_sum_sql(expr: str) -> str:
+    return _total_sql(units_sql(expr))
+
+
+def exact_mean_sql(expr: str) -> str:
+    units = units_sql(expr)
+    return f"({_total_sql(units)} / count({units}))"
 
-def _as_decimal(col: str | Column) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast(DecimalType(18, MEASURE_SCALE))
 
+def r2_sql(expr: str, digits: int = 2) -> str:
+    """``round(x, digits)``: HALF_UP on the shortest decimal text of the double."""
+    return f"round({expr}, {digits})"
 
-def exact_sum(col: str | Column) -> Column:
-    """Order-independent sum of a double column (null when no value)."""
-    return F.sum(_as_decimal(col)).cast("double")
 
+def exact_sum(expr: str) -> Column:
+    """Order-independent sum of a double expression (null when no value)."""
+    return F.expr(exact_sum_sql(expr))
 
-def exact_mean(col: str | Column) -> Column:
-    """Order-independent mean of a double column (null when no value)."""
-    d = _as_decimal(col)
-    return F.sum(d).cast("double") / F.count(d)
+
+def exact_mean(expr: str) -> Column:
+    """Order-independent mean of a double expression (null when no value)."""
+    return F.expr(exact_mean_sql(expr))
 
 
 def r2(c: Column, digits: int = 2) -> Column:
-    """``round(c, digits)``, HALF_UP on the shortest decimal text of the double."""
     return F.round(c, digits)
+
+
+def agg_exprs(spec: dict[str, str]) -> list[Column]:
+    """``{alias: sql}`` -> aliased Columns, one ``F.expr`` each."""
+    return [F.expr(f"{sql} AS `{alias}`") for alias, sql in spec.items()]
+
+
+def rounded_mean(expr: str, digits: int = 2) -> str:
+    return r2_sql(exact_mean_sql(expr), digits)
+
+
+def rounded_sum(expr: str, digits: int = 2) -> str:
+    return r2_sql(exact_sum_sql(expr), digits)
+
+
+def rounded(expr: str, digits: int = 2) -> str:
+    return r2_sql(expr, digits)

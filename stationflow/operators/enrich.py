@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from stationflow.functions.time import wall_clock
+from stationflow.schema import TIMESTAMP_FORMAT
 
 
 def enrich_time(df: DataFrame) -> DataFrame:
@@ -15,16 +15,15 @@ def enrich_time(df: DataFrame) -> DataFrame:
     Text that does not parse gives a null timestamp (and null date/hour/month)
     instead of failing the job.  ``month`` ignores the year, as the reports do.
     """
-    ts = F.col("timestamp")
     if isinstance(df.schema["timestamp"].dataType, StringType):
-        ts = wall_clock("timestamp")
+        ts = f"CAST(try_to_timestamp(`timestamp`, '{TIMESTAMP_FORMAT}') AS TIMESTAMP_NTZ)"
     else:
-        ts = ts.cast("timestamp_ntz")
-    out = df.withColumn("timestamp", ts)
+        ts = "CAST(`timestamp` AS TIMESTAMP_NTZ)"
+    out = df.withColumn("timestamp", F.expr(ts))
     return out.withColumns(
         {
-            "date": F.to_date("timestamp"),
-            "hour": F.hour("timestamp").cast("int"),
-            "month": F.month("timestamp").cast("int"),
+            "date": F.expr("to_date(`timestamp`)"),
+            "hour": F.expr("CAST(hour(`timestamp`) AS INT)"),
+            "month": F.expr("CAST(month(`timestamp`) AS INT)"),
         }
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.measures import exact_mean, r2
+from stationflow.functions.measures import agg_exprs, exact_mean_sql
 from stationflow.schema import READING_COLUMNS
 
 
@@ -24,15 +24,19 @@ def feed_summary(df: DataFrame) -> DataFrame:
     no task ever sees more than its share of station ids.
     """
     agg = df.agg(
-        F.count(F.lit(1)).alias("message_count"),
-        F.count_distinct("station_id").alias("_distinct"),
-        F.max(F.col("station_id").isNull().cast("int")).alias("_null_station"),
-        F.count_if(F.coalesce(F.col("is_anomaly"), F.lit(False))).alias("anomaly_count"),
-        exact_mean(F.coalesce(F.col("temperature_c"), F.lit(0.0))).alias("_mean"),
+        *agg_exprs(
+            {
+                "message_count": "count(1)",
+                "_distinct": "count(DISTINCT station_id)",
+                "_null_station": "max(CAST(station_id IS NULL AS INT))",
+                "anomaly_count": "count_if(coalesce(is_anomaly, false))",
+                "_mean": exact_mean_sql("coalesce(temperature_c, 0D)"),
+            }
+        )
     )
-    return agg.select(
+    return agg.selectExpr(
         "message_count",
-        (F.col("_distinct") + F.coalesce(F.col("_null_station"), F.lit(0))).alias("station_count"),
+        "_distinct + coalesce(_null_station, 0) AS station_count",
         "anomaly_count",
-        F.coalesce(r2(F.col("_mean")), F.lit(0.0)).alias("avg_temp"),
+        "coalesce(round(_mean, 2), 0D) AS avg_temp",
     )

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.measures import exact_mean
+from stationflow.functions.measures import agg_exprs, exact_mean_sql
 from stationflow.plans.broadcast import broadcast_if_bounded
 from stationflow.plans.storage import materialize
 from stationflow.schema import OUTLIER_SIGMAS
@@ -37,10 +37,14 @@ def station_baseline(df: DataFrame) -> DataFrame:
     one reading has a null deviation and so never yields an outlier.
     """
     return df.groupBy("station_id").agg(
-        exact_mean("temperature_c").alias("mean_temp"),
-        F.stddev_samp("temperature_c").alias("std_temp"),
-        exact_mean("wind_speed_kmh").alias("mean_wind"),
-        F.stddev_samp("wind_speed_kmh").alias("std_wind"),
+        *agg_exprs(
+            {
+                "mean_temp": exact_mean_sql("temperature_c"),
+                "std_temp": "stddev_samp(temperature_c)",
+                "mean_wind": exact_mean_sql("wind_speed_kmh"),
+                "std_wind": "stddev_samp(wind_speed_kmh)",
+            }
+        )
     )
 
 

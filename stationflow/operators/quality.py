@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.measures import exact_mean, r2
+from stationflow.functions.measures import agg_exprs, exact_mean_sql
 from stationflow.functions.time import event_time
 from stationflow.schema import (
     ANOMALY_RATE_BAND,
@@ -75,26 +75,28 @@ def diurnal_contrast(
 ) -> DataFrame:
     """Per station: mean temperature in two time-of-day and two seasonal slices,
     and the differences (afternoon - night, summer - winter)."""
-    temp = F.col("temperature_c")
-
-    def sliced(pred):
-        return exact_mean(F.when(pred, temp))
+    def sliced(pred: str) -> str:
+        return exact_mean_sql(f"CASE WHEN {pred} THEN temperature_c END")
 
     per = df.groupBy("station_id", "station_name").agg(
-        sliced(F.col("hour") == afternoon_hour).alias("_a"),
-        sliced(F.col("hour") == night_hour).alias("_n"),
-        sliced(F.col("month") == summer_month).alias("_s"),
-        sliced(F.col("month") == winter_month).alias("_w"),
+        *agg_exprs(
+            {
+                "_a": sliced(f"hour = {afternoon_hour}"),
+                "_n": sliced(f"hour = {night_hour}"),
+                "_s": sliced(f"month = {summer_month}"),
+                "_w": sliced(f"month = {winter_month}"),
+            }
+        )
     )
-    return per.select(
+    return per.selectExpr(
         "station_id",
         "station_name",
-        r2(F.col("_a")).alias("afternoon_avg"),
-        r2(F.col("_n")).alias("night_avg"),
-        r2(F.col("_a") - F.col("_n")).alias("diurnal_delta"),
-        r2(F.col("_s")).alias("summer_avg"),
-        r2(F.col("_w")).alias("winter_avg"),
-        r2(F.col("_s") - F.col("_w")).alias("seasonal_delta"),
+        "round(_a, 2) AS afternoon_avg",
+        "round(_n, 2) AS night_avg",
+        "round(_a - _n, 2) AS diurnal_delta",
+        "round(_s, 2) AS summer_avg",
+        "round(_w, 2) AS winter_avg",
+        "round(_s - _w, 2) AS seasonal_delta",
     )
 
 

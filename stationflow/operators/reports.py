@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.measures import exact_mean, exact_sum, r2
+from stationflow.functions.measures import agg_exprs, r2, rounded, rounded_mean, rounded_sum
 from stationflow.operators.stats import hourly_profile
 from stationflow.schema import DAY_OVER_DAY_THRESHOLD, RAIN_THRESHOLD
 
@@ -29,10 +29,14 @@ def monthly_trend(raw: DataFrame) -> DataFrame:
     return (
         raw.groupBy("month")
         .agg(
-            r2(exact_mean("temperature_c")).alias("avg_temp"),
-            r2(F.min("temperature_c")).alias("min_temp"),
-            r2(F.max("temperature_c")).alias("max_temp"),
-            F.count(F.lit(1)).alias("total_readings"),
+            *agg_exprs(
+                {
+                    "avg_temp": rounded_mean("temperature_c"),
+                    "min_temp": rounded("min(temperature_c)"),
+                    "max_temp": rounded("max(temperature_c)"),
+                    "total_readings": "count(1)",
+                }
+            )
         )
         .orderBy("month")
     )
@@ -43,8 +47,12 @@ def anomaly_leaderboard(daily: DataFrame) -> DataFrame:
     return (
         daily.groupBy("station_id", "station_name")
         .agg(
-            F.sum("anomaly_count").alias("total_anomalies"),
-            r2(exact_mean("avg_temp")).alias("avg_daily_temp"),
+            *agg_exprs(
+                {
+                    "total_anomalies": "sum(anomaly_count)",
+                    "avg_daily_temp": rounded_mean("avg_temp"),
+                }
+            )
         )
         .orderBy(F.desc("total_anomalies"))
     )
@@ -65,11 +73,15 @@ def station_conditions(daily: DataFrame) -> DataFrame:
     return (
         daily.groupBy("station_name")
         .agg(
-            r2(exact_mean("avg_temp")).alias("overall_avg_temp"),
-            r2(exact_mean("avg_humidity")).alias("overall_avg_humidity"),
-            r2(exact_mean("avg_wind_speed")).alias("overall_avg_wind"),
-            r2(exact_sum("total_precipitation")).alias("total_rain"),
-            F.sum("anomaly_count").alias("total_anomalies"),
+            *agg_exprs(
+                {
+                    "overall_avg_temp": rounded_mean("avg_temp"),
+                    "overall_avg_humidity": rounded_mean("avg_humidity"),
+                    "overall_avg_wind": rounded_mean("avg_wind_speed"),
+                    "total_rain": rounded_sum("total_precipitation"),
+                    "total_anomalies": "sum(anomaly_count)",
+                }
+            )
         )
         .orderBy(F.desc("overall_avg_temp"))
     )

@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.measures import exact_mean, exact_sum, r2
+from stationflow.functions.measures import agg_exprs, rounded, rounded_mean, rounded_sum
 from stationflow.schema import GUST_THRESHOLD
 
 DAILY_KEYS = ["station_id", "station_name", "date"]
+COUNT_ALL = "count(1)"
+COUNT_ANOMALIES = "count_if(coalesce(is_anomaly, false))"
 
 
 def _order(df: DataFrame, ordered: bool, *cols) -> DataFrame:
@@ -25,15 +27,19 @@ def _order(df: DataFrame, ordered: bool, *cols) -> DataFrame:
 def daily_station_stats(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Per (station, day): rounded means/extremes, rain total, counts."""
     out = df.groupBy(*DAILY_KEYS).agg(
-        r2(exact_mean("temperature_c")).alias("avg_temp"),
-        r2(F.min("temperature_c")).alias("min_temp"),
-        r2(F.max("temperature_c")).alias("max_temp"),
-        r2(exact_mean("humidity_pct")).alias("avg_humidity"),
-        r2(exact_mean("pressure_hpa")).alias("avg_pressure"),
-        r2(exact_mean("wind_speed_kmh")).alias("avg_wind_speed"),
-        r2(exact_sum("precipitation_mm")).alias("total_precipitation"),
-        F.count(F.lit(1)).alias("num_readings"),
-        F.count_if(F.coalesce(F.col("is_anomaly"), F.lit(False))).alias("anomaly_count"),
+        *agg_exprs(
+            {
+                "avg_temp": rounded_mean("temperature_c"),
+                "min_temp": rounded("min(temperature_c)"),
+                "max_temp": rounded("max(temperature_c)"),
+                "avg_humidity": rounded_mean("humidity_pct"),
+                "avg_pressure": rounded_mean("pressure_hpa"),
+                "avg_wind_speed": rounded_mean("wind_speed_kmh"),
+                "total_precipitation": rounded_sum("precipitation_mm"),
+                "num_readings": COUNT_ALL,
+                "anomaly_count": COUNT_ANOMALIES,
+            }
+        )
     )
     return _order(out, ordered, "station_id", "date")
 
@@ -41,13 +47,17 @@ def daily_station_stats(df: DataFrame, ordered: bool = True) -> DataFrame:
 def daily_station_stats_compact(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Per (station, day) without pressure or anomaly count (the Scala variant)."""
     out = df.groupBy(*DAILY_KEYS).agg(
-        r2(exact_mean("temperature_c")).alias("avg_temp"),
-        r2(F.min("temperature_c")).alias("min_temp"),
-        r2(F.max("temperature_c")).alias("max_temp"),
-        r2(exact_mean("humidity_pct")).alias("avg_humidity"),
-        r2(exact_mean("wind_speed_kmh")).alias("avg_wind"),
-        r2(exact_sum("precipitation_mm")).alias("total_precip"),
-        F.count(F.lit(1)).alias("readings"),
+        *agg_exprs(
+            {
+                "avg_temp": rounded_mean("temperature_c"),
+                "min_temp": rounded("min(temperature_c)"),
+                "max_temp": rounded("max(temperature_c)"),
+                "avg_humidity": rounded_mean("humidity_pct"),
+                "avg_wind": rounded_mean("wind_speed_kmh"),
+                "total_precip": rounded_sum("precipitation_mm"),
+                "readings": COUNT_ALL,
+            }
+        )
     )
     return _order(out, ordered, "station_id", "date")
 
@@ -55,12 +65,16 @@ def daily_station_stats_compact(df: DataFrame, ordered: bool = True) -> DataFram
 def monthly_stats(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Per calendar month over all stations and years (month ignores the year)."""
     out = df.groupBy("month").agg(
-        r2(exact_mean("temperature_c")).alias("avg_temp"),
-        r2(F.min("temperature_c")).alias("min_temp"),
-        r2(F.max("temperature_c")).alias("max_temp"),
-        r2(exact_mean("humidity_pct")).alias("avg_humidity"),
-        r2(exact_sum("precipitation_mm")).alias("total_precipitation"),
-        F.count(F.lit(1)).alias("num_readings"),
+        *agg_exprs(
+            {
+                "avg_temp": rounded_mean("temperature_c"),
+                "min_temp": rounded("min(temperature_c)"),
+                "max_temp": rounded("max(temperature_c)"),
+                "avg_humidity": rounded_mean("humidity_pct"),
+                "total_precipitation": rounded_sum("precipitation_mm"),
+                "num_readings": COUNT_ALL,
+            }
+        )
     )
     return _order(out, ordered, "month")
 
@@ -68,9 +82,13 @@ def monthly_stats(df: DataFrame, ordered: bool = True) -> DataFrame:
 def station_ranking(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Stations by mean temperature, warmest first (no rank column)."""
     out = df.groupBy("station_id", "station_name").agg(
-        r2(exact_mean("temperature_c")).alias("avg_temp"),
-        r2(exact_mean("wind_speed_kmh")).alias("avg_wind"),
-        r2(exact_sum("precipitation_mm")).alias("total_precip"),
+        *agg_exprs(
+            {
+                "avg_temp": rounded_mean("temperature_c"),
+                "avg_wind": rounded_mean("wind_speed_kmh"),
+                "total_precip": rounded_sum("precipitation_mm"),
+            }
+        )
     )
     return _order(out, ordered, F.desc("avg_temp"))
 
@@ -78,9 +96,13 @@ def station_ranking(df: DataFrame, ordered: bool = True) -> DataFrame:
 def hourly_profile(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Diurnal cycle: means per hour of day over all stations."""
     out = df.groupBy("hour").agg(
-        r2(exact_mean("temperature_c")).alias("avg_temp"),
-        r2(exact_mean("humidity_pct")).alias("avg_humidity"),
-        r2(exact_mean("wind_speed_kmh")).alias("avg_wind"),
+        *agg_exprs(
+            {
+                "avg_temp": rounded_mean("temperature_c"),
+                "avg_humidity": rounded_mean("humidity_pct"),
+                "avg_wind": rounded_mean("wind_speed_kmh"),
+            }
+        )
     )
     return _order(out, ordered, "hour")
 
@@ -88,10 +110,14 @@ def hourly_profile(df: DataFrame, ordered: bool = True) -> DataFrame:
 def station_extremes(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Record low/high, mean and sample standard deviation of temperature per station."""
     out = df.groupBy("station_id", "station_name").agg(
-        r2(F.min("temperature_c")).alias("record_low"),
-        r2(F.max("temperature_c")).alias("record_high"),
-        r2(exact_mean("temperature_c")).alias("mean_temp"),
-        r2(F.stddev_samp("temperature_c")).alias("stddev_temp"),
+        *agg_exprs(
+            {
+                "record_low": rounded("min(temperature_c)"),
+                "record_high": rounded("max(temperature_c)"),
+                "mean_temp": rounded_mean("temperature_c"),
+                "stddev_temp": rounded("stddev_samp(temperature_c)"),
+            }
+        )
     )
     return _order(out, ordered, F.desc("record_high"))
 
@@ -101,9 +127,6 @@ def gusty_days(df: DataFrame, threshold: float = GUST_THRESHOLD, ordered: bool =
     out = (
         df.where(F.col("wind_speed_kmh") > threshold)
         .groupBy("station_name", "date")
-        .agg(
-            r2(F.max("wind_speed_kmh"), 1).alias("max_gust"),
-            F.count(F.lit(1)).alias("high_wind_readings"),
-        )
+        .agg(*agg_exprs({"max_gust": rounded("max(wind_speed_kmh)", 1), "high_wind_readings": COUNT_ALL}))
     )
     return _order(out, ordered, F.desc("max_gust"))

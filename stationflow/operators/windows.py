@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.measures import exact_mean, r2
+from stationflow.functions.measures import agg_exprs, rounded, rounded_mean
 from stationflow.schema import WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE
 
 
@@ -27,12 +27,16 @@ def sliding_window_stats(
     """``window`` struct, station id/name and six rounded measures per window."""
     src = df.withWatermark(time_col, watermark) if watermark else df
     return src.groupBy(F.window(time_col, size, slide), "station_id", "station_name").agg(
-        r2(exact_mean("temperature_c")).alias("avg_temp"),
-        r2(F.max("temperature_c")).alias("max_temp"),
-        r2(F.min("temperature_c")).alias("min_temp"),
-        r2(exact_mean("humidity_pct")).alias("avg_humidity"),
-        r2(exact_mean("wind_speed_kmh")).alias("avg_wind"),
-        F.count(F.lit(1)).alias("reading_count"),
+        *agg_exprs(
+            {
+                "avg_temp": rounded_mean("temperature_c"),
+                "max_temp": rounded("max(temperature_c)"),
+                "min_temp": rounded("min(temperature_c)"),
+                "avg_humidity": rounded_mean("humidity_pct"),
+                "avg_wind": rounded_mean("wind_speed_kmh"),
+                "reading_count": "count(1)",
+            }
+        )
     )
 
 

@@ -311,6 +311,14 @@ def oracle_queries() -> dict[str, str]:
     for key in ("csv_roundtrip", "parquet_roundtrip", "warehouse_roundtrip"):
         q[key] = q["enriched_readings"]
     q["decoded_payloads"] = _readings(f'SELECT {WIRE_COLUMNS_SQL}, "timestamp" AS event_time FROM readings')
+    q["encoded_payloads"] = _readings(
+        f"""SELECT to_json(struct_pack(station_id := station_id, station_name := station_name,
+                  latitude := latitude, longitude := longitude, "timestamp" := {WIRE_TS},
+                  temperature_c := temperature_c, humidity_pct := humidity_pct, pressure_hpa := pressure_hpa,
+                  wind_speed_kmh := wind_speed_kmh, wind_direction := wind_direction,
+                  precipitation_mm := precipitation_mm, is_anomaly := is_anomaly)) AS value
+           FROM readings"""
+    )
     # Streams: the batch form of the same operator.
     q["alerts_stream"] = q["alerts"]
     q["sliding_window_stream"] = q["sliding_window_stats"]

@@ -23,6 +23,7 @@ def build_session(master: str | None = None, app: str = "stationflow", shuffle_p
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),

@@ -1,0 +1,18 @@
+"""Partitioning guards."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_unsplit_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A Parquet file with a single row group (or a gzip CSV) cannot be split, so
+    a small fact table can arrive as one partition and run every per-row
+    expression in one task.  Spreading it once lets the per-row work and the
+    partial aggregates use every core.  At scale the fact table arrives in
+    thousands of splits and this is a no-op: no extra shuffle is planned.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from stationflow.functions.time import event_time
 from stationflow.operators import feed, outliers, quality, reports, stats, summary
 from stationflow.operators.alerts import alert_records
 from stationflow.operators.enrich import enrich_time
@@ -66,8 +67,13 @@ def q_station_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("station_id", *[F.round(c, 6).alias(c) for c in ("mean_temp", "std_temp", "mean_wind", "std_wind")])
 
 
+def with_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire readings with the parsed ``event_time`` (what the stream decoder adds)."""
+    return wire(spark, sf_dir).withColumn("event_time", event_time("timestamp"))
+
+
 def q_sliding_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_window(sliding_window_stats(decoded(spark, sf_dir)))
+    return flatten_window(sliding_window_stats(with_event_time(spark, sf_dir)))
 
 
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +190,7 @@ def queries() -> dict[str, Query]:
         "day_over_day_change": lambda s, d: reports.day_over_day_change(daily(s, d)),
         "alerts": lambda s, d: alert_records(wire(s, d)),
         "sliding_window_stats": q_sliding_window_stats,
-        "feed_summary": lambda s, d: feed.feed_summary(decoded(s, d)),
+        "feed_summary": lambda s, d: feed.feed_summary(wire(s, d)),
         "run_summary": q_run_summary,
         "contract_report": lambda s, d: quality.contract_report(wire(s, d)),
         "anomaly_rate": lambda s, d: quality.anomaly_rate(e(s, d)),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.plans.partitioning import spread_unsplit_scan
 from stationflow.schema import COMPASS, READING_COLUMNS, TIMESTAMP_FORMAT
 
 # --- Fixed values of the fixture mapping (see FIXTURES.md §2). ---
@@ -40,7 +41,7 @@ def readings_from_events(events: DataFrame, nation: DataFrame) -> DataFrame:
         .groupBy(F.col("n_nationkey").cast("long").alias("_s"))
         .agg(F.max("n_name").alias("station_name"))
     )
-    base = events.selectExpr(
+    base = spread_unsplit_scan(events).selectExpr(
         "event_id",
         "ts",
         "user_id",

@@ -1,0 +1,52 @@
+from conftest import reading
+
+from stationflow.operators.alerts import alert_records
+
+
+def _alerts(make_readings, rows):
+    return {(r["station_id"], r["alert_type"], r["alert_severity"]) for r in alert_records(make_readings(rows)).collect()}
+
+
+def test_thresholds_are_strict(make_readings):
+    rows = [
+        reading(station_id="A", temperature_c=40.0),
+        reading(station_id="B", temperature_c=-10.0),
+        reading(station_id="C", wind_speed_kmh=80.0),
+        reading(station_id="D", pressure_hpa=980.0),
+    ]
+    assert _alerts(make_readings, rows) == set()
+
+
+def test_precedence_and_severity(make_readings):
+    rows = [
+        reading(station_id="HEAT", temperature_c=41.0, wind_speed_kmh=90.0),
+        reading(station_id="COLD", temperature_c=-11.0, wind_speed_kmh=90.0),
+        reading(station_id="WIND", temperature_c=None, wind_speed_kmh=90.0),
+        reading(station_id="STORM", pressure_hpa=979.9),
+    ]
+    assert _alerts(make_readings, rows) == {
+        ("HEAT", "EXTREME_HEAT", "CRITICAL"),
+        ("COLD", "EXTREME_COLD", "WARNING"),
+        ("WIND", "DANGEROUS_WIND", "CRITICAL"),
+        ("STORM", "LOW_PRESSURE_STORM", "WARNING"),
+    }
+
+
+def test_all_null_measures_never_alert(make_readings):
+    rows = [reading(temperature_c=None, wind_speed_kmh=None, pressure_hpa=None)]
+    assert _alerts(make_readings, rows) == set()
+
+
+def test_alert_columns(make_readings):
+    out = alert_records(make_readings([reading(temperature_c=45.0)]))
+    assert out.columns == [
+        "station_id",
+        "station_name",
+        "timestamp",
+        "temperature_c",
+        "wind_speed_kmh",
+        "pressure_hpa",
+        "alert_type",
+        "alert_severity",
+    ]
+    assert out.collect()[0]["timestamp"] == "2024-01-01 00:00:00"

@@ -1,0 +1,64 @@
+import datetime as dt
+
+from conftest import reading
+
+from stationflow.operators import reports, stats
+from stationflow.operators.enrich import enrich_time
+
+
+def _daily(make_readings, rows):
+    return stats.daily_station_stats(enrich_time(make_readings(rows)), ordered=False)
+
+
+def test_day_over_day_skips_gaps(make_readings):
+    rows = [
+        reading(timestamp="2024-01-01 12:00:00", temperature_c=0.0),
+        reading(timestamp="2024-01-02 12:00:00", temperature_c=10.0),
+        reading(timestamp="2024-01-04 12:00:00", temperature_c=30.0),
+    ]
+    out = reports.day_over_day_change(_daily(make_readings, rows)).collect()
+    assert [(r["day"], r["current_avg"], r["previous_avg"], r["temp_change"]) for r in out] == [
+        (dt.date(2024, 1, 2), 10.0, 0.0, 10.0)
+    ]
+
+
+def test_day_over_day_threshold_is_strict(make_readings):
+    rows = [
+        reading(timestamp="2024-01-01 12:00:00", temperature_c=0.0),
+        reading(timestamp="2024-01-02 12:00:00", temperature_c=5.0),
+    ]
+    assert reports.day_over_day_change(_daily(make_readings, rows)).count() == 0
+
+
+def test_rainy_days_threshold_and_order(make_readings):
+    rows = [
+        reading(station_name="A", timestamp="2024-01-01 00:00:00", precipitation_mm=5.0),
+        reading(station_name="B", timestamp="2024-01-01 00:00:00", precipitation_mm=6.0),
+        reading(station_name="C", timestamp="2024-01-01 00:00:00", precipitation_mm=6.0),
+    ]
+    rows = [dict(r, station_id=r["station_name"]) for r in rows]
+    out = reports.rainy_days(_daily(make_readings, rows)).collect()
+    assert [r["station_name"] for r in out] == ["B", "C"]
+
+
+def test_hottest_days_top_k_with_ties(make_readings):
+    rows = [
+        reading(station_id=s, station_name=s, timestamp=f"2024-01-0{d} 00:00:00", temperature_c=t)
+        for s, d, t in [("A", 1, 30.0), ("B", 1, 30.0), ("A", 2, 31.0), ("C", 3, 1.0), ("B", 4, 29.0), ("C", 5, 30.0)]
+    ]
+    out = reports.hottest_days(_daily(make_readings, rows)).collect()
+    assert [(r["station_name"], r["date"].day) for r in out] == [("A", 2), ("A", 1), ("B", 1), ("C", 5), ("B", 4)]
+
+
+def test_leaderboard_and_conditions_average_daily_means(make_readings):
+    rows = [
+        reading(timestamp="2024-01-01 00:00:00", temperature_c=10.0, is_anomaly=True),
+        reading(timestamp="2024-01-01 01:00:00", temperature_c=20.0),
+        reading(timestamp="2024-01-02 00:00:00", temperature_c=0.0, is_anomaly=True),
+    ]
+    daily = _daily(make_readings, rows)
+    lb = reports.anomaly_leaderboard(daily).collect()[0]
+    # unweighted mean of daily means (15.0 and 0.0), not of raw readings
+    assert (lb["total_anomalies"], lb["avg_daily_temp"]) == (2, 7.5)
+    sc = reports.station_conditions(daily).collect()[0]
+    assert (sc["overall_avg_temp"], sc["total_anomalies"]) == (7.5, 2)

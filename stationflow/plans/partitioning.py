@@ -14,5 +14,9 @@ def spread_unsplit_scan(df: DataFrame) -> DataFrame:
     partial aggregates use every core.  At scale the fact table arrives in
     thousands of splits and this is a no-op: no extra shuffle is planned.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Connect)
+        return df
+    return df.repartition(target) if splits < target else df

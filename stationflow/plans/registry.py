@@ -79,7 +79,6 @@ def q_sliding_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = enriched(spark, sf_dir)
     return summary.run_summary(
-        readings,
         stats.daily_station_stats(readings, ordered=False),
         outliers.sigma_outliers(readings),
     )

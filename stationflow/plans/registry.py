@@ -19,7 +19,7 @@ from stationflow.operators import feed, outliers, quality, reports, stats, summa
 from stationflow.operators.alerts import alert_records
 from stationflow.operators.enrich import enrich_time
 from stationflow.operators.windows import flatten_window, sliding_window_stats
-from stationflow.plans.storage import scratch_path
+from stationflow.plans.storage import materialize, scratch_path
 from stationflow.schema import ARCHIVE_COLUMNS, ENRICHED_COLUMNS, READING_COLUMNS
 from stationflow.sinks.files import save_csv, save_parquet, save_table, save_text
 from stationflow.sources.events import load_readings
@@ -54,6 +54,12 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.daily_station_stats(enriched(spark, sf_dir), ordered=False)
 
 
+def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table computed once and checkpointed: reports that read it
+    more than once (the day-over-day self-join) must not rescan the readings."""
+    return materialize(daily(spark, sf_dir))
+
+
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings encoded as JSON payloads and decoded again (no topic in between)."""
     return decode_payload(feed.encode_payloads(wire(spark, sf_dir)))
@@ -186,7 +192,7 @@ def queries() -> dict[str, Query]:
         "rainy_days": lambda s, d: reports.rainy_days(daily(s, d)),
         "station_conditions": lambda s, d: reports.station_conditions(daily(s, d)),
         "hourly_pattern_table": q_hourly_pattern_table,
-        "day_over_day_change": lambda s, d: reports.day_over_day_change(daily(s, d)),
+        "day_over_day_change": lambda s, d: reports.day_over_day_change(daily_table(s, d)),
         "alerts": lambda s, d: alert_records(wire(s, d)),
         "sliding_window_stats": q_sliding_window_stats,
         "feed_summary": lambda s, d: feed.feed_summary(wire(s, d)),

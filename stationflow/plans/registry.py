@@ -25,7 +25,13 @@ from stationflow.sinks.files import save_csv, save_parquet, save_table, save_tex
 from stationflow.sources.events import load_readings
 from stationflow.sources.files import read_readings_csv
 from stationflow.sources.topics import decode_payload, text_stream
-from stationflow.sources.warehouse import DEFAULT_DATABASE, ensure_database, scan
+from stationflow.sources.warehouse import (
+    DEFAULT_DATABASE,
+    RAW_READINGS_DDL,
+    define_external_table,
+    ensure_database,
+    scan,
+)
 from stationflow.streaming import queries as sq
 from stationflow.streaming.upsert import read_latest
 
@@ -105,20 +111,23 @@ def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select(*ENRICHED_COLUMNS)
 
 
-def _warehouse_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the enriched readings as ``raw_readings`` (external table) and scan it back."""
+def q_warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Managed write (``saveAsTable`` at an explicit path), then a catalog scan."""
     ensure_database(spark, DEFAULT_DATABASE)
     name = f"{DEFAULT_DATABASE}.raw_readings"
     save_table(enriched(spark, sf_dir), name, path=scratch_path(spark, "raw_readings"))
-    return scan(spark, name)
-
-
-def q_warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _warehouse_raw(spark, sf_dir).select(*ENRICHED_COLUMNS)
+    return scan(spark, name).select(*ENRICHED_COLUMNS)
 
 
 def q_hourly_pattern_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.hourly_pattern(_warehouse_raw(spark, sf_dir))
+    """Parquet files first, then an idempotent external-table definition over them,
+    then the hourly report on the catalog table."""
+    ensure_database(spark, DEFAULT_DATABASE)
+    location = scratch_path(spark, "raw_readings_ext")
+    save_parquet(enriched(spark, sf_dir), location)
+    name = f"{DEFAULT_DATABASE}.raw_readings_{location.rsplit('-', 1)[-1][:12]}"
+    define_external_table(spark, name, RAW_READINGS_DDL, location)
+    return reports.hourly_pattern(scan(spark, name))
 
 
 # --- streams ----------------------------------------------------------------

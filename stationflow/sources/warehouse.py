@@ -25,9 +25,20 @@ def ensure_database(spark: SparkSession, database: str = DEFAULT_DATABASE) -> No
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
 
 
-def define_external_table(spark: SparkSession, name: str, columns_ddl: str, location: str) -> None:
-    """Idempotent Parquet table over ``location`` (no-op when it already exists)."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}) USING PARQUET LOCATION '{location}'")
+def define_external_table(
+    spark: SparkSession,
+    name: str,
+    columns_ddl: str,
+    location: str,
+    partition_by: list[str] | None = None,
+) -> None:
+    """Idempotent Parquet table over existing files at ``location`` (no-op when it
+    already exists).  Partition folders already on disk are registered, so
+    filters on partition columns prune whole folders."""
+    parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}) USING PARQUET{parts} LOCATION '{location}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:

@@ -26,3 +26,41 @@ def test_batch_job_and_reports(spark):
     reps = all_reports(spark, "sf_job_db")
     assert reps["hottest_days"].count() == 5
     assert reps["hourly_pattern"].count() == 24
+
+
+def test_partitioned_external_table_prunes_by_date(spark):
+    from stationflow.sinks.files import save_parquet
+    from stationflow.sources.warehouse import RAW_READINGS_DDL, define_external_table, ensure_database, scan
+
+    base = tempfile.mkdtemp(prefix="sf-ext-", dir="/tmp")
+    save_parquet(registry.enriched(spark, SF_SMALL), base, partition_by=["date"])
+    ensure_database(spark, "sf_ext_db")
+    define_external_table(spark, "sf_ext_db.raw", RAW_READINGS_DDL, base, partition_by=["date"])
+    define_external_table(spark, "sf_ext_db.raw", RAW_READINGS_DDL, base, partition_by=["date"])  # idempotent
+    one_day = scan(spark, "sf_ext_db.raw").where("date = DATE'2024-01-05'")
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert one_day.count() == registry.enriched(spark, SF_SMALL).where("date = DATE'2024-01-05'").count() > 0
+
+
+def test_streaming_job_starts_three_named_queries(spark):
+    import json
+
+    from conftest import reading
+
+    from stationflow.jobs.streaming import start_all
+    from stationflow.sources.topics import decode_payload, text_stream
+
+    src = tempfile.mkdtemp(prefix="sf-feed-", dir="/tmp")
+    with open(f"{src}/a.jsonl", "w") as f:
+        f.write("\n".join(json.dumps(reading(temperature_c=t)) for t in (41.0, 12.0)) + "\n")
+    out = tempfile.mkdtemp(prefix="sf-stream-job-", dir="/tmp")
+    now = {"availableNow": True}
+    qs = start_all(spark, decode_payload(text_stream(spark, src)), out, True, now, now, now)
+    for q in qs:
+        q.awaitTermination()
+        assert q.exception() is None
+    assert sorted(q.name for q in qs) == ["raw_archive", "weather_alerts", "windowed_stats"]
+    assert spark.read.parquet(f"{out}/alerts").count() == 1
+    assert spark.read.parquet(f"{out}/raw_parquet").count() == 2
+    assert spark.read.parquet(f"{out}/windows").count() == 5

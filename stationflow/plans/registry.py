@@ -132,13 +132,17 @@ def q_hourly_pattern_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams ----------------------------------------------------------------
 
-FEED_FILES = 4
+def write_feed(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """JSON-lines payload files in event-time order (range-partitioned on the timestamp).
 
-
-def write_feed(spark: SparkSession, sf_dir: str, files: int = FEED_FILES) -> str:
-    """JSON-lines payload files in event-time order (range-partitioned on the timestamp)."""
+    A deterministic row hash breaks ties inside the range key, so even a single
+    timestamp holding a third of all rows is split over several files.
+    """
     path = scratch_path(spark, "feed")
-    ordered = wire(spark, sf_dir).repartitionByRange(files, "timestamp").sortWithinPartitions("timestamp")
+    files = files or spark.sparkContext.defaultParallelism
+    readings = wire(spark, sf_dir)
+    tie = F.xxhash64(*readings.columns)
+    ordered = readings.repartitionByRange(files, "timestamp", tie).sortWithinPartitions("timestamp")
     save_text(feed.encode_payloads(ordered), path)
     return path
 

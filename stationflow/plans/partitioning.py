@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from stationflow.plans.storage import parallelism
+
 
 def spread_unsplit_scan(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the cluster has cores.
@@ -15,7 +17,7 @@ def spread_unsplit_scan(df: DataFrame) -> DataFrame:
     thousands of splits and this is a no-op: no extra shuffle is planned.
     """
     try:
-        target = df.sparkSession.sparkContext.defaultParallelism
+        target = parallelism(df.sparkSession)
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Connect)
         return df

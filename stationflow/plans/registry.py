@@ -19,7 +19,7 @@ from stationflow.operators import feed, outliers, quality, reports, stats, summa
 from stationflow.operators.alerts import alert_records
 from stationflow.operators.enrich import enrich_time
 from stationflow.operators.windows import flatten_window, sliding_window_stats
-from stationflow.plans.storage import materialize, scratch_path
+from stationflow.plans.storage import materialize, parallelism, scratch_path
 from stationflow.schema import ARCHIVE_COLUMNS, ENRICHED_COLUMNS, READING_COLUMNS
 from stationflow.sinks.files import save_csv, save_parquet, save_table, save_text
 from stationflow.sources.events import load_readings
@@ -139,7 +139,7 @@ def write_feed(spark: SparkSession, sf_dir: str, files: int | None = None) -> st
     timestamp holding a third of all rows is split over several files.
     """
     path = scratch_path(spark, "feed")
-    files = files or spark.sparkContext.defaultParallelism
+    files = files or parallelism(spark)
     readings = wire(spark, sf_dir)
     tie = F.xxhash64(*readings.columns)
     ordered = readings.repartitionByRange(files, "timestamp", tie).sortWithinPartitions("timestamp")

@@ -14,22 +14,34 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no context
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
-        master = spark.sparkContext.master
+        master = sc.master if sc else spark.conf.get("spark.master", "")
         if not master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder every executor can reach"
-            )
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="stationflow-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores the session can use (default parallelism), for sizing small outputs."""
+    sc = _context(spark)
+    if sc:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared root (never reused, never cleared)."""
     return f"{checkpoint_root(spark)}/stationflow/{label}-{uuid.uuid4().hex}"

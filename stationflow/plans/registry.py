@@ -19,7 +19,7 @@ from stationflow.operators import feed, outliers, quality, reports, stats, summa
 from stationflow.operators.alerts import alert_records
 from stationflow.operators.enrich import enrich_time
 from stationflow.operators.windows import flatten_window, sliding_window_stats
-from stationflow.plans.storage import materialize, parallelism, scratch_path
+from stationflow.plans.storage import checkpoint_root, materialize, parallelism, scratch_path
 from stationflow.schema import ARCHIVE_COLUMNS, ENRICHED_COLUMNS, READING_COLUMNS
 from stationflow.sinks.files import save_csv, save_parquet, save_table, save_text
 from stationflow.sources.events import load_readings
@@ -111,9 +111,14 @@ def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select(*ENRICHED_COLUMNS)
 
 
+def _ensure_scratch_database(spark: SparkSession) -> None:
+    """The report database, placed under the shared scratch root (not the working dir)."""
+    ensure_database(spark, DEFAULT_DATABASE, f"{checkpoint_root(spark)}/stationflow/warehouse/{DEFAULT_DATABASE}.db")
+
+
 def q_warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Managed write (``saveAsTable`` at an explicit path), then a catalog scan."""
-    ensure_database(spark, DEFAULT_DATABASE)
+    _ensure_scratch_database(spark)
     name = f"{DEFAULT_DATABASE}.raw_readings"
     save_table(enriched(spark, sf_dir), name, path=scratch_path(spark, "raw_readings"))
     return scan(spark, name).select(*ENRICHED_COLUMNS)
@@ -122,7 +127,7 @@ def q_warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_hourly_pattern_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parquet files first, then an idempotent external-table definition over them,
     then the hourly report on the catalog table."""
-    ensure_database(spark, DEFAULT_DATABASE)
+    _ensure_scratch_database(spark)
     location = scratch_path(spark, "raw_readings_ext")
     save_parquet(enriched(spark, sf_dir), location)
     name = f"{DEFAULT_DATABASE}.raw_readings_{location.rsplit('-', 1)[-1][:12]}"

@@ -21,8 +21,10 @@ DAILY_STATS_DDL = """
 """
 
 
-def ensure_database(spark: SparkSession, database: str = DEFAULT_DATABASE) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def ensure_database(spark: SparkSession, database: str = DEFAULT_DATABASE, location: str | None = None) -> None:
+    """Idempotent database; without ``location`` it lives in the session's warehouse dir."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
 def define_external_table(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -24,6 +25,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="sf-warehouse-", dir="/tmp"))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

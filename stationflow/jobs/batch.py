@@ -75,10 +75,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("output", help="output base folder (shared storage on a cluster)")
     parser.add_argument("--database", default="weather_db")
     parser.add_argument("--master", default=None)
+    parser.add_argument("--preview", type=int, default=0, help="print the first N rows of each output")
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-batch")
     summary = run_batch(spark, read_readings_csv(spark, args.input), args.output, args.database)
+    if args.preview:
+        for name in OUTPUTS:
+            print(f"=== {name} ===")
+            spark.read.parquet(f"{args.output.rstrip('/')}/{name}").show(args.preview, truncate=False)
     summary.show(truncate=False)
     print(f"Output directory: {args.output}")
     spark.stop()

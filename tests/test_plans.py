@@ -39,3 +39,16 @@ def test_aggregates_are_partial_then_final(spark):
 
     plan = _plan(stats.daily_station_stats(registry.enriched(spark, SF_SMALL), ordered=False))
     assert plan.count("HashAggregate") >= 2
+
+
+def test_filters_reach_the_parquet_scan_of_stored_tables(spark, tmp_path):
+    from stationflow.operators import stats
+
+    raw_path, daily_path = str(tmp_path / "raw"), str(tmp_path / "daily")
+    registry.enriched(spark, SF_SMALL).write.parquet(raw_path)
+    stats.daily_station_stats(spark.read.parquet(raw_path), ordered=False).write.parquet(daily_path)
+    gusty = _plan(stats.gusty_days(spark.read.parquet(raw_path)))
+    assert "PushedFilters: [IsNotNull(wind_speed_kmh), GreaterThan(wind_speed_kmh,40.0)]" in gusty
+    assert "ReadSchema: struct<station_name:string,wind_speed_kmh:double,date:date>" in gusty
+    rainy = _plan(reports.rainy_days(spark.read.parquet(daily_path)))
+    assert "GreaterThan(total_precipitation,5.0)" in rainy

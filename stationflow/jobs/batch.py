@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stationflow.operators import outliers, stats
 from stationflow.operators.summary import run_summary
+from stationflow.schema import DATABASE
 from stationflow.session import build_session
 from stationflow.sinks.files import save_parquet, save_table
 from stationflow.sources.files import read_readings_csv
@@ -46,7 +47,7 @@ def run_batch(
     spark: SparkSession,
     readings: DataFrame,
     output_base: str,
-    database: str = "weather_db",
+    database: str = DATABASE,
 ) -> DataFrame:
     """Write the raw table, the five outputs and the daily table; return the run summary."""
     base = output_base.rstrip("/")
@@ -73,7 +74,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("input", help="readings CSV file or folder (header row, wire order)")
     parser.add_argument("output", help="output base folder (shared storage on a cluster)")
-    parser.add_argument("--database", default="weather_db")
+    parser.add_argument("--database", default=DATABASE)
     parser.add_argument("--master", default=None)
     parser.add_argument("--preview", type=int, default=0, help="print the first N rows of each output")
     args = parser.parse_args(argv)

@@ -14,12 +14,13 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from stationflow.operators import reports
+from stationflow.schema import DATABASE
 from stationflow.session import build_session
 from stationflow.sinks.files import save_parquet
 from stationflow.sources.warehouse import scan
 
 
-def all_reports(spark: SparkSession, database: str = "weather_db") -> dict[str, DataFrame]:
+def all_reports(spark: SparkSession, database: str = DATABASE) -> dict[str, DataFrame]:
     raw = scan(spark, f"{database}.raw_readings")
     daily = scan(spark, f"{database}.daily_stats")
     return {
@@ -35,7 +36,7 @@ def all_reports(spark: SparkSession, database: str = "weather_db") -> dict[str,
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--database", default="weather_db")
+    parser.add_argument("--database", default=DATABASE)
     parser.add_argument("--out", default=None, help="write each report as Parquet under this folder")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)

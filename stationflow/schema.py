@@ -76,12 +76,16 @@ WATERMARK_DELAY = "10 minutes"
 COMPASS = ["N", "NE", "E", "SE", "S", "SW", "W", "NW"]
 ALERT_TYPES = ["EXTREME_HEAT", "EXTREME_COLD", "DANGEROUS_WIND", "LOW_PRESSURE_STORM"]
 CRITICAL_ALERTS = ["EXTREME_HEAT", "DANGEROUS_WIND"]
-# Data contract stated by the reference's unit tests.
+# Reading contract (plausible ranges) checked by the data-quality report.
 TEMP_PLAUSIBLE = (-50.0, 70.0)  # exclusive bounds
 HUMIDITY_RANGE = (10.0, 100.0)  # inclusive bounds
 ANOMALY_RATE_BAND = (0.005, 0.05)  # exclusive bounds
 READINGS_PER_DAY = 96  # one reading every 15 minutes
+# Names a user of the original pipeline addresses: database, topic, query names.
+DATABASE = "weather_db"
+TOPIC = "weather-raw"
+ALERTS_QUERY, WINDOWS_QUERY, ARCHIVE_QUERY = "weather_alerts", "windowed_stats", "raw_archive"
 # --- end of fixed values ---
 
-# Readings carry at most a few decimals; exact means sum them as DECIMAL(18, 4).
+# Readings carry at most this many decimals; exact means sum integer units of 10**-MEASURE_SCALE.
 MEASURE_SCALE = 4

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions.time import event_time
-from stationflow.schema import READING
+from stationflow.schema import READING, TOPIC
 
-DEFAULT_TOPIC = "weather-raw"
+DEFAULT_TOPIC = TOPIC
 
 
 def kafka_stream(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_DATABASE = "weather_db"
+from stationflow.schema import DATABASE
+
+DEFAULT_DATABASE = DATABASE
 
 RAW_READINGS_DDL = """
     station_id STRING, station_name STRING, latitude DOUBLE, longitude DOUBLE,

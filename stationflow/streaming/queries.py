@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.operators.alerts import alert_records
 from stationflow.operators.windows import sliding_window_stats
-from stationflow.schema import ARCHIVE_COLUMNS
+from stationflow.schema import ALERTS_QUERY, ARCHIVE_COLUMNS, ARCHIVE_QUERY, WINDOWS_QUERY
 from stationflow.streaming.upsert import batch_writer
 
 WINDOW_KEYS = ["window", "station_id", "station_name"]
@@ -32,7 +32,7 @@ def start_alerts(
     path: str | None,
     checkpoint: str,
     trigger: dict | None = None,
-    name: str = "weather_alerts",
+    name: str = ALERTS_QUERY,
 ) -> StreamingQuery:
     """Stateless alerts, append mode: to Parquet at ``path`` or, without one, the console."""
     alerts = alert_records(parsed)
@@ -49,7 +49,7 @@ def start_window_updates(
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    name: str = "windowed_stats",
+    name: str = WINDOWS_QUERY,
 ) -> StreamingQuery:
     """Sliding-window stats in update mode: every batch writes the windows it changed;
     read the current values with ``upsert.read_latest(spark, path, WINDOW_KEYS)``."""
@@ -77,7 +77,7 @@ def start_archive(
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    name: str = "raw_archive",
+    name: str = ARCHIVE_QUERY,
     partition_by_date: bool = True,
 ) -> StreamingQuery:
     """Every decoded row (garbage rows included, as all-null rows) appended to Parquet,

@@ -18,7 +18,7 @@ from stationflow.functions.time import event_time
 from stationflow.operators import feed, outliers, quality, reports, stats, summary
 from stationflow.operators.alerts import alert_records
 from stationflow.operators.enrich import enrich_time
-from stationflow.operators.windows import flatten_window, sliding_window_stats
+from stationflow.operators.windows import flatten_window, sliding_window_stats_batch
 from stationflow.plans.storage import checkpoint_root, materialize, parallelism, scratch_path
 from stationflow.schema import ARCHIVE_COLUMNS, ENRICHED_COLUMNS, READING_COLUMNS
 from stationflow.sinks.files import save_csv, save_parquet, save_table, save_text
@@ -85,7 +85,7 @@ def with_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sliding_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_window(sliding_window_stats(with_event_time(spark, sf_dir)))
+    return flatten_window(sliding_window_stats_batch(with_event_time(spark, sf_dir)))
 
 
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,3 +64,24 @@ def test_streaming_job_starts_three_named_queries(spark):
     assert spark.read.parquet(f"{out}/alerts").count() == 1
     assert spark.read.parquet(f"{out}/raw_parquet").count() == 2
     assert spark.read.parquet(f"{out}/windows").count() == 5
+
+
+def test_written_tables_follow_the_warehouse_ddl(spark):
+    from pyspark.sql.types import StructType
+
+    from stationflow.sources.warehouse import DAILY_STATS_DDL, RAW_READINGS_DDL
+
+    base = tempfile.mkdtemp(prefix="sf-ddl-", dir="/tmp")
+    run_batch(spark, registry.enriched(spark, SF_SMALL), f"{base}/out", "sf_ddl_db")
+
+    def types(schema):
+        return sorted((f.name, f.dataType.simpleString()) for f in schema.fields)
+
+    assert types(spark.table("sf_ddl_db.raw_readings").schema) == types(StructType.fromDDL(RAW_READINGS_DDL))
+    assert types(spark.table("sf_ddl_db.daily_stats").schema) == types(StructType.fromDDL(DAILY_STATS_DDL))
+    # the tables answer plain SQL with the DDL's names (previous calendar day join)
+    n = spark.sql(
+        """SELECT count(*) FROM sf_ddl_db.daily_stats a JOIN sf_ddl_db.daily_stats b
+           ON a.station_id = b.station_id AND a.`date` = date_add(b.`date`, 1)"""
+    ).collect()[0][0]
+    assert n > 0

@@ -108,3 +108,28 @@ def test_contract_counts(make_readings, draw):
     assert out["precipitation_non_negative"] == (len(rain), sum(1 for p in rain if p < 0))
     nullish = sum(1 for r in rows if any(v is None for v in r.values()))
     assert out["required_fields"] == (len(rows), nullish)
+
+
+times = st.one_of(
+    st.none(),
+    st.builds(
+        lambda d, h, m, s: f"{d} {h:02d}:{m:02d}:{s:02d}",
+        st.sampled_from(["1969-12-31", "2024-01-01", "2024-01-02", "2024-02-29"]),
+        st.sampled_from([0, 1, 23]),
+        st.one_of(st.integers(0, 59), st.sampled_from([0, 1, 2, 3, 4, 56, 59])),
+        st.integers(0, 59),
+    ),
+)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["ST001", "ST002"]), times, two_dec), min_size=1, max_size=150))
+def test_halo_windows_equal_window_function(make_readings, draw):
+    from stationflow.functions.time import event_time
+    from stationflow.operators.windows import flatten_window, sliding_window_stats, sliding_window_stats_batch
+
+    rows = [reading(station_id=s, timestamp=ts, temperature_c=t) for s, ts, t in draw]
+    df = make_readings(rows).withColumn("event_time", event_time("timestamp"))
+    a = sorted(tuple(r) for r in flatten_window(sliding_window_stats(df)).collect())
+    b = sorted(tuple(r) for r in flatten_window(sliding_window_stats_batch(df)).collect())
+    assert a == b

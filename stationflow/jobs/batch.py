@@ -48,8 +48,18 @@ def run_batch(
     readings: DataFrame,
     output_base: str,
     database: str = DATABASE,
+    cluster_by_date: bool = False,
 ) -> DataFrame:
-    """Write the raw table, the five outputs and the daily table; return the run summary."""
+    """Write the raw table, the five outputs and the daily table; return the run summary.
+
+    ``cluster_by_date`` range-partitions the readings on (date, station,
+    timestamp) before the date-partitioned write: one shuffle at ingest, after
+    which each task writes few date folders (files ~ tasks + dates instead of
+    tasks x dates when the input is not grouped by time), and a hot date is
+    split over many tasks by the station/time tie-breakers.
+    """
+    if cluster_by_date:
+        readings = readings.repartitionByRange("date", "station_id", "timestamp")
     base = output_base.rstrip("/")
     try:
         ensure_database(spark, database)
@@ -77,10 +87,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--database", default=DATABASE)
     parser.add_argument("--master", default=None)
     parser.add_argument("--preview", type=int, default=0, help="print the first N rows of each output")
+    parser.add_argument("--cluster-by-date", action="store_true", help="shuffle once to write few files per date")
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-batch")
-    summary = run_batch(spark, read_readings_csv(spark, args.input), args.output, args.database)
+    summary = run_batch(
+        spark, read_readings_csv(spark, args.input), args.output, args.database, args.cluster_by_date
+    )
     if args.preview:
         for name in OUTPUTS:
             print(f"=== {name} ===")

@@ -11,7 +11,10 @@
 Each query keeps its own checkpoint under ``<output_base>/checkpoints``, so a
 restart resumes from the stored offsets and state instead of replaying the topic.
 Window state lives in the RocksDB state store (off-heap, spills to local disk,
-snapshotted to the checkpoint), and the 10-minute watermark bounds it.
+snapshotted to the checkpoint), and the 10-minute watermark bounds it.  The
+number of state partitions is ``spark.sql.shuffle.partitions`` at the first
+start and is fixed by the checkpoint afterwards: size it for the target rate
+before the first run.
 """
 
 from __future__ import annotations

@@ -24,9 +24,12 @@ def build_session(master: str | None = None, app: str = "stationflow", shuffle_p
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Large window state: RocksDB keeps it off-heap and spills to local disk;
+        # changelog checkpointing uploads only each batch's changes.
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if parts:
         conf["spark.sql.shuffle.partitions"] = str(parts)

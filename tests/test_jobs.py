@@ -85,3 +85,13 @@ def test_written_tables_follow_the_warehouse_ddl(spark):
            ON a.station_id = b.station_id AND a.`date` = date_add(b.`date`, 1)"""
     ).collect()[0][0]
     assert n > 0
+
+
+def test_batch_job_clustered_by_date_gives_same_summary(spark):
+    base = tempfile.mkdtemp(prefix="sf-cluster-", dir="/tmp")
+    readings = registry.enriched(spark, SF_SMALL)
+    plain = {r["metric"]: r["value"] for r in run_batch(spark, readings, f"{base}/a", "sf_a_db").collect()}
+    clustered = {
+        r["metric"]: r["value"] for r in run_batch(spark, readings, f"{base}/b", "sf_b_db", cluster_by_date=True).collect()
+    }
+    assert plain == clustered

@@ -10,8 +10,18 @@ from stationflow.schema import READING
 
 
 def read_readings_csv(spark: SparkSession, path: str, enrich: bool = True) -> DataFrame:
-    """CSV files with a header row, in wire order; ``timestamp`` parsed by :func:`enrich_time`."""
-    df = spark.read.schema(READING).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """CSV files with a header row, in wire order; ``timestamp`` parsed by :func:`enrich_time`.
+
+    Headers are checked against the schema (``enforceSchema=false``), so a file
+    with its columns in another order fails loudly instead of loading shifted values.
+    """
+    df = (
+        spark.read.schema(READING)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .csv(path)
+    )
     return enrich_time(df) if enrich else df
 
 

@@ -34,6 +34,7 @@ def start_all(
     parsed: DataFrame,
     output_base: str,
     alerts_to_files: bool = False,
+    windows_to_files: bool = True,
     alert_trigger: dict | None = None,
     window_trigger: dict | None = None,
     archive_trigger: dict | None = None,
@@ -48,7 +49,10 @@ def start_all(
             alert_trigger or {"processingTime": "10 seconds"},
         ),
         sq.start_window_updates(
-            parsed, f"{base}/windows", f"{ck}/windows", window_trigger or {"processingTime": "30 seconds"}
+            parsed,
+            f"{base}/windows" if windows_to_files else None,
+            f"{ck}/windows",
+            window_trigger or {"processingTime": "30 seconds"},
         ),
         sq.start_archive(
             parsed, f"{base}/raw_parquet", f"{ck}/raw", archive_trigger or {"processingTime": "30 seconds"}
@@ -64,12 +68,19 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--files", help="folder of JSON-lines payload files")
     parser.add_argument("--topic", default=DEFAULT_TOPIC)
     parser.add_argument("--alerts-to-files", action="store_true")
+    parser.add_argument("--windows-to-console", action="store_true")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-streaming")
     raw = kafka_stream(spark, args.kafka, args.topic) if args.kafka else text_stream(spark, args.files)
-    start_all(spark, decode_payload(raw), args.output, alerts_to_files=args.alerts_to_files)
+    start_all(
+        spark,
+        decode_payload(raw),
+        args.output,
+        alerts_to_files=args.alerts_to_files,
+        windows_to_files=not args.windows_to_console,
+    )
     spark.streams.awaitAnyTermination()
 
 

@@ -46,15 +46,20 @@ def start_alerts(
 
 def start_window_updates(
     parsed: DataFrame,
-    path: str,
+    path: str | None,
     checkpoint: str,
     trigger: dict | None = None,
     name: str = WINDOWS_QUERY,
 ) -> StreamingQuery:
-    """Sliding-window stats in update mode: every batch writes the windows it changed;
-    read the current values with ``upsert.read_latest(spark, path, WINDOW_KEYS)``."""
+    """Sliding-window stats in update mode: every batch writes the windows it changed
+    to ``path`` (read the current values with ``upsert.read_latest(spark, path,
+    WINDOW_KEYS)``) or, without a path, prints them to the console."""
     windows = sliding_window_stats(parsed)
-    writer = windows.writeStream.outputMode("update").foreachBatch(batch_writer(path))
+    writer = windows.writeStream.outputMode("update")
+    if path:
+        writer = writer.foreachBatch(batch_writer(path))
+    else:
+        writer = writer.format("console").option("truncate", False)
     return _start(writer, name, checkpoint, trigger)
 
 

@@ -56,7 +56,7 @@ def test_streaming_job_starts_three_named_queries(spark):
         f.write("\n".join(json.dumps(reading(temperature_c=t)) for t in (41.0, 12.0)) + "\n")
     out = tempfile.mkdtemp(prefix="sf-stream-job-", dir="/tmp")
     now = {"availableNow": True}
-    qs = start_all(spark, decode_payload(text_stream(spark, src)), out, True, now, now, now)
+    qs = start_all(spark, decode_payload(text_stream(spark, src)), out, True, True, now, now, now)
     for q in qs:
         q.awaitTermination()
         assert q.exception() is None

@@ -161,6 +161,8 @@ def _drain(start, spark: SparkSession, sf_dir: str, label: str) -> str:
         out,
         scratch_path(spark, f"{label}-ckpt"),
         {"availableNow": True},
+        # a unique name: two runs may be active in one session at once
+        name=f"{label}_{out.rsplit('-', 1)[-1][:12]}",
     )
     query.awaitTermination()
     if query.exception() is not None:

@@ -95,3 +95,14 @@ def test_batch_job_clustered_by_date_gives_same_summary(spark):
         r["metric"]: r["value"] for r in run_batch(spark, readings, f"{base}/b", "sf_b_db", cluster_by_date=True).collect()
     }
     assert plain == clustered
+
+
+def test_publish_csv_as_payloads_round_trips(spark):
+    from stationflow.jobs.publish import payloads
+    from stationflow.sources.topics import decode_payload
+
+    base = tempfile.mkdtemp(prefix="sf-pub-", dir="/tmp")
+    wire = registry.wire(spark, SF_SMALL)
+    save_csv(wire, f"{base}/csv")
+    back = decode_payload(payloads(spark, csv=f"{base}/csv")).drop("event_time")
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in wire.collect())

@@ -41,3 +41,28 @@ def test_query_matches_oracle(spark, con, key):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
+
+
+SESSION_SENSITIVE = ["enriched_readings", "sliding_window_stats", "alerts", "decoded_payloads", "day_over_day_change"]
+
+
+@pytest.mark.parametrize("key", SESSION_SENSITIVE)
+def test_results_do_not_depend_on_session_settings(spark, con, key):
+    changed = {
+        "spark.sql.session.timeZone": "Asia/Kolkata",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.ansi.enabled": "false",
+        "spark.sql.shuffle.partitions": "23",
+    }
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        sdf = entry.queries()[key](spark, SF_SMALL)
+        srows = [tuple(r) for r in sdf.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    cur = con.execute(entry.oracle_sql()[key])
+    drows = cur.fetchall()
+    assert digest(sdf.columns, srows)[0] == digest([d[0] for d in cur.description], drows)[0]

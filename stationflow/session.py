@@ -30,6 +30,8 @@ def build_session(master: str | None = None, app: str = "stationflow", shuffle_p
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # remove checkpoint files of materialized tables once nothing refers to them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if parts:
         conf["spark.sql.shuffle.partitions"] = str(parts)

@@ -152,3 +152,27 @@ def test_garbage_makes_no_window_and_no_alert(spark):
     out2, ckpt2 = _dir(), _dir()
     _run(sq.start_alerts, spark, src, out2, ckpt2)
     assert spark.read.parquet(out2).count() == 0
+
+
+def test_window_state_survives_a_restart(spark, make_readings):
+    rows = [
+        reading(station_id=s, timestamp=f"2024-01-01 10:{m:02d}:{sec:02d}", temperature_c=float(m) + sec / 100)
+        for s in ("ST001", "ST002")
+        for m in range(0, 12, 2)
+        for sec in (5, 35)
+    ]
+    rows.sort(key=lambda r: r["timestamp"])
+    src, out, ckpt = _dir(), _dir(), _dir()
+    half = len(rows) // 2
+    _write_files(src, [[json.dumps(r) for r in rows[:half]]])
+    _run(sq.start_window_updates, spark, src, out, ckpt)
+    # the query stops; new data arrives; it restarts from its checkpoint (offsets + state)
+    later = os.path.join(src, "part-900.jsonl")
+    with open(later, "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows[half:]) + "\n")
+    _run(sq.start_window_updates, spark, src, out, ckpt)
+    streamed = flatten_window(read_latest(spark, out, sq.WINDOW_KEYS))
+    batch = flatten_window(
+        sliding_window_stats(decode_payload(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")))
+    )
+    assert _window_rows(streamed) == _window_rows(batch)

@@ -23,8 +23,3 @@ def wall_clock(col: str | Column = "timestamp") -> Column:
     """Parse wire text into a wall-clock ``TIMESTAMP_NTZ`` (no zone, like the text)."""
     return event_time(col).cast("timestamp_ntz")
 
-
-def format_wall_clock(col: str | Column) -> Column:
-    """Render a timestamp as wire text."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.date_format(c, TIMESTAMP_FORMAT)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from stationflow.schema import TIMESTAMP_FORMAT
+from stationflow.functions.time import wall_clock
 
 
 def enrich_time(df: DataFrame) -> DataFrame:
@@ -16,10 +16,10 @@ def enrich_time(df: DataFrame) -> DataFrame:
     instead of failing the job.  ``month`` ignores the year, as the reports do.
     """
     if isinstance(df.schema["timestamp"].dataType, StringType):
-        ts = f"CAST(try_to_timestamp(`timestamp`, '{TIMESTAMP_FORMAT}') AS TIMESTAMP_NTZ)"
+        ts = wall_clock("timestamp")
     else:
-        ts = "CAST(`timestamp` AS TIMESTAMP_NTZ)"
-    out = df.withColumn("timestamp", F.expr(ts))
+        ts = F.col("timestamp").cast("timestamp_ntz")
+    out = df.withColumn("timestamp", ts)
     return out.withColumns(
         {
             "date": F.expr("to_date(`timestamp`)"),

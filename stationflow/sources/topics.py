@@ -27,8 +27,11 @@ def kafka_stream(
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    """Unbounded topic read; one Spark task per topic partition (or per offset range)."""
+    """Unbounded topic read; one Spark task per topic partition, or, with
+    ``min_partitions``, offset ranges split so a few large topic partitions
+    still spread over many tasks."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -38,6 +41,8 @@ def kafka_stream(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load()
 
 
@@ -46,20 +51,23 @@ def kafka_batch(
     bootstrap_servers: str,
     topic: str = DEFAULT_TOPIC,
     max_messages: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Bounded topic read from the earliest to the latest offsets.
 
     ``max_messages`` (0 or None = no limit) keeps the first messages in
     (partition, offset) order, as a single consumer reading from the start would.
     """
-    df = (
+    reader = (
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("endingOffsets", "latest")
-        .load()
     )
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
+    df = reader.load()
     if max_messages:
         df = df.orderBy("partition", "offset").limit(max_messages)
     return df

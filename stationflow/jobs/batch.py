@@ -23,7 +23,16 @@ from stationflow.sinks.files import save_parquet, save_table
 from stationflow.sources.files import read_readings_csv
 from stationflow.sources.warehouse import DAILY_STATS_DDL, ensure_database, scan
 
-OUTPUTS = ("daily_aggregations", "monthly_aggregations", "station_rankings", "anomalies", "hourly_patterns")
+OUTPUTS = (
+    "daily_aggregations",
+    "monthly_aggregations",
+    "station_rankings",
+    "anomalies",
+    "hourly_patterns",
+    "daily_stats_compact",
+    "station_extremes",
+    "gusty_days",
+)
 
 
 def _write_table(
@@ -50,7 +59,7 @@ def run_batch(
     database: str = DATABASE,
     cluster_by_date: bool = False,
 ) -> DataFrame:
-    """Write the raw table, the five outputs and the daily table; return the run summary.
+    """Write the raw and daily tables and every output in ``OUTPUTS``; return the run summary.
 
     ``cluster_by_date`` range-partitions the readings on (date, station,
     timestamp) before the date-partitioned write: one shuffle at ingest, after
@@ -76,6 +85,9 @@ def run_batch(
     save_parquet(stats.station_ranking(raw), f"{base}/station_rankings")
     save_parquet(outliers.sigma_outliers(raw), f"{base}/anomalies")
     save_parquet(stats.hourly_profile(raw), f"{base}/hourly_patterns")
+    save_parquet(stats.daily_station_stats_compact(raw, ordered=False), f"{base}/daily_stats_compact")
+    save_parquet(stats.station_extremes(raw), f"{base}/station_extremes")
+    save_parquet(stats.gusty_days(raw), f"{base}/gusty_days")
 
     return run_summary(daily, spark.read.parquet(f"{base}/anomalies"))
 

@@ -21,7 +21,8 @@ def test_batch_job_and_reports(spark):
     assert summary["total_records"] == readings.count()
     assert summary["daily_rows"] == readings.select("station_id", "date").distinct().count()
     assert summary["outliers_detected"] == spark.read.parquet(f"{base}/out/anomalies").count()
-    for name in ("daily_aggregations", "monthly_aggregations", "station_rankings", "hourly_patterns"):
+    for name in ("daily_aggregations", "monthly_aggregations", "station_rankings", "hourly_patterns",
+                 "daily_stats_compact", "station_extremes", "gusty_days"):
         assert spark.read.parquet(f"{base}/out/{name}").count() > 0
     reps = all_reports(spark, "sf_job_db")
     assert reps["hottest_days"].count() == 5

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.measures import agg_exprs, exact_mean_sql
-from stationflow.plans.broadcast import broadcast_if_bounded
+from stationflow.plans.broadcast import MAX_BROADCAST_ROWS, broadcast_if_bounded
 from stationflow.plans.storage import materialize
 from stationflow.schema import OUTLIER_SIGMAS
 
@@ -54,9 +54,14 @@ def outlier_condition(sigmas: float = OUTLIER_SIGMAS):
     )
 
 
-def sigma_outliers(df: DataFrame, sigmas: float = OUTLIER_SIGMAS, baseline: DataFrame | None = None) -> DataFrame:
+def sigma_outliers(
+    df: DataFrame,
+    sigmas: float = OUTLIER_SIGMAS,
+    baseline: DataFrame | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """Readings more than ``sigmas`` standard deviations from their station's mean
     temperature or wind.  Eager: computes and checkpoints the baseline."""
     stats = baseline if baseline is not None else materialize(station_baseline(df))
-    joined = df.join(broadcast_if_bounded(stats), "station_id")
+    joined = df.join(broadcast_if_bounded(stats, max_broadcast_rows), "station_id")
     return joined.where(outlier_condition(sigmas)).select(*OUTLIER_COLUMNS)

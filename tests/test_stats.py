@@ -85,3 +85,23 @@ def test_outlier_plan_broadcasts_checked_baseline(spark, make_readings):
     df = enrich_time(make_readings([reading(), reading(timestamp="2024-01-01 00:15:00")]))
     plan = sigma_outliers(df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_outliers_beyond_the_broadcast_bound_use_a_shuffle_join(spark):
+    from conftest import SF_SMALL
+
+    from stationflow.plans import registry
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = registry.enriched(spark, SF_SMALL)
+        small = sigma_outliers(df)
+        big = sigma_outliers(df, max_broadcast_rows=5)  # 10 stations > 5: no hint
+        big_plan = big._jdf.queryExecution().executedPlan().toString()
+        # the baseline side is not broadcast: a shuffle join (the registry join stays broadcast)
+        assert "SortMergeJoin" in big_plan or "ShuffledHashJoin" in big_plan
+        assert sorted(tuple(r) for r in big.collect()) == sorted(tuple(r) for r in small.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

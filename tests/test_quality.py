@@ -66,3 +66,12 @@ def test_cadence_gaps(make_readings):
     rows += [reading(timestamp="2024-01-02 00:00:00")]
     out = cadence_gaps(enrich_time(make_readings(rows))).collect()
     assert [(str(r["date"]), r["readings"], r["deviation"]) for r in out] == [("2024-01-02", 1, -95)]
+
+
+def test_contract_on_enriched_readings(make_readings):
+    rows = [reading(), reading(timestamp="bad"), reading(humidity_pct=101.0)]
+    out = {r["rule"]: (r["checked"], r["violations"]) for r in contract_report(enrich_time(make_readings(rows))).collect()}
+    # the unparsable text became a null timestamp: a missing field, not a format error
+    assert out["timestamp_format"] == (2, 0)
+    assert out["required_fields"] == (3, 1)
+    assert out["humidity_range"] == (3, 1)

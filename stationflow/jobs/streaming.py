@@ -7,6 +7,9 @@
 * ``windowed_stats``  - 5-minute/1-minute windows per station, update mode, every 30 s,
   upserted per micro-batch under ``<output_base>/windows``
 * ``raw_archive``     - every decoded row appended to Parquet by event date, every 30 s
+* ``closed_windows``  - (``--closed-windows``) each window written once, final, when the
+  watermark passes its end: the append-only window history; the update-mode
+  folders above are the live view and can be pruned once their windows closed
 
 Each query keeps its own checkpoint under ``<output_base>/checkpoints``, so a
 restart resumes from the stored offsets and state instead of replaying the topic.
@@ -38,10 +41,18 @@ def start_all(
     alert_trigger: dict | None = None,
     window_trigger: dict | None = None,
     archive_trigger: dict | None = None,
+    closed_windows: bool = False,
 ) -> list[StreamingQuery]:
     base = output_base.rstrip("/")
     ck = f"{base}/checkpoints"
-    return [
+    extra = []
+    if closed_windows:
+        extra.append(
+            sq.start_closed_windows(
+                parsed, f"{base}/windows_closed", f"{ck}/windows_closed", window_trigger or {"processingTime": "30 seconds"}
+            )
+        )
+    return extra + [
         sq.start_alerts(
             parsed,
             f"{base}/alerts" if alerts_to_files else None,
@@ -69,6 +80,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topic", default=DEFAULT_TOPIC)
     parser.add_argument("--alerts-to-files", action="store_true")
     parser.add_argument("--windows-to-console", action="store_true")
+    parser.add_argument("--closed-windows", action="store_true", help="also append final windows to Parquet")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
@@ -80,6 +92,7 @@ def main(argv: list[str] | None = None) -> None:
         args.output,
         alerts_to_files=args.alerts_to_files,
         windows_to_files=not args.windows_to_console,
+        closed_windows=args.closed_windows,
     )
     spark.streams.awaitAnyTermination()
 

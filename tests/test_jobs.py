@@ -57,11 +57,12 @@ def test_streaming_job_starts_three_named_queries(spark):
         f.write("\n".join(json.dumps(reading(temperature_c=t)) for t in (41.0, 12.0)) + "\n")
     out = tempfile.mkdtemp(prefix="sf-stream-job-", dir="/tmp")
     now = {"availableNow": True}
-    qs = start_all(spark, decode_payload(text_stream(spark, src)), out, True, True, now, now, now)
+    qs = start_all(spark, decode_payload(text_stream(spark, src)), out, True, True, now, now, now, closed_windows=True)
     for q in qs:
         q.awaitTermination()
         assert q.exception() is None
-    assert sorted(q.name for q in qs) == ["raw_archive", "weather_alerts", "windowed_stats"]
+    assert sorted(q.name for q in qs) == ["closed_windows", "raw_archive", "weather_alerts", "windowed_stats"]
+    assert spark.read.parquet(f"{out}/windows_closed").count() == 0  # nothing is 10 minutes old yet
     assert spark.read.parquet(f"{out}/alerts").count() == 1
     assert spark.read.parquet(f"{out}/raw_parquet").count() == 2
     assert spark.read.parquet(f"{out}/windows").count() == 5

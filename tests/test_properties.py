@@ -133,3 +133,29 @@ def test_halo_windows_equal_window_function(make_readings, draw):
     a = sorted(tuple(r) for r in flatten_window(sliding_window_stats(df)).collect())
     b = sorted(tuple(r) for r in flatten_window(sliding_window_stats_batch(df)).collect())
     assert a == b
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["ST001", "ST002", None]), maybe(two_dec), maybe(st.booleans())),
+        min_size=0,
+        max_size=80,
+    )
+)
+def test_feed_summary_matches_a_single_consumer(make_readings, draw):
+    from stationflow.operators.feed import feed_summary
+
+    rows = [reading(station_id=s, temperature_c=t, is_anomaly=a) for s, t, a in draw]
+    got = feed_summary(make_readings(rows)).collect()[0]
+    count = len(rows)
+    stations = {r["station_id"] for r in rows}  # a null id is one more station, as in a set
+    anomalies = sum(1 for r in rows if r["is_anomaly"])
+    total = sum(Fraction(str(r["temperature_c"])) if r["temperature_c"] is not None else 0 for r in rows)
+    mean = _round2(total / count) if count else 0.0
+    assert (got["message_count"], got["station_count"], got["anomaly_count"], got["avg_temp"]) == (
+        count,
+        len(stations),
+        anomalies,
+        mean,
+    )

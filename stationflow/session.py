@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, app: str = "stationflow", shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(
+    master: str | None = None,
+    app: str = "stationflow",
+    shuffle_partitions: int | None = None,
+    large_state: bool | None = None,
+) -> SparkSession:
     """A session with AQE on (coalesce small partitions, split skewed joins) and UTC.
 
     ``spark.sql.shuffle.partitions`` defaults to 8 in local mode; on a cluster
     leave it to the deployment (sized so one partition holds ~128-256 MB) and
-    let AQE coalesce.
+    let AQE coalesce.  ``large_state`` (default: not in local mode) keeps
+    streaming state in RocksDB: off-heap, spilling to local disk, uploading
+    only changes per batch.  Small local state is faster in the default
+    in-memory provider (measured ~25% on the window stream at sf0.1).
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -24,17 +32,16 @@ def build_session(master: str | None = None, app: str = "stationflow", shuffle_p
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        # Large window state: RocksDB keeps it off-heap and spills to local disk;
-        # changelog checkpointing uploads only each batch's changes.
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         # remove checkpoint files of materialized tables once nothing refers to them
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if parts:
         conf["spark.sql.shuffle.partitions"] = str(parts)
+    if large_state if large_state is not None else not local:
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
+        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     if local:
         conf["spark.driver.memory"] = "8g"
     for k, v in conf.items():

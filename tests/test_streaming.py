@@ -176,3 +176,21 @@ def test_window_state_survives_a_restart(spark, make_readings):
         sliding_window_stats(decode_payload(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")))
     )
     assert _window_rows(streamed) == _window_rows(batch)
+
+
+def test_windows_with_the_rocksdb_state_store(spark, make_readings):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        rows = [reading(timestamp=f"2024-01-01 10:{m:02d}:00", temperature_c=float(m)) for m in range(0, 30, 4)]
+        src, out, ckpt = _dir(), _dir(), _dir()
+        _write_files(src, [[json.dumps(r) for r in rows[:4]], [json.dumps(r) for r in rows[4:]]])
+        _run(sq.start_window_updates, spark, src, out, ckpt, max_files=1)
+    finally:
+        spark.conf.set(key, before)
+    streamed = flatten_window(read_latest(spark, out, sq.WINDOW_KEYS))
+    batch = flatten_window(
+        sliding_window_stats(decode_payload(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")))
+    )
+    assert _window_rows(streamed) == _window_rows(batch)

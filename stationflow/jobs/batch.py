@@ -98,11 +98,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("output", help="output base folder (shared storage on a cluster)")
     parser.add_argument("--database", default=DATABASE)
     parser.add_argument("--master", default=None)
+    parser.add_argument("--hive", action="store_true", help="persistent Hive metastore for the tables")
     parser.add_argument("--preview", type=int, default=0, help="print the first N rows of each output")
     parser.add_argument("--cluster-by-date", action="store_true", help="shuffle once to write few files per date")
     args = parser.parse_args(argv)
 
-    spark = build_session(args.master, app="stationflow-batch")
+    spark = build_session(args.master, app="stationflow-batch", hive=args.hive)
     summary = run_batch(
         spark, read_readings_csv(spark, args.input), args.output, args.database, args.cluster_by_date
     )

@@ -1,6 +1,6 @@
 """Warehouse reports over the tables the batch job wrote.
 
-    python -m stationflow.jobs.reports [--database weather_db] [--out <folder>]
+    python -m stationflow.jobs.reports [--database weather_db] [--base <batch output>] [--out <folder>]
 
 Runs the seven reports (top-5 hottest days, monthly trend, anomaly
 leaderboard, rainy days, station conditions, hourly pattern, day-over-day
@@ -20,9 +20,17 @@ from stationflow.sinks.files import save_parquet
 from stationflow.sources.warehouse import scan
 
 
-def all_reports(spark: SparkSession, database: str = DATABASE) -> dict[str, DataFrame]:
-    raw = scan(spark, f"{database}.raw_readings")
-    daily = scan(spark, f"{database}.daily_stats")
+def _table(spark: SparkSession, name: str, base: str | None, folder: str) -> DataFrame:
+    """A catalog table, or, when the catalog does not know it (no persistent
+    metastore), the files the batch job wrote under ``base``."""
+    if base and not spark.catalog.tableExists(name):
+        return spark.read.parquet(f"{base.rstrip('/')}/warehouse/{folder}")
+    return scan(spark, name)
+
+
+def all_reports(spark: SparkSession, database: str = DATABASE, base: str | None = None) -> dict[str, DataFrame]:
+    raw = _table(spark, f"{database}.raw_readings", base, "raw_readings")
+    daily = _table(spark, f"{database}.daily_stats", base, "daily_stats")
     return {
         "hottest_days": reports.hottest_days(daily),
         "monthly_trend": reports.monthly_trend(raw),
@@ -38,11 +46,13 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--database", default=DATABASE)
     parser.add_argument("--out", default=None, help="write each report as Parquet under this folder")
+    parser.add_argument("--base", default=None, help="batch job output folder, read when the catalog lacks the tables")
     parser.add_argument("--master", default=None)
+    parser.add_argument("--hive", action="store_true", help="persistent Hive metastore for the tables")
     args = parser.parse_args(argv)
 
-    spark = build_session(args.master, app="stationflow-reports")
-    for name, df in all_reports(spark, args.database).items():
+    spark = build_session(args.master, app="stationflow-reports", hive=args.hive)
+    for name, df in all_reports(spark, args.database, args.base).items():
         if args.out:
             save_parquet(df, f"{args.out.rstrip('/')}/{name}")
         else:

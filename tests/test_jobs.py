@@ -108,3 +108,26 @@ def test_publish_csv_as_payloads_round_trips(spark):
     save_csv(wire, f"{base}/csv")
     back = decode_payload(payloads(spark, csv=f"{base}/csv")).drop("event_time")
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in wire.collect())
+
+
+def test_batch_then_reports_as_separate_processes(spark):
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    base = tempfile.mkdtemp(prefix="sf-cli-", dir="/tmp")
+    save_csv(registry.wire(spark, SF_SMALL), f"{base}/input")
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    common = ["--master", "local[2]"]
+    subprocess.run(
+        [sys.executable, "-m", "stationflow.jobs.batch", f"{base}/input", f"{base}/out", *common],
+        check=True, cwd=base, env=env, capture_output=True, timeout=600,
+    )
+    subprocess.run(
+        [sys.executable, "-m", "stationflow.jobs.reports", "--base", f"{base}/out", "--out", f"{base}/reports", *common],
+        check=True, cwd=base, env=env, capture_output=True, timeout=600,
+    )
+    assert spark.read.parquet(f"{base}/reports/hottest_days").count() == 5
+    assert spark.read.parquet(f"{base}/reports/hourly_pattern").count() == 24

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 
 from stationflow.plans.storage import parallelism
 
+SPREAD_CONF = "spark.stationflow.spreadUnsplitScan"
+
 
 def spread_unsplit_scan(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the cluster has cores.
@@ -15,7 +17,11 @@ def spread_unsplit_scan(df: DataFrame) -> DataFrame:
     expression in one task.  Spreading it once lets the per-row work and the
     partial aggregates use every core.  At scale the fact table arrives in
     thousands of splits and this is a no-op: no extra shuffle is planned.
+    Setting ``spark.stationflow.spreadUnsplitScan=false`` turns it off, e.g. to
+    see the plan a multi-split input gets.
     """
+    if df.sparkSession.conf.get(SPREAD_CONF, "true").lower() == "false":
+        return df
     try:
         target = parallelism(df.sparkSession)
         splits = df.rdd.getNumPartitions()

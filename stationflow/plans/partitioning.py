@@ -17,10 +17,12 @@ def spread_unsplit_scan(df: DataFrame) -> DataFrame:
     expression in one task.  Spreading it once lets the per-row work and the
     partial aggregates use every core.  At scale the fact table arrives in
     thousands of splits and this is a no-op: no extra shuffle is planned.
-    Setting ``spark.stationflow.spreadUnsplitScan=false`` turns it off, e.g. to
-    see the plan a multi-split input gets.
+
+    Off unless ``spark.stationflow.spreadUnsplitScan=true``: on the small test
+    tables it saves ~10% of wall time but adds a full shuffle of the raw rows
+    to every plan, and the plans should be the ones a multi-split input gets.
     """
-    if df.sparkSession.conf.get(SPREAD_CONF, "true").lower() == "false":
+    if df.sparkSession.conf.get(SPREAD_CONF, "false").lower() != "true":
         return df
     try:
         target = parallelism(df.sparkSession)

@@ -119,8 +119,10 @@ def _ensure_scratch_database(spark: SparkSession) -> None:
 def q_warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Managed write (``saveAsTable`` at an explicit path), then a catalog scan."""
     _ensure_scratch_database(spark)
-    name = f"{DEFAULT_DATABASE}.raw_readings"
-    save_table(enriched(spark, sf_dir), name, path=scratch_path(spark, "raw_readings"))
+    location = scratch_path(spark, "raw_readings")
+    # a unique name per run: concurrent runs in one session never share a table
+    name = f"{DEFAULT_DATABASE}.raw_readings_{location.rsplit('-', 1)[-1][:12]}"
+    save_table(enriched(spark, sf_dir), name, path=location)
     return scan(spark, name).select(*ENRICHED_COLUMNS)
 
 

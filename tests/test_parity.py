@@ -66,3 +66,19 @@ def test_results_do_not_depend_on_session_settings(spark, con, key):
     cur = con.execute(entry.oracle_sql()[key])
     drows = cur.fetchall()
     assert digest(sdf.columns, srows)[0] == digest([d[0] for d in cur.description], drows)[0]
+
+
+def test_queries_can_run_concurrently_in_one_session(spark, con):
+    from concurrent.futures import ThreadPoolExecutor
+
+    keys = ["alerts_stream", "alerts_stream", "warehouse_roundtrip", "warehouse_roundtrip", "sigma_outliers"]
+
+    def run(key):
+        sdf = entry.queries()[key](spark, SF_SMALL)
+        return key, sdf.columns, [tuple(r) for r in sdf.collect()]
+
+    with ThreadPoolExecutor(len(keys)) as pool:
+        results = list(pool.map(run, keys))
+    for key, cols, rows in results:
+        cur = con.execute(entry.oracle_sql()[key])
+        assert digest(cols, rows)[0] == digest([d[0] for d in cur.description], cur.fetchall())[0]

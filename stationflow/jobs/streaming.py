@@ -2,6 +2,7 @@
 
     python -m stationflow.jobs.streaming <output_base> --kafka host:9092 [--topic weather-raw]
     python -m stationflow.jobs.streaming <output_base> --files <folder of JSON lines>
+    ... --available-now   (drain what is there and stop: backfills, catch-up runs)
 
 * ``weather_alerts``  - stateless alerts, append, every 10 s (console, or Parquet with --alerts-to-files)
 * ``windowed_stats``  - 5-minute/1-minute windows per station, update mode, every 30 s,
@@ -81,20 +82,35 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--alerts-to-files", action="store_true")
     parser.add_argument("--windows-to-console", action="store_true")
     parser.add_argument("--closed-windows", action="store_true", help="also append final windows to Parquet")
+    parser.add_argument(
+        "--available-now", action="store_true", help="process what is there in bounded batches, then stop"
+    )
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-streaming")
     raw = kafka_stream(spark, args.kafka, args.topic) if args.kafka else text_stream(spark, args.files)
-    start_all(
+    once = {"availableNow": True} if args.available_now else None
+    queries = start_all(
         spark,
         decode_payload(raw),
         args.output,
         alerts_to_files=args.alerts_to_files,
         windows_to_files=not args.windows_to_console,
+        alert_trigger=once,
+        window_trigger=once,
+        archive_trigger=once,
         closed_windows=args.closed_windows,
     )
-    spark.streams.awaitAnyTermination()
+    if args.available_now:
+        for q in queries:
+            q.awaitTermination()
+        failed = [q.name for q in queries if q.exception() is not None]
+        spark.stop()
+        if failed:
+            raise SystemExit(f"queries failed: {failed}")
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -131,3 +131,27 @@ def test_batch_then_reports_as_separate_processes(spark):
     )
     assert spark.read.parquet(f"{base}/reports/hottest_days").count() == 5
     assert spark.read.parquet(f"{base}/reports/hourly_pattern").count() == 24
+
+
+def test_streaming_job_cli_available_now_and_restart(spark):
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    from stationflow.jobs.publish import payloads
+
+    base = tempfile.mkdtemp(prefix="sf-stream-cli-", dir="/tmp")
+    save_csv(registry.wire(spark, SF_SMALL), f"{base}/csv")
+    payloads(spark, csv=f"{base}/csv").write.text(f"{base}/feed")
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    cmd = [sys.executable, "-m", "stationflow.jobs.streaming", f"{base}/out", "--files", f"{base}/feed",
+           "--alerts-to-files", "--closed-windows", "--available-now", "--master", "local[2]"]
+    for _ in range(2):  # the second run resumes from the checkpoints and finds nothing new
+        subprocess.run(cmd, check=True, cwd=base, env=env, capture_output=True, timeout=600)
+    readings = registry.wire(spark, SF_SMALL)
+    assert spark.read.parquet(f"{base}/out/raw_parquet").count() == readings.count()
+    from stationflow.operators.alerts import alert_records
+
+    assert spark.read.parquet(f"{base}/out/alerts").count() == alert_records(readings).count()

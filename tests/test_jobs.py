@@ -155,3 +155,10 @@ def test_streaming_job_cli_available_now_and_restart(spark):
     from stationflow.operators.alerts import alert_records
 
     assert spark.read.parquet(f"{base}/out/alerts").count() == alert_records(readings).count()
+
+
+def test_cluster_shuffle_partitions_scale_with_cores():
+    from stationflow.session import cluster_shuffle_partitions
+
+    assert cluster_shuffle_partitions(8) == 200
+    assert cluster_shuffle_partitions(8000) == 24000

@@ -88,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
-    spark = build_session(args.master, app="stationflow-streaming")
+    spark = build_session(args.master, app="stationflow-streaming", tasks_per_core=1)
     raw = kafka_stream(spark, args.kafka, args.topic) if args.kafka else text_stream(spark, args.files)
     once = {"availableNow": True} if args.available_now else None
     queries = start_all(

@@ -162,3 +162,28 @@ def test_cluster_shuffle_partitions_scale_with_cores():
 
     assert cluster_shuffle_partitions(8) == 200
     assert cluster_shuffle_partitions(8000) == 24000
+
+
+def test_publish_then_feed_cli(spark):
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    base = tempfile.mkdtemp(prefix="sf-pubfeed-", dir="/tmp")
+    wire = registry.wire(spark, SF_SMALL)
+    save_csv(wire, f"{base}/csv")
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    common = ["--master", "local[2]"]
+    subprocess.run(
+        [sys.executable, "-m", "stationflow.jobs.publish", "--csv", f"{base}/csv", "--to-files", f"{base}/feed", *common],
+        check=True, cwd=base, env=env, capture_output=True, timeout=600,
+    )
+    out = subprocess.run(
+        [sys.executable, "-m", "stationflow.jobs.feed", "--files", f"{base}/feed", *common],
+        check=True, cwd=base, env=env, capture_output=True, text=True, timeout=600,
+    ).stdout
+    row = [line for line in out.splitlines() if line.startswith("|") and "message_count" not in line][0]
+    count, stations = [int(x) for x in row.strip("|").split("|")[:2]]
+    assert (count, stations) == (wire.count(), wire.select("station_id").distinct().count())

@@ -22,9 +22,16 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current value of every key: the row written by the latest micro-batch."""
+def read_latest(spark: SparkSession, path: str, keys: list[str], since_batch_id: int | None = None) -> DataFrame:
+    """Current value of every key: the row written by the latest micro-batch.
+
+    With ``since_batch_id`` only keys updated in that batch or later are
+    returned (with their latest values); older ``batch_id`` folders are pruned
+    by the partition filter and never read.
+    """
     df = spark.read.parquet(path)
+    if since_batch_id is not None:
+        df = df.where(F.col("batch_id") >= since_batch_id)
     values = [c for c in df.columns if c not in keys and c != "batch_id"]
     latest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
     return latest.select(*keys, "_v.*")

@@ -194,3 +194,20 @@ def test_windows_with_the_rocksdb_state_store(spark, make_readings):
         sliding_window_stats(decode_payload(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")))
     )
     assert _window_rows(streamed) == _window_rows(batch)
+
+
+def test_read_latest_since_a_batch_prunes_old_folders(spark):
+    src, out, ckpt = _dir(), _dir(), _dir()
+    _write_files(
+        src,
+        [
+            [_payload(station_id="A", timestamp="2024-01-01 10:00:00", temperature_c=1.0)],
+            [_payload(station_id="B", timestamp="2024-01-01 10:00:30", temperature_c=2.0)],
+        ],
+    )
+    _run(sq.start_window_updates, spark, src, out, ckpt, max_files=1)
+    recent = read_latest(spark, out, sq.WINDOW_KEYS, since_batch_id=1)
+    assert {r["station_id"] for r in recent.collect()} == {"B"}
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    assert {r["station_id"] for r in read_latest(spark, out, sq.WINDOW_KEYS).collect()} == {"A", "B"}

@@ -52,3 +52,13 @@ def test_filters_reach_the_parquet_scan_of_stored_tables(spark, tmp_path):
     assert "ReadSchema: struct<station_name:string,wind_speed_kmh:double,date:date>" in gusty
     rainy = _plan(reports.rainy_days(spark.read.parquet(daily_path)))
     assert "GreaterThan(total_precipitation,5.0)" in rainy
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    import __spark_entry__ as entry
+
+    for key, q in entry.queries().items():
+        df = q(spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        plan = _plan(df)
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key

@@ -59,15 +59,43 @@ def sliding_window_stats_batch(
     partitioning keys, so no second exchange is planned.  A hot station
     spreads over all of its buckets.  Same rows, same ``window`` struct.
     """
+    size = size_minutes * 60_000_000
+    slide = slide_minutes * 60_000_000
+    bucket = bucket_minutes * 60_000_000
+    placed = halo_partition(df, time_col, size_minutes, slide_minutes, bucket_minutes)
+    starts = F.expr(
+        f"sequence(greatest(_first, _bucket * {bucket}), least(_last, (_bucket + 1) * {bucket} - {slide}), {slide})"
+    )
+    expanded = placed.withColumn("_start", F.explode(starts))
+    out = expanded.groupBy("station_id", "_bucket", "_start", "station_name").agg(*agg_exprs(_MEASURES))
+    return out.select(
+        F.struct(
+            F.expr("timestamp_micros(_start)").alias("start"),
+            F.expr(f"timestamp_micros(_start + {size})").alias("end"),
+        ).alias("window"),
+        "station_id",
+        "station_name",
+        *_MEASURES,
+    )
+
+
+def halo_partition(
+    df: DataFrame,
+    time_col: str = "event_time",
+    size_minutes: int = 5,
+    slide_minutes: int = 1,
+    bucket_minutes: int = 60,
+) -> DataFrame:
+    """Rows hash-partitioned by (station, time bucket), each copied to the previous
+    bucket too when one of its windows starts there; adds ``_first``/``_last``
+    (earliest/latest window start holding the row, epoch micros) and ``_bucket``."""
     assert size_minutes % slide_minutes == 0 and bucket_minutes % slide_minutes == 0
     assert size_minutes <= bucket_minutes
     slide, size, bucket = (m * 60_000_000 for m in (slide_minutes, size_minutes, bucket_minutes))
     t = f"unix_micros(`{time_col}`)"
     last = f"({t} - pmod({t}, {slide}))"  # latest window start holding the row
     first = f"({last} - {size - slide})"  # earliest one
-    rows = df.where(F.col(time_col).isNotNull()).withColumns(
-        {"_last": F.expr(last), "_first": F.expr(first)}
-    )
+    rows = df.where(F.col(time_col).isNotNull()).withColumns({"_last": F.expr(last), "_first": F.expr(first)})
     rows = rows.withColumn(
         "_bucket",
         F.explode(
@@ -77,21 +105,7 @@ def sliding_window_stats_batch(
             )
         ),
     )
-    placed = rows.repartition("station_id", "_bucket")
-    starts = F.expr(
-        f"sequence(greatest(_first, _bucket * {bucket}), least(_last, (_bucket + 1) * {bucket} - {slide}), {slide})"
-    )
-    expanded = placed.withColumn("_start", F.explode(starts))
-    out = expanded.groupBy("station_id", "_bucket", "_start", "station_name").agg(*agg_exprs(_MEASURES))
-    return out.select(
-        F.struct(
-            F.expr("timestamp_micros(_start)").alias("start"),
-            F.expr(f"timestamp_micros(_start + {size})").alias("end"),
-        ).alias("window"),
-        "station_id",
-        "station_name",
-        *_MEASURES,
-    )
+    return rows.repartition("station_id", "_bucket")
 
 
 def flatten_window(df: DataFrame) -> DataFrame:

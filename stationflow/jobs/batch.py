@@ -108,6 +108,8 @@ def main(argv: list[str] | None = None) -> None:
         spark, read_readings_csv(spark, args.input), args.output, args.database, args.cluster_by_date
     )
     if args.preview:
+        print(f"=== {args.database}.raw_readings ===")
+        spark.read.parquet(f"{args.output.rstrip('/')}/warehouse/raw_readings").printSchema()
         for name in OUTPUTS:
             print(f"=== {name} ===")
             spark.read.parquet(f"{args.output.rstrip('/')}/{name}").show(args.preview, truncate=False)

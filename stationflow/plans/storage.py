@@ -1,14 +1,14 @@
 """Shared scratch storage for lineage cuts, round trips and stream state.
 
 On a cluster every executor must reach these files, so the root is the folder
-the cluster names in ``spark.checkpoint.dir`` (HDFS, S3, ...).  A root of our
-own is only chosen when that setting is unset and Spark runs in local mode,
-as in tests; a cluster session without the setting is refused.
+the cluster names in ``spark.checkpoint.dir`` (HDFS, S3, ...).  Where that
+setting is unset, as in tests, the root lies beside the session's warehouse
+folder, which driver and executors share as well; a cluster session that has
+neither on a shared file system is refused.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +25,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = _context(spark)
     root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
         master = sc.master if sc else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if root.startswith(("file:", "/")) and not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="stationflow-ckpt-")
     if sc and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -43,10 +43,18 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder under the shared root (never reused, never cleared)."""
+    """A fresh, unique folder under the shared root; ``remove_path`` frees it."""
     return f"{checkpoint_root(spark)}/stationflow/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder on whatever file system holds it."""
+    if f"{checkpoint_root(spark)}/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint.
 

@@ -9,20 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stationflow.llm import oracles
 from stationflow.llm.decontaminate import decontaminate
+from stationflow.llm.near_duplicates import near_duplicates
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op6_decontamination": op6_decontamination,
 }
 
 ORACLES = {
+    "op1_near_duplicates": oracles.NEAR_DUPLICATES,
     "op6_decontamination": oracles.DECONTAMINATE,
 }

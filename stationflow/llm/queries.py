@@ -10,6 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from stationflow.llm import oracles
 from stationflow.llm.decontaminate import decontaminate
 from stationflow.llm.near_duplicates import near_duplicates
+from stationflow.llm.scratch import Scratch
+from stationflow.llm.token_files import token_digests
+
+WORD_TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +35,15 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Scratch(spark, "token-files").path("files")
+    return token_digests(_read(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER), folder)
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op6_decontamination": op6_decontamination,
+    "op7_token_files": op7_token_files,
 }
 
 ORACLES = {

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from stationflow.llm import oracles
 from stationflow.llm.decontaminate import decontaminate
 from stationflow.llm.near_duplicates import near_duplicates
+from stationflow.llm.quality import fit_quality, quality
 from stationflow.llm.scratch import Scratch
 from stationflow.llm.token_files import token_digests
+from stationflow.llm.toxicity import fit_toxicity, toxicity
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -31,6 +33,16 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity(docs, fit_toxicity(docs, _read(spark, sf_dir, "labels")))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return quality(docs, fit_quality(docs, _read(spark, sf_dir, "labels")))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -42,6 +54,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
 }

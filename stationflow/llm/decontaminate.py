@@ -180,6 +180,18 @@ def decontaminate(
     )
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated, with all their columns.
+
+    A row goes if its doc_id and text are those of a contaminated row.
+    """
+    keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc_id"), "text")
+    bad = decontaminate(keyed, benchmark, **options).where("contaminated").select("doc_id.*").distinct()
+    bad = Scratch(docs.sparkSession, "decontaminated").table(bad.toDF("__id", "__hash"), "rejected")
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
+    return docs.join(bounded_broadcast(bad, 32), same, "left_anti")
+
+
 def _alignments(hits: DataFrame, plan: DataFrame, slop: int) -> DataFrame:
     """(rid, iid, start, exact, near) where all anchors of some window meet.
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import ship
 from stationflow.llm.components import connected_components
-from stationflow.llm.scratch import Scratch
+from stationflow.llm.scratch import Scratch, bounded_broadcast
 
 ship(__name__)
 
@@ -355,3 +355,19 @@ def near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:
             "representative"
         ),
     )
+
+
+def distinct_documents(docs: DataFrame, params: Params | None = None) -> DataFrame:
+    """One row of ``docs`` per component, with all its columns: the representative's.
+
+    Of repeated rows (same doc_id and text) one is kept, whichever it is in the
+    other columns.
+    """
+    gone = near_duplicates(docs, params).where("NOT representative").select("doc_id", "text_hash")
+    gone = Scratch(docs.sparkSession, "distinct-documents").table(gone.toDF("__id", "__hash"), "gone")
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]).eqNullSafe(F.col("__hash")))
+    kept = docs.join(bounded_broadcast(gone, 32), same, "left_anti").withColumn("__hash", F.xxhash64("text"))
+    repeats = kept.groupBy("doc_id", "__hash").agg(F.count("*").alias("n")).where("n > 1")
+    if repeats.isEmpty():
+        return kept.drop("__hash")
+    return kept.dropDuplicates(["doc_id", "__hash"]).drop("__hash")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stationflow.llm import oracles
 from stationflow.llm.decontaminate import decontaminate
+from stationflow.llm.mixing import mix
 from stationflow.llm.near_duplicates import near_duplicates
 from stationflow.llm.quality import fit_quality, quality
 from stationflow.llm.scratch import Scratch
@@ -43,6 +44,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(docs, fit_quality(docs, _read(spark, sf_dir, "labels")))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -56,6 +61,7 @@ QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
+    "op5_mixing": op5_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stationflow.llm import oracles
 from stationflow.llm.decontaminate import decontaminate
+from stationflow.llm.licences import licences
 from stationflow.llm.mixing import mix
 from stationflow.llm.near_duplicates import near_duplicates
 from stationflow.llm.quality import fit_quality, quality
@@ -34,6 +35,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences(_read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return toxicity(docs, fit_toxicity(docs, _read(spark, sf_dir, "labels")))
@@ -59,6 +64,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_licences": op2_licences,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,

@@ -12,6 +12,7 @@ from stationflow.llm.decontaminate import decontaminate
 from stationflow.llm.licences import licences
 from stationflow.llm.mixing import mix
 from stationflow.llm.near_duplicates import near_duplicates
+from stationflow.llm.neighbours import nearest
 from stationflow.llm.quality import fit_quality, quality
 from stationflow.llm.scratch import Scratch
 from stationflow.llm.token_files import token_digests
@@ -62,6 +63,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_read(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER), folder)
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_licences": op2_licences,
@@ -70,6 +75,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
+    "op8_neighbours": op8_neighbours,
 }
 
 ORACLES = {

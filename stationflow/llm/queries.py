@@ -15,10 +15,12 @@ from stationflow.llm.near_duplicates import near_duplicates
 from stationflow.llm.neighbours import nearest
 from stationflow.llm.quality import fit_quality, quality
 from stationflow.llm.scratch import Scratch
+from stationflow.llm.token_counts import derived_edits, token_counts
 from stationflow.llm.token_files import token_digests
 from stationflow.llm.toxicity import fit_toxicity, toxicity
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path(name: str) -> str:
@@ -67,6 +69,10 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_read(spark, sf_dir, "embeddings"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(derived_edits(_read(spark, sf_dir, "documents")), tokenizer_path(BYTE_TOKENIZER))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_licences": op2_licences,
@@ -76,6 +82,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
     "op8_neighbours": op8_neighbours,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLES = {

@@ -62,3 +62,15 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
+
+WARC = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+), shared AS (
+  SELECT digest, max(page_id) AS target FROM payloads WHERE n >= 1000 GROUP BY 1
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> target THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> target THEN target END AS refers_to
+FROM payloads LEFT JOIN shared USING (digest)
+"""

@@ -18,6 +18,7 @@ from stationflow.llm.scratch import Scratch
 from stationflow.llm.token_counts import derived_edits, token_counts
 from stationflow.llm.token_files import token_digests
 from stationflow.llm.toxicity import fit_toxicity, toxicity
+from stationflow.llm.warc import archived_pages
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -73,6 +74,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(derived_edits(_read(spark, sf_dir, "documents")), tokenizer_path(BYTE_TOKENIZER))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(_read(spark, sf_dir, "pages"), Scratch(spark, "warc").path("archives"))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_licences": op2_licences,
@@ -83,9 +88,11 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op8_neighbours": op8_neighbours,
     "op9_token_counts": op9_token_counts,
+    "op10_warc": op10_warc,
 }
 
 ORACLES = {
+    "op10_warc": oracles.WARC,
     "op1_near_duplicates": oracles.NEAR_DUPLICATES,
     "op6_decontamination": oracles.DECONTAMINATE,
 }

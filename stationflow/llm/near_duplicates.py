@@ -8,12 +8,13 @@
    sketch's values suffice as its inverted-list entries (prefix principle):
    linked sets have one of them in common.  Values that many documents share
    come last in that order and stay out of the lists.
-3. Lists up to ``SHORT`` yield their pairs.  Longer ones (the lists of large
-   groups of copies) are compared with hubs instead: a document whose sketch is
-   near the hub's needs no further comparison in that list, one in the looser
-   ring joins the hub's cluster, the rest meet further hubs, whose number grows
-   from round to round until the list is done.  Pairs are filtered by the
-   similarity that the union's sketch estimates.
+3. Lists up to ``short`` documents yield their pairs.  Documents in longer ones
+   (large groups of copies, or texts made mostly of common passages) are listed
+   again under ``keys`` combinations of ``grain`` retained values each; linked
+   ones share many of these but for a chance below 1e-7.  A combination's
+   documents are compared with the first of them, so a list of any length costs
+   one pair a document.  Pairs are filtered by the similarity that the union's
+   sketch estimates.
 4. The connected components of these candidates are clusters; no link leaves
    one.  Each cluster's texts come together once, in blocks of bounded size,
    and exact intersections of the full sets decide.  Blocks of a large cluster
@@ -49,10 +50,11 @@ class Params:
     k: int = 64
     #: Share of the union's sketch that linked sets have in common (5.5 standard deviations below 0.85 at k = 64).
     share: float = 0.60
-    #: Estimates: at ``tight`` and above a hub stands for the document; every document linked to it estimates ``loose`` or more.
-    tight: float = 0.85
+    #: Least estimate between a document and the first one of its list.
     loose: float = 0.45
     short: int = 12
+    keys: int = 60
+    grain: int = 5
     block_docs: int = 1500
     block_bytes: int = 8 << 20
 
@@ -125,13 +127,13 @@ def _inverted_lists(sets: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
 
 
 def _estimated(pairs: DataFrame, sets: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
-    """``pairs`` (a, b) with ``est``: the share of the union's sketch that both sketches hold."""
-    x = sets.select(F.col("rid").alias("a"), F.col("sketch").alias("x"))
-    y = sets.select(F.col("rid").alias("b"), F.col("sketch").alias("y"))
-    union = F.slice(F.array_sort(F.array_union(F.transform("x", _unsigned), F.transform("y", _unsigned))), 1, p.k)
-    both = F.array_intersect(F.array_intersect(union, F.transform("x", _unsigned)), F.transform("y", _unsigned))
-    est = pairs.join(x, "a").join(y, "b").select("a", "b", (F.size(both) / F.size(union)).alias("est"))
-    return scratch.table(est.where(F.col("est") >= p.loose), "estimates")
+    """``pairs`` (a, b, least) whose share of the union's sketch that both sketches hold is ``least`` or more."""
+    x = sets.select(F.col("rid").alias("a"), F.transform("sketch", _unsigned).alias("x"))
+    y = sets.select(F.col("rid").alias("b"), F.transform("sketch", _unsigned).alias("y"))
+    union = F.slice(F.array_sort(F.array_union("x", "y")), 1, p.k)
+    both = F.array_intersect(F.array_intersect(union, F.col("x")), F.col("y"))
+    near = pairs.join(x, "a").join(y, "b").where(F.size(both) >= F.col("least") * F.size(union))
+    return scratch.table(near.select("a", "b"), "edges")
 
 
 def _unsigned(v):
@@ -139,44 +141,46 @@ def _unsigned(v):
     return v.bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
 
 
+def _combinations(p: Params):
+    """(rid, sketch) -> (key, rid): per key, the retained values that come first under ``grain`` reorderings."""
+    rng = np.random.default_rng(11)
+    odd = rng.integers(0, 1 << 63, p.keys * p.grain, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rids, keys = batch.column(0).to_numpy(), np.zeros((batch.num_rows, p.keys), np.uint64)
+            for row, sketch in zip(keys, batch.column(1), strict=True):
+                values = sketch.values.to_numpy().view(np.uint64)
+                turned = values[None, :] * odd[:, None]
+                turned = (turned ^ (turned >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                first = values[turned.argmin(axis=1)].reshape(p.keys, p.grain)
+                for i in range(p.grain):
+                    row ^= first[:, i]
+                    row *= np.uint64(0x9E3779B97F4A7C15)
+                    row ^= row >> np.uint64(31)
+                row += np.arange(p.keys, dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(rids, p.keys))], names=["key", "rid"]
+            )
+
+    return run
+
+
 def _candidates(lists: DataFrame, sets: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
     """Edges (a, b) of the candidate graph."""
-    found = []
-    hubs = 1
-    while True:
-        sizes = lists.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
-        sized = lists.join(sizes, "value")
-        members = sized.where(F.col("n") <= p.short).groupBy("value").agg(F.sort_array(F.collect_list("rid")).alias("m"))
-        pairs = members.select(F.explode("m").alias("a"), "m").select(
-            "a", F.explode(F.filter("m", lambda b: b > F.col("a"))).alias("b")
-        )
-        near = _estimated(pairs.distinct(), sets, p, scratch)
-        found.append(near.where(F.col("est") >= p.share).select("a", "b"))
-
-        long = scratch.table(sized.where(F.col("n") > p.short), "long")
-        if long.isEmpty():
-            break
-        chance = F.xxhash64("value", "rid", F.lit(hubs)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-        first = long.groupBy("value").agg(F.min("rid").alias("hub"))
-        drawn = long.where(chance < F.lit(hubs - 1) / F.col("n")).select("value", F.col("rid").alias("hub"))
-        chosen = scratch.table(first.unionAll(drawn).distinct(), "hubs")
-        met = long.select("value", "rid").join(chosen, "value")
-        pairs = met.select(F.col("hub").alias("a"), F.col("rid").alias("b")).where("a <> b").distinct()
-        near = _estimated(pairs, sets, p, scratch)
-        found.append(near.select("a", "b"))
-        # a list goes on with the documents far from all of its hubs, and with those in a ring that a far one may be linked to
-        ties = met.join(near, (F.col("hub") == F.col("a")) & (F.col("rid") == F.col("b")), "left")
-        states = ties.groupBy("value", "rid").agg(
-            F.max(F.coalesce("est", F.when(F.col("hub") == F.col("rid"), 1.0), F.lit(0.0))).alias("est")
-        )
-        rest = states.where(F.col("est") < p.tight)
-        open_lists = rest.where(F.col("est") < p.loose).select("value").distinct()
-        lists = scratch.table(rest.select("value", "rid").join(open_lists, "value", "left_semi"), "rest")
-        hubs *= 8
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.unionAll(more)
-    return edges
+    sizes = lists.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+    sized = scratch.table(lists.join(sizes, "value"), "sized")
+    members = sized.where(F.col("n") <= p.short).groupBy("value").agg(F.sort_array(F.collect_list("rid")).alias("m"))
+    pairs = members.select(F.explode("m").alias("a"), "m").select(
+        "a", F.explode(F.filter("m", lambda b: b > F.col("a"))).alias("b")
+    )
+    crowd = sized.where(F.col("n") > p.short).select("rid").distinct()
+    listed = sets.select("rid", "sketch").join(crowd, "rid", "left_semi").mapInArrow(_combinations(p), "key long, rid long")
+    listed = scratch.table(listed, "combinations")
+    first = listed.groupBy("key").agg(F.min("rid").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
+    starred = listed.join(first, "key").where("a <> rid").select("a", F.col("rid").alias("b"), F.lit(p.loose).alias("least"))
+    wanted = pairs.withColumn("least", F.lit(p.share)).unionAll(starred)
+    return _estimated(wanted.groupBy("a", "b").agg(F.min("least").alias("least")), sets, p, scratch)
 
 
 def _exact_links(sets: list[np.ndarray], threshold: int) -> np.ndarray:

@@ -338,7 +338,7 @@ def near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:
     )
     wanted = clusters.select("rid", F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")
     source = keyed.select(F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash", F.col("text").cast("binary").alias("text"))
-    texts = wanted.join(source, ["id", "text_hash"]).select("rid", "text")
+    texts = source.join(bounded_broadcast(wanted, 32), ["id", "text_hash"]).select("rid", "text")
     links = _verified(clusters.select("cluster", "rid", "bytes"), texts, p, scratch)
     root = connected_components(links, scratch)
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.scratch import Scratch, bounded_broadcast, text_broadcast
+from stationflow.llm.scratch import Scratch, bounded_broadcast
 from stationflow.llm.words import lower_ascii, split_words, word_count
 
 WINDOW = 13
@@ -63,7 +63,7 @@ def build_index(docs: DataFrame, vocabulary: DataFrame, scratch: Scratch) -> Dat
     each = split.select("rid", "doc_id", word_count(F.col("words")).alias("n_words"), F.posexplode("words"))
     postings = (
         each.withColumn("word", lower_ascii(F.col("col")))
-        .join(text_broadcast(known, "word"), "word")
+        .join(bounded_broadcast(known, F.octet_length("word") + 64), "word")
         .where("pos = 0 OR term IS NOT NULL")
     )
     header = F.col("pos") == 0
@@ -128,12 +128,13 @@ def decontaminate(
     hits = postings.join(bounded_broadcast(lookups, 24), "term").select(
         "rid", "iid", (F.col("pos") - F.col("off")).alias("start"), "off"
     )
-    aligned = _alignments(hits, plan, slop)
-    aligned = scratch.table(aligned, "alignments")
+    # an item's row holds its words, their anchors and its window starts
+    plan = bounded_broadcast(plan, 200 + F.size("terms") * (16 + 16 * anchors))
+    aligned = scratch.table(_alignments(hits, plan, slop), "alignments")
 
     starts = aligned.where("exact").select("rid", "iid", "start")
     rows = scratch.table(starts.select("rid").distinct(), "rows")
-    wanted = starts.join(bounded_broadcast(plan, 4096).select("iid", "terms"), "iid").select(
+    wanted = starts.join(plan.select("iid", "terms"), "iid").select(
         "rid", "iid", "start", F.posexplode("terms").alias("off", "term")
     )
     near_rows = postings.join(bounded_broadcast(rows, 16), "rid", "left_semi")
@@ -142,7 +143,7 @@ def decontaminate(
         .join(near_rows, ["rid", "pos", "term"])
         .groupBy("rid", "iid", "start")
         .agg(F.collect_set("off").alias("got"))
-        .join(bounded_broadcast(plan, 4096).select("iid", "item_id", "len", "starts"), "iid")
+        .join(plan.select("iid", "item_id", "len", "starts"), "iid")
     )
     whole = F.filter(
         "starts", lambda s: F.size(F.array_intersect(F.sequence(s, s + F.col("len") - 1), F.col("got"))) == F.col("len")
@@ -200,7 +201,7 @@ def _alignments(hits: DataFrame, plan: DataFrame, slop: int) -> DataFrame:
     set of anchors shares a range.
     """
     by_start = hits.groupBy("rid", "iid", "start").agg(F.collect_set("off").alias("got"))
-    joined = by_start.join(bounded_broadcast(plan, 4096).select("iid", "anchors"), "iid")
+    joined = by_start.join(plan.select("iid", "anchors"), "iid")
     complete = F.exists("anchors", lambda w: F.size(F.array_except(w, F.col("got"))) == 0)
     ranges = F.array(F.floor(F.col("start") / (2 * slop)) * 2, F.floor((F.col("start") + slop) / (2 * slop)) * 2 - 1)
     exact = joined.where(complete).select("rid", "iid", "start", F.lit(True).alias("exact"), F.lit(True).alias("near"))

@@ -156,7 +156,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     rows, passes, _ = plan(docs.select("doc_id", "text", "source"), scratch, **options)
-    p = bounded_broadcast(passes.withColumnsRenamed({"source": "s", "block": "b"}), 128)
+    passes = passes.withColumnsRenamed({"source": "s", "block": "b"})
+    p = bounded_broadcast(passes, F.coalesce(F.octet_length("s"), F.lit(0)) + 64)
     return rows.join(p, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
 
 
@@ -168,6 +169,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     times = scratch.table(times.withColumnsRenamed({"source": "__source", "block": "__block"}), "times")
     placed = docs.withColumn("__at", _block(options.get("seed", SEED)))
     joined = placed.join(
-        bounded_broadcast(times, 128), F.col("source").eqNullSafe(F.col("__source")) & (F.col("__at") == F.col("__block"))
+        bounded_broadcast(times, F.coalesce(F.octet_length("__source"), F.lit(0)) + 64),
+        F.col("source").eqNullSafe(F.col("__source")) & (F.col("__at") == F.col("__block")),
     )
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)

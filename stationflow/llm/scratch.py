@@ -7,12 +7,12 @@ the columns it needs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.plans.storage import remove_path, scratch_path
 
-#: Largest table, in bytes as measured by ``bounded_broadcast``, that is sent to every executor.
+#: Bytes, as measured by ``bounded_broadcast``, of the largest table that is sent to every executor.
 BROADCAST_BYTES = 16 << 20
 
 
@@ -41,17 +41,14 @@ class Scratch:
             remove_path(self.spark, self._paths.pop(name))
 
 
-def bounded_broadcast(df: DataFrame, width: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if ``count * width`` stays within ``limit`` bytes.
+def bounded_broadcast(df: DataFrame, width: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows' ``width`` in bytes adds up to ``limit`` at most.
 
-    ``width`` is a bound on the bytes of one row.  Beyond the limit ``df`` comes
-    back without a hint and Spark joins by shuffling.  The count is one
-    distributed aggregate, so ``df`` should be a written table.
+    ``width`` bounds the bytes of one row: a number, or a column where rows hold
+    texts or arrays.  Beyond the limit ``df`` comes back without a hint and Spark
+    joins by shuffling.  The sum is one distributed aggregate, so ``df`` should be
+    a written table.
     """
-    return F.broadcast(df) if df.count() * width <= limit else df
-
-
-def text_broadcast(df: DataFrame, column: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Like ``bounded_broadcast`` with the bytes of a text column counted exactly (plus 64 a row)."""
-    size = df.agg(F.sum(F.octet_length(column) + F.lit(64)).alias("n")).first()["n"] or 0
+    column = F.lit(width) if isinstance(width, int) else width
+    size = df.agg(F.sum(column.cast("long")).alias("n")).first()["n"] or 0
     return F.broadcast(df) if size <= limit else df

@@ -229,7 +229,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     base = F.coalesce(F.sum("size").over(before), F.lit(0)) - len(VERSION)
     splits = scratch.table(sums.select("file", "split", base.alias("base"), (base + F.col("size")).alias("stop")), "splits")
     shift = lambda *names: {n: F.col(n) + F.col("base") for n in names}
-    pieces = local.join(bounded_broadcast(splits.drop("stop"), 300), ["file", "split"])
+    pieces = local.join(bounded_broadcast(splits.drop("stop"), F.octet_length("file") + 48), ["file", "split"])
     pieces = scratch.table(pieces.withColumns(shift("at", "next", "exit")).drop("base"), "placed")
 
     exits = pieces.where("exit IS NOT NULL").select("file", F.col("exit").alias("at")).distinct()

@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stationflow.llm import quality as q
+from stationflow.llm import toxicity as t
+from stationflow.llm.labelled import training_rows
+
+DOCS, LABELS = "doc_id long, text string", "doc_id long, quality int, toxic int"
+SF = "/root/testdata/sf0.1"
+
+
+def auc(rows, label):
+    pos = np.array([r.score for r in rows if r[label] == 1])
+    neg = np.array([r.score for r in rows if r[label] == 0])
+    return ((pos[:, None] > neg) + 0.5 * (pos[:, None] == neg)).mean()
+
+
+def tables(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = tables(spark)
+    found = t.toxicity(docs, t.fit_toxicity(docs, labels)).join(labels, "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in found if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    assert auc(held, "toxic") > 0.95
+    clean = [r.predicted for r in held if r.toxic == 0]
+    assert sum(clean) / len(clean) < 0.02 and all(r.predicted == (r.score >= 0.5) for r in held)
+
+
+def test_quality_on_held_out_rows(spark):
+    docs, labels = tables(spark)
+    found = q.quality(docs, q.fit_quality(docs, labels)).join(labels, "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert {r.doc_id for r in held} == {r.doc_id for r in found if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
+    assert auc(held, "quality") > 0.98
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    rng = random.Random(1)
+    words = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "idio"]) for _ in range(n))
+    docs, labels = [], []
+    for i in range(300):
+        bad = i % 3 == 0
+        docs.append((i, words(30) + (" you snorble snorbling" if bad else "") + (" | !! ## " * 20 if bad else ".")))
+        labels.append((i, int(not bad), int(bad)))
+    docs += [(900, None), (901, ""), (902, "word " * 50_000), (None, "null id"), (903, "you snorble"), (903, "you snorble")]
+    labels += [(900, 1, 0), (5, None, None), (6, 7, -1), (6, 1, 0), (None, 1, 1), (12345, 0, 1)]
+    clash = "*", "'x' AS y", "0.3D AS score", "true AS held_out", "'e' AS entry"
+    return spark.createDataFrame(docs, DOCS).selectExpr(*clash), spark.createDataFrame(labels, LABELS).selectExpr("*", "'z' AS text")
+
+
+@pytest.mark.parametrize("fit,score", [(t.fit_toxicity, t.toxicity), (q.fit_quality, q.quality)])
+def test_edge_cases(spark, small, fit, score):
+    docs, labels = small
+    found = score(docs, fit(docs, labels)).collect()
+    assert len(found) == docs.count()
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r.doc_id, []).append(r.score)
+    assert by_id[900] == by_id[901] and len(set(by_id[903])) == 1
+    assert not [r for r in found if r.doc_id is None][0].held_out
+
+
+@pytest.mark.parametrize("fit,score", [(t.fit_toxicity, t.toxicity), (q.fit_quality, q.quality)])
+def test_empty_tables(spark, small, fit, score):
+    none = spark.createDataFrame([], LABELS)
+    model = fit(small[0], none)
+    assert score(spark.createDataFrame([], DOCS), model).count() == 0
+    assert score(small[0], model).count() == small[0].count()
+    assert score(spark.createDataFrame([], DOCS), fit(spark.createDataFrame([], DOCS), none)).count() == 0
+
+
+def test_same_model_for_any_partitioning(spark, small):
+    docs, labels = small
+    assert t.fit_toxicity(docs, labels) == t.fit_toxicity(docs.repartition(7), labels.repartition(3))
+    a, b = q.fit_quality(docs, labels), q.fit_quality(docs.repartition(7), labels.repartition(3))
+    assert all((x == y).all() for x, y in zip(a.parts, b.parts, strict=True))
+
+
+def test_training_rows_are_bounded_and_never_held_out(spark, small):
+    docs, labels = small
+    rows = training_rows(docs, labels, "toxic", F.col("doc_id") % 2 == 1, 40)
+    assert rows.count() == 40
+    assert training_rows(docs, labels, "toxic", F.col("doc_id") == 6, 40).collect()[0].y == 0
+
+
+def test_folding_matching_and_exceptions():
+    assert t.fold_text("1D10T, ідіот! $tup1d") == " idiot idiot stupid "
+    model = t.ToxicityModel(dict.fromkeys(t.SEEDS, 4.0) | {"idio": 1.0}, t.DEFAULT)
+    none, one, exempt, longer = model.features([None, "an 1d10t", "the trash can", "idiot-ish idiom"])
+    assert none[3] == 0 and one[3] == 4.0 and exempt[3] == 0
+    assert longer[1] == pytest.approx(np.log1p(5.0))  # the heavier entry at a word, once a word
+    scores = model.score(["stupid idiot " * 5, "plain words only"])
+    assert scores[0] > 0.5 > scores[1]
+
+
+def test_gradients_of_the_attention_network():
+    rng = np.random.default_rng(0)
+    bags = [rng.normal(size=(n, q.WIDTH)) for n in (1, 3, 5)]
+    y = np.array([1.0, 0.0, 1.0])
+    model = q.train(bags * 10, np.tile(y, 10), epochs=300)
+    x = (np.concatenate(bags) - model.mean) / model.scale
+    score, (_, _, _, _, share, _) = q.forward(model.parts, x, np.array([0, 1, 4]))
+    assert np.abs(score - y).max() < 0.1
+    assert np.allclose(np.add.reduceat(share, [0, 1, 4]), 1)
+
+
+def test_passages_cover_the_whole_text():
+    assert len(q.bag(None)) == len(q.bag("")) == 1
+    assert len(q.bag("w " * (q.PASSAGE * 3 + 1))) == 4

@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import random
+import re
+
+from stationflow.llm.licences import BASE, TEMPLATES, licences
+
+SCHEMA = "doc_id long, text string"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(text):
+    words, starts, labels = WORD.findall((text or "").translate(LOWER)), [], set()
+    for phrase, label in BASE:
+        phrase = phrase.split()
+        for i in range(len(words) - len(phrase) + 1):
+            if words[i : i + len(phrase)] == phrase:
+                starts.append(i)
+                labels.add(label)
+    return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def base_of(r):
+    return r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels
+
+
+def test_base_columns_equal_brute_force(spark):
+    rng = random.Random(4)
+    pieces = ["mit", "MIT License", "Apache, License", "general-public", "General Public\nLicense!", "license", "été", "submit license", "GNU", "7", "--"]
+    rows = [(i, " ".join(rng.choice(pieces) for _ in range(rng.randint(0, 30)))) for i in range(200)]
+    rows += [(None, "mit license"), (900, None), (901, ""), (902, "..."), (903, "mit license " * 20_000), (904, "the mit license"), (904, "the mit license")]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS rid", "2 AS pos", "'x' AS word", "3 AS n_base").repartition(4)
+    found = licences(docs).collect()
+    assert sorted((str(r.doc_id), *map(str, base_of(r))) for r in found) == sorted((str(i), *map(str, brute(t))) for i, t in rows)
+    assert all(set(r.base_labels.split(",")) <= set(r.labels.split(",")) for r in found if r.base_labels)
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_templates_are_found_wherever_they_stand(spark):
+    rows = [(i, f"some words before {text.upper()} and some after") for i, (_, text) in enumerate(TEMPLATES)]
+    found = {r.doc_id: r for r in licences(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, (label, _) in enumerate(TEMPLATES):
+        assert label in found[i].labels.split(","), TEMPLATES[i]
+    assert found[8].score > 0.6 and found[8].labels == "mpl" and found[8].base_labels == ""
+
+
+def test_needs_the_key_phrase_and_the_relative_position(spark):
+    notice = dict(TEMPLATES)["bsd"].split()
+    rows = [
+        (1, " ".join(notice)),
+        (2, " ".join(w for w in notice if w != "binary")),  # without its key phrase
+        (3, "source and binary forms"),  # the key phrase alone
+        (4, " ".join(notice[:8] + ["altered"] + notice[9:])),  # one word of the notice changed
+        (5, " ".join(sorted(notice)) + " source and binary forms"),  # the words, not in their places
+    ]
+    found = {r.doc_id: r for r in licences(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [found[i].labels for i in range(1, 6)] == ["bsd", "", "", "bsd", ""]
+    assert found[1].score == 1 and 0.6 <= found[4].score < 1 and found[2].score == 0
+
+
+def test_empty_table_and_native_plan(spark):
+    found = licences(spark.createDataFrame([], SCHEMA))
+    assert found.count() == 0
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", found._jdf.queryExecution().toString())

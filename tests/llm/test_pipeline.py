@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as cp
+from stationflow.llm import queries
+from stationflow.llm.decontaminate import decontaminate
+from stationflow.llm.near_duplicates import near_duplicates
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs, found = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    found["documents"] = docs
+    for name, stage in cp.STAGES:
+        docs = stage(spark, docs, SF)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        found[name] = docs
+    return found
+
+
+def ids(df):
+    return [r.doc_id for r in df.select("doc_id").collect()]
+
+
+def test_columns(stages):
+    names = list(stages)
+    assert all(stages[n].columns == stages["documents"].columns for n in names[:-1])
+    assert stages[names[-1]].columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_each_stage_takes_effect_on_its_own_input(spark, stages):
+    assert set(ids(stages["toxicity"])) < set(ids(stages["documents"]))
+    kept = [r.doc_id for r in near_duplicates(stages["toxicity"]).where("kept").collect()]
+    assert sorted(ids(stages["near-duplicates"])) == sorted(kept)
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    clean = decontaminate(stages["near-duplicates"], benchmark).where("NOT contaminated").collect()
+    assert sorted(ids(stages["decontamination"])) == sorted(r.doc_id for r in clean)
+    mixed = Counter(ids(stages["mixing"]))
+    assert set(mixed) == set(ids(stages["decontamination"])) and max(mixed.values()) == 2
+    assert Counter(ids(stages["token-files"])) == mixed
+
+
+def test_run_gives_the_last_stage(spark, stages):
+    assert sorted(cp.run(spark, SF).collect()) == sorted(stages["token-files"].collect())
+
+
+def test_queries_are_registered():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert set(queries.QUERIES) | {"pipeline"} <= set(names)
+    assert set(queries.ORACLES) <= set(entry.oracle_sql())

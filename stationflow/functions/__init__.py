@@ -1,6 +1,6 @@
 """Column-level building blocks (all built-in Spark expressions, no UDFs)."""
 
-from stationflow.functions.measures import exact_mean, exact_sum, r2
+from stationflow.functions.measures import r2
 from stationflow.functions.rules import alert_condition, alert_severity, alert_type
 from stationflow.functions.time import event_time, wall_clock
 
@@ -9,8 +9,6 @@ __all__ = [
     "alert_severity",
     "alert_type",
     "event_time",
-    "exact_mean",
-    "exact_sum",
     "r2",
     "wall_clock",
 ]

@@ -2,17 +2,19 @@
 
 A plain ``avg`` of doubles depends on the order in which partial sums meet, so
 the same query can round to a different second decimal on another run, another
-partitioning or another micro-batch split.  Readings carry at most
-``MEASURE_SCALE`` decimals, so each value is an exact integer number of
-``10**-MEASURE_SCALE`` units, and integer sums are exact and order-free.
-
-Summing those integers as DECIMAL keeps 128-bit buffers, which Spark cannot
+partitioning or another micro-batch split.  Most readings carry at most
+``MEASURE_SCALE`` decimals: such a value is an exact integer number of
+``10**-MEASURE_SCALE`` units, and integer sums are exact and order-free.  What a
+value has beyond its units (further decimals, a magnitude beyond 64 bits, NaN,
+an infinity) is its residual; residuals are summed as doubles and added, so
+every mean and sum covers all of every value.
+
+Summing the integers as DECIMAL keeps 128-bit buffers, which Spark cannot
 hold in its fast fixed-width aggregation rows (measured ~6x slower than
 ``avg``).  Instead each unit count ``v`` is split as ``v = hi * 2**20 + lo``
 with ``0 <= lo < 2**20``; ``sum(hi)`` and ``sum(lo)`` are plain LONG sums
 (codegen'd, map-side combinable) that cannot overflow below ~8e12 rows per
 group, and are joined into one exact DECIMAL(38,0) only once per group.
-Non-finite inputs (NaN, +-Infinity) have no unit count and are left out.
 
 Expressions are built as SQL text and turned into one Column with a single
 ``F.expr`` call: the same plan as nested ``F.*`` calls, without hundreds of
@@ -32,23 +34,34 @@ _LOW_MASK = (1 << _SPLIT_BITS) - 1
 
 
 def units_sql(expr: str) -> str:
-    """Exact integer number of 10**-MEASURE_SCALE units (null if not finite)."""
+    """Whole 10**-MEASURE_SCALE units of a value (null where 64 bits can't hold them)."""
     return f"try_cast(rint(({expr}) * {_UNIT}) AS BIGINT)"
 
 
-def _total_sql(units: str) -> str:
-    hi = f"CAST(sum(shiftright({units}, {_SPLIT_BITS})) AS DECIMAL(38,0))"
-    lo = f"CAST(sum({units} & {_LOW_MASK}) AS DECIMAL(38,0))"
-    return f"(CAST({hi} * {1 << _SPLIT_BITS} + {lo} AS DOUBLE) / {_UNIT})"
+def parts_sql(expr: str) -> dict[str, str]:
+    """The four sums that make up an exact sum or mean; each adds up over parts of a group."""
+    units = units_sql(expr)
+    return {
+        "hi": f"sum(shiftright({units}, {_SPLIT_BITS}))",
+        "lo": f"sum({units} & {_LOW_MASK})",
+        "rest": f"sum(({expr}) - coalesce({units}, 0L) / {_UNIT})",
+        "n": f"count({expr})",
+    }
+
+
+def total_sql(hi: str, lo: str, rest: str) -> str:
+    """The sum from its parts (null when there was no value)."""
+    whole = f"CAST({hi} AS DECIMAL(38,0)) * {1 << _SPLIT_BITS} + CAST({lo} AS DECIMAL(38,0))"
+    return f"(coalesce(CAST({whole} AS DOUBLE) / {_UNIT}, 0D) + {rest})"
 
 
 def exact_sum_sql(expr: str) -> str:
-    return _total_sql(units_sql(expr))
+    p = parts_sql(expr)
+    return total_sql(p["hi"], p["lo"], p["rest"])
 
 
 def exact_mean_sql(expr: str) -> str:
-    units = units_sql(expr)
-    return f"({_total_sql(units)} / count({units}))"
+    return f"({exact_sum_sql(expr)} / {parts_sql(expr)['n']})"
 
 
 def r2_sql(expr: str, digits: int = 2) -> str:
@@ -56,16 +69,6 @@ def r2_sql(expr: str, digits: int = 2) -> str:
     return f"round({expr}, {digits})"
 
 
-def exact_sum(expr: str) -> Column:
-    """Order-independent sum of a double expression (null when no value)."""
-    return F.expr(exact_sum_sql(expr))
-
-
-def exact_mean(expr: str) -> Column:
-    """Order-independent mean of a double expression (null when no value)."""
-    return F.expr(exact_mean_sql(expr))
-
-
 def r2(c: Column, digits: int = 2) -> Column:
     return F.round(c, digits)
 

@@ -22,11 +22,16 @@ def _rules() -> list[tuple[Column, str]]:
 
 
 def alert_condition() -> Column:
-    """True when any strict threshold is crossed; a null measure never matches."""
+    """True when any strict threshold is crossed.
+
+    A null measure crosses nothing: the condition is then true through another
+    measure, false or null, and ``where`` drops the last two alike.  The bare OR
+    reaches the scan as pushed filters.
+    """
     cond = None
     for pred, _ in _rules():
         cond = pred if cond is None else (cond | pred)
-    return F.coalesce(cond, F.lit(False))
+    return cond
 
 
 def alert_type() -> Column:

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from stationflow.schema import TIMESTAMP_FORMAT
 
+#: Texts of the wire format; the cast alone would take other forms too.
+TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+
 
 def event_time(col: str | Column = "timestamp") -> Column:
     """Parse wire text into an instant (``TIMESTAMP``), as watermarks need."""
@@ -20,6 +23,11 @@ def event_time(col: str | Column = "timestamp") -> Column:
 
 
 def wall_clock(col: str | Column = "timestamp") -> Column:
-    """Parse wire text into a wall-clock ``TIMESTAMP_NTZ`` (no zone, like the text)."""
-    return event_time(col).cast("timestamp_ntz")
+    """Parse wire text into a wall-clock ``TIMESTAMP_NTZ``.
+
+    The text names no zone, so none enters: hours that the session's zone skips
+    or repeats come back as they were written.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c.rlike(TIMESTAMP_PATTERN), c.try_cast("timestamp_ntz"))
 

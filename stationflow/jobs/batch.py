@@ -13,15 +13,17 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from stationflow.operators import outliers, stats
 from stationflow.operators.summary import run_summary
+from stationflow.plans.storage import materialize
 from stationflow.schema import DATABASE
 from stationflow.session import build_session
-from stationflow.sinks.files import save_parquet, save_table
+from stationflow.sinks.files import save_parquet
 from stationflow.sources.files import read_readings_csv
-from stationflow.sources.warehouse import DAILY_STATS_DDL, ensure_database, scan
+from stationflow.sources.warehouse import define_external_table, drop_table, ensure_database, scan
 
 OUTPUTS = (
     "daily_aggregations",
@@ -38,17 +40,20 @@ OUTPUTS = (
 def _write_table(
     spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None
 ) -> DataFrame:
-    """Write ``df`` as a catalog table at ``path`` and read it back.
+    """Write ``df`` at ``path``, define the external table ``name`` over it and read it back.
 
-    If the catalog is unreachable the files are still written at ``path`` and
-    read by path, so the run goes on without the warehouse (reported, not fatal).
+    The data is written once, outside the catalog; what fails there fails the
+    job.  A catalog that refuses the definition is reported, and the run goes on
+    with the files.  An older table of that name is forgotten first.
     """
+    save_parquet(df, path, partition_by=partition_by)
     try:
-        save_table(df, name, path=path, partition_by=partition_by)
+        ensure_database(spark, name.split(".")[0])
+        drop_table(spark, name)
+        define_external_table(spark, name, df.schema, path, partition_by)
         return scan(spark, name)
-    except Exception as exc:  # noqa: BLE001 - any catalog failure
-        print(f"Catalog write of {name} skipped ({type(exc).__name__}); using files at {path}")
-        save_parquet(df, path, partition_by=partition_by)
+    except AnalysisException as refused:
+        print(f"Table {name} not defined ({refused.getCondition()}); using files at {path}")
         return spark.read.parquet(path)
 
 
@@ -57,7 +62,7 @@ def run_batch(
     readings: DataFrame,
     output_base: str,
     database: str = DATABASE,
-    cluster_by_date: bool = False,
+    cluster_by_date: bool = True,
 ) -> DataFrame:
     """Write the raw and daily tables and every output in ``OUTPUTS``; return the run summary.
 
@@ -70,23 +75,21 @@ def run_batch(
     if cluster_by_date:
         readings = readings.repartitionByRange("date", "station_id", "timestamp")
     base = output_base.rstrip("/")
-    try:
-        ensure_database(spark, database)
-    except Exception as exc:  # noqa: BLE001
-        print(f"Database {database} unavailable ({type(exc).__name__})")
-    raw_name, daily_name = f"{database}.raw_readings", f"{database}.daily_stats"
-
-    raw = _write_table(spark, readings, raw_name, f"{base}/warehouse/raw_readings", ["date"])
+    raw = _write_table(spark, readings, f"{database}.raw_readings", f"{base}/warehouse/raw_readings", ["date"])
     daily = _write_table(
-        spark, stats.daily_station_stats(raw, ordered=False), daily_name, f"{base}/warehouse/daily_stats"
+        spark,
+        stats.daily_station_stats(raw, ordered=False),
+        f"{database}.daily_stats",
+        f"{base}/warehouse/daily_stats",
     )
     save_parquet(daily, f"{base}/daily_aggregations")
+    save_parquet(stats.compact_of_daily(daily), f"{base}/daily_stats_compact")
     save_parquet(stats.monthly_stats(raw), f"{base}/monthly_aggregations")
-    save_parquet(stats.station_ranking(raw), f"{base}/station_rankings")
+    stations = materialize(stats.station_statistics(raw))
+    save_parquet(stats.ranking_of(stations), f"{base}/station_rankings")
+    save_parquet(stats.extremes_of(stations), f"{base}/station_extremes")
     save_parquet(outliers.sigma_outliers(raw), f"{base}/anomalies")
     save_parquet(stats.hourly_profile(raw), f"{base}/hourly_patterns")
-    save_parquet(stats.daily_station_stats_compact(raw, ordered=False), f"{base}/daily_stats_compact")
-    save_parquet(stats.station_extremes(raw), f"{base}/station_extremes")
     save_parquet(stats.gusty_days(raw), f"{base}/gusty_days")
 
     return run_summary(daily, spark.read.parquet(f"{base}/anomalies"))
@@ -94,19 +97,19 @@ def run_batch(
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("input", help="readings CSV file or folder (header row, wire order)")
+    parser.add_argument("input", help="readings CSV file or folder (header row, columns in any order)")
     parser.add_argument("output", help="output base folder (shared storage on a cluster)")
     parser.add_argument("--database", default=DATABASE)
     parser.add_argument("--master", default=None)
     parser.add_argument("--hive", action="store_true", help="persistent Hive metastore for the tables")
     parser.add_argument("--preview", type=int, default=0, help="print the first N rows of each output")
-    parser.add_argument("--cluster-by-date", action="store_true", help="shuffle once to write few files per date")
+    parser.add_argument("--keep-input-order", action="store_true", help="skip the shuffle that clusters files by date")
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-batch", hive=args.hive)
-    summary = run_batch(
-        spark, read_readings_csv(spark, args.input), args.output, args.database, args.cluster_by_date
-    )
+    bad = Observation("bad_cells")
+    readings = read_readings_csv(spark, args.input, bad_cells=bad)
+    summary = run_batch(spark, readings, args.output, args.database, not args.keep_input_order)
     if args.preview:
         print(f"=== {args.database}.raw_readings ===")
         spark.read.parquet(f"{args.output.rstrip('/')}/warehouse/raw_readings").printSchema()
@@ -114,11 +117,12 @@ def main(argv: list[str] | None = None) -> None:
             print(f"=== {name} ===")
             spark.read.parquet(f"{args.output.rstrip('/')}/{name}").show(args.preview, truncate=False)
     summary.show(truncate=False)
+    print(f"Cells that didn't hold their type: { {k: n for k, n in bad.get.items() if n} or 'none' }")
     print(f"Output directory: {args.output}")
     spark.stop()
 
 
-__all__ = ["run_batch", "DAILY_STATS_DDL", "OUTPUTS"]
+__all__ = ["run_batch", "OUTPUTS"]
 
 if __name__ == "__main__":
     main()

@@ -1,6 +1,6 @@
 """Feed check: read a topic (or payload files) from the start, decode and summarize.
 
-    python -m stationflow.jobs.feed --kafka host:9092 [--topic weather-raw] [--max-messages N]
+    python -m stationflow.jobs.feed --kafka host:9092 [--topic weather-raw] [--ending-offsets JSON]
     python -m stationflow.jobs.feed --files <folder of JSON lines>
 
 One bounded batch read replaces a single consumer looping over the topic: the
@@ -23,17 +23,15 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--kafka", help="bootstrap servers")
     src.add_argument("--files", help="folder of JSON-lines payload files")
     parser.add_argument("--topic", default=DEFAULT_TOPIC)
-    parser.add_argument("--max-messages", type=int, default=None, help="0 or unset: no limit")
+    parser.add_argument("--ending-offsets", default="latest", help="JSON text of an end offset per partition")
     parser.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-feed")
     if args.kafka:
-        raw = kafka_batch(spark, args.kafka, args.topic, args.max_messages)
+        raw = kafka_batch(spark, args.kafka, args.topic, ending_offsets=args.ending_offsets)
     else:
         raw = spark.read.text(args.files)
-        if args.max_messages:
-            raw = raw.limit(args.max_messages)
     feed_summary(decode_payload(raw)).show(truncate=False)
     spark.stop()
 

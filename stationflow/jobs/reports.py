@@ -1,10 +1,12 @@
 """Warehouse reports over the tables the batch job wrote.
 
-    python -m stationflow.jobs.reports [--database weather_db] [--base <batch output>] [--out <folder>]
+    python -m stationflow.jobs.reports <output> [--database weather_db | --base <batch output>] [--preview N]
 
 Runs the seven reports (top-5 hottest days, monthly trend, anomaly
 leaderboard, rainy days, station conditions, hourly pattern, day-over-day
-change) on ``raw_readings`` / ``daily_stats`` and prints or writes them.
+change) on ``raw_readings`` / ``daily_stats`` and writes each one whole as
+Parquet under ``<output>``.  ``--base`` reads the files that run of the batch
+job wrote, whatever an older catalog entry says.
 """
 
 from __future__ import annotations
@@ -21,9 +23,8 @@ from stationflow.sources.warehouse import scan
 
 
 def _table(spark: SparkSession, name: str, base: str | None, folder: str) -> DataFrame:
-    """A catalog table, or, when the catalog does not know it (no persistent
-    metastore), the files the batch job wrote under ``base``."""
-    if base and not spark.catalog.tableExists(name):
+    """The files a batch run wrote under ``base``, or without one the catalog table."""
+    if base:
         return spark.read.parquet(f"{base.rstrip('/')}/warehouse/{folder}")
     return scan(spark, name)
 
@@ -44,20 +45,20 @@ def all_reports(spark: SparkSession, database: str = DATABASE, base: str | None
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
+    parser.add_argument("out", help="write each report as Parquet under this folder")
     parser.add_argument("--database", default=DATABASE)
-    parser.add_argument("--out", default=None, help="write each report as Parquet under this folder")
-    parser.add_argument("--base", default=None, help="batch job output folder, read when the catalog lacks the tables")
+    parser.add_argument("--base", default=None, help="batch job output folder to read instead of the catalog")
+    parser.add_argument("--preview", type=int, default=0, help="also print the first N rows of each report")
     parser.add_argument("--master", default=None)
     parser.add_argument("--hive", action="store_true", help="persistent Hive metastore for the tables")
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-reports", hive=args.hive)
     for name, df in all_reports(spark, args.database, args.base).items():
-        if args.out:
-            save_parquet(df, f"{args.out.rstrip('/')}/{name}")
-        else:
+        save_parquet(df, f"{args.out.rstrip('/')}/{name}")
+        if args.preview:
             print(f"=== {name} ===")
-            df.show(30, truncate=False)
+            spark.read.parquet(f"{args.out.rstrip('/')}/{name}").show(args.preview, truncate=False)
     spark.stop()
 
 

@@ -4,7 +4,11 @@
     python -m stationflow.jobs.streaming <output_base> --files <folder of JSON lines>
     ... --available-now   (drain what is there and stop: backfills, catch-up runs)
 
-* ``weather_alerts``  - stateless alerts, append, every 10 s (console, or Parquet with --alerts-to-files)
+A trigger takes at most --max-offsets or --max-files, so the first batch from the
+earliest offset is a bounded one, not the whole backlog.
+
+
+* ``weather_alerts``  - stateless alerts, append, every 10 s, to Parquet (--alerts-to-console previews them instead)
 * ``windowed_stats``  - 5-minute/1-minute windows per station, update mode, every 30 s,
   upserted per micro-batch under ``<output_base>/windows``
 * ``raw_archive``     - every decoded row appended to Parquet by event date, every 30 s
@@ -37,7 +41,7 @@ def start_all(
     spark: SparkSession,
     parsed: DataFrame,
     output_base: str,
-    alerts_to_files: bool = False,
+    alerts_to_files: bool = True,
     windows_to_files: bool = True,
     alert_trigger: dict | None = None,
     window_trigger: dict | None = None,
@@ -79,7 +83,10 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--kafka", help="bootstrap servers")
     src.add_argument("--files", help="folder of JSON-lines payload files")
     parser.add_argument("--topic", default=DEFAULT_TOPIC)
-    parser.add_argument("--alerts-to-files", action="store_true")
+    parser.add_argument("--alerts-to-console", action="store_true", help="preview the alerts instead of writing them")
+    parser.add_argument("--max-offsets", type=int, default=5_000_000, help="messages per trigger, over all partitions")
+    parser.add_argument("--min-partitions", type=int, default=None, help="tasks per trigger at least")
+    parser.add_argument("--max-files", type=int, default=200, help="files per trigger")
     parser.add_argument("--windows-to-console", action="store_true")
     parser.add_argument("--closed-windows", action="store_true", help="also append final windows to Parquet")
     parser.add_argument(
@@ -89,13 +96,22 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-streaming", tasks_per_core=1)
-    raw = kafka_stream(spark, args.kafka, args.topic) if args.kafka else text_stream(spark, args.files)
+    if args.kafka:
+        raw = kafka_stream(
+            spark,
+            args.kafka,
+            args.topic,
+            max_offsets_per_trigger=args.max_offsets,
+            min_partitions=args.min_partitions,
+        )
+    else:
+        raw = text_stream(spark, args.files, max_files_per_trigger=args.max_files)
     once = {"availableNow": True} if args.available_now else None
     queries = start_all(
         spark,
         decode_payload(raw),
         args.output,
-        alerts_to_files=args.alerts_to_files,
+        alerts_to_files=not args.alerts_to_console,
         windows_to_files=not args.windows_to_console,
         alert_trigger=once,
         window_trigger=once,

@@ -1,8 +1,8 @@
 """Three-sigma outliers against each station's own baseline.
 
 The baseline is one row per station, so it is aggregated once (partial +
-final aggregate), checkpointed under ``spark.checkpoint.dir`` and counted; only
-when the count is within the broadcast bound is it broadcast to the readings,
+final aggregate), checkpointed under ``spark.checkpoint.dir`` and measured; only
+when its bytes are within the broadcast bound is it broadcast to the readings,
 so the readings themselves are never shuffled.  Beyond the bound Catalyst
 plans a shuffle join.  A per-station window (``avg() over (partition by
 station)``) would instead shuffle every reading and put a hot station into a
@@ -15,20 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.measures import agg_exprs, exact_mean_sql
-from stationflow.plans.broadcast import MAX_BROADCAST_ROWS, broadcast_if_bounded
+from stationflow.plans.broadcast import MAX_BROADCAST_BYTES, broadcast_if_bounded
 from stationflow.plans.storage import materialize
-from stationflow.schema import OUTLIER_SIGMAS
-
-OUTLIER_COLUMNS = [
-    "station_id",
-    "station_name",
-    "timestamp",
-    "temperature_c",
-    "wind_speed_kmh",
-    "pressure_hpa",
-    "is_anomaly",
-]
-
+from stationflow.schema import OUTLIER_COLUMNS, OUTLIER_SIGMAS
 
 def station_baseline(df: DataFrame) -> DataFrame:
     """Unrounded mean and sample standard deviation of temperature and wind per station.
@@ -58,10 +47,10 @@ def sigma_outliers(
     df: DataFrame,
     sigmas: float = OUTLIER_SIGMAS,
     baseline: DataFrame | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Readings more than ``sigmas`` standard deviations from their station's mean
     temperature or wind.  Eager: computes and checkpoints the baseline."""
     stats = baseline if baseline is not None else materialize(station_baseline(df))
-    joined = df.join(broadcast_if_bounded(stats, max_broadcast_rows), "station_id")
+    joined = df.join(broadcast_if_bounded(stats, max_broadcast_bytes), "station_id")
     return joined.where(outlier_condition(sigmas)).select(*OUTLIER_COLUMNS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -103,16 +103,24 @@ def diurnal_contrast(
 
 
 def cadence_gaps(df: DataFrame, expected: int = READINGS_PER_DAY) -> DataFrame:
-    """Station-days whose reading count differs from the expected cadence."""
-    return (
-        df.groupBy("station_id", "date")
-        .agg(F.count(F.lit(1)).alias("readings"))
-        .where(F.col("readings") != expected)
-        .select(
-            "station_id",
-            "date",
-            "readings",
-            F.lit(expected).cast("long").alias("expected_readings"),
-            (F.col("readings") - expected).alias("deviation"),
-        )
+    """Station-days whose reading count differs from the expected cadence.
+
+    A day without any reading between a station's first and last day counts 0.
+    The days between are listed from the gap to the station's next day, on the
+    aggregated table: one row per station-day, no second scan, no calendar join.
+    """
+    days = df.groupBy("station_id", "date").agg(F.count(F.lit(1)).alias("readings"))
+    following = F.lead("date").over(Window.partitionBy("station_id").orderBy("date"))
+    gap = "CASE WHEN date_add(date, 1) < following THEN sequence(date_add(date, 1), date_sub(following, 1)) END"
+    empty = F.transform(F.expr(gap), lambda d: F.struct(d.alias("date"), F.lit(0).cast("long").alias("readings")))
+    own = F.array(F.struct("date", "readings"))
+    every = days.withColumn("following", following).select(
+        "station_id", F.explode(F.concat(own, F.coalesce(empty, F.slice(own, 1, 0)))).alias("day")
+    )
+    return every.where(F.col("day.readings") != expected).select(
+        "station_id",
+        "day.date",
+        "day.readings",
+        F.lit(expected).cast("long").alias("expected_readings"),
+        (F.col("day.readings") - expected).alias("deviation"),
     )

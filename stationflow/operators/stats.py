@@ -44,22 +44,23 @@ def daily_station_stats(df: DataFrame, ordered: bool = True) -> DataFrame:
     return _order(out, ordered, "station_id", "date")
 
 
+def compact_of_daily(daily: DataFrame) -> DataFrame:
+    """The compact daily table as a projection of the full one."""
+    return daily.select(
+        *DAILY_KEYS,
+        "avg_temp",
+        "min_temp",
+        "max_temp",
+        "avg_humidity",
+        F.col("avg_wind_speed").alias("avg_wind"),
+        F.col("total_precipitation").alias("total_precip"),
+        F.col("num_readings").alias("readings"),
+    )
+
+
 def daily_station_stats_compact(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Per (station, day) without pressure or anomaly count (the Scala variant)."""
-    out = df.groupBy(*DAILY_KEYS).agg(
-        *agg_exprs(
-            {
-                "avg_temp": rounded_mean("temperature_c"),
-                "min_temp": rounded("min(temperature_c)"),
-                "max_temp": rounded("max(temperature_c)"),
-                "avg_humidity": rounded_mean("humidity_pct"),
-                "avg_wind": rounded_mean("wind_speed_kmh"),
-                "total_precip": rounded_sum("precipitation_mm"),
-                "readings": COUNT_ALL,
-            }
-        )
-    )
-    return _order(out, ordered, "station_id", "date")
+    return _order(compact_of_daily(daily_station_stats(df, ordered=False)), ordered, "station_id", "date")
 
 
 def monthly_stats(df: DataFrame, ordered: bool = True) -> DataFrame:
@@ -79,18 +80,38 @@ def monthly_stats(df: DataFrame, ordered: bool = True) -> DataFrame:
     return _order(out, ordered, "month")
 
 
-def station_ranking(df: DataFrame, ordered: bool = True) -> DataFrame:
-    """Stations by mean temperature, warmest first (no rank column)."""
-    out = df.groupBy("station_id", "station_name").agg(
+def station_statistics(df: DataFrame) -> DataFrame:
+    """Everything the ranking and the extremes report of a station, in one pass."""
+    return df.groupBy("station_id", "station_name").agg(
         *agg_exprs(
             {
                 "avg_temp": rounded_mean("temperature_c"),
                 "avg_wind": rounded_mean("wind_speed_kmh"),
                 "total_precip": rounded_sum("precipitation_mm"),
+                "record_low": rounded("min(temperature_c)"),
+                "record_high": rounded("max(temperature_c)"),
+                "stddev_temp": rounded("stddev_samp(temperature_c)"),
             }
         )
     )
-    return _order(out, ordered, F.desc("avg_temp"))
+
+
+def ranking_of(stations: DataFrame, ordered: bool = True) -> DataFrame:
+    """The ranking, from :func:`station_statistics`; ties by station."""
+    out = stations.select("station_id", "station_name", "avg_temp", "avg_wind", "total_precip")
+    return _order(out, ordered, F.desc("avg_temp"), "station_id", "station_name")
+
+
+def extremes_of(stations: DataFrame, ordered: bool = True) -> DataFrame:
+    """The extremes, from :func:`station_statistics`; ties by station."""
+    mean = F.col("avg_temp").alias("mean_temp")
+    out = stations.select("station_id", "station_name", "record_low", "record_high", mean, "stddev_temp")
+    return _order(out, ordered, F.desc("record_high"), "station_id", "station_name")
+
+
+def station_ranking(df: DataFrame, ordered: bool = True) -> DataFrame:
+    """Stations by mean temperature, warmest first (no rank column)."""
+    return ranking_of(station_statistics(df), ordered)
 
 
 def hourly_profile(df: DataFrame, ordered: bool = True) -> DataFrame:
@@ -109,17 +130,7 @@ def hourly_profile(df: DataFrame, ordered: bool = True) -> DataFrame:
 
 def station_extremes(df: DataFrame, ordered: bool = True) -> DataFrame:
     """Record low/high, mean and sample standard deviation of temperature per station."""
-    out = df.groupBy("station_id", "station_name").agg(
-        *agg_exprs(
-            {
-                "record_low": rounded("min(temperature_c)"),
-                "record_high": rounded("max(temperature_c)"),
-                "mean_temp": rounded_mean("temperature_c"),
-                "stddev_temp": rounded("stddev_samp(temperature_c)"),
-            }
-        )
-    )
-    return _order(out, ordered, F.desc("record_high"))
+    return extremes_of(station_statistics(df), ordered)
 
 
 def gusty_days(df: DataFrame, threshold: float = GUST_THRESHOLD, ordered: bool = True) -> DataFrame:

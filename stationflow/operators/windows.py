@@ -6,7 +6,7 @@ and evicted); in a batch the watermark is a no-op.  Each reading falls into
 size/slide = 5 windows; the expansion happens before the partial aggregate,
 and the shuffle is keyed on (window, station), so a hot station spreads over
 many windows.  ``sliding_window_stats_batch`` computes the same rows for a
-bounded input with a fifth of the shuffle volume.
+bounded input from one-minute panes, without shuffling readings.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.measures import agg_exprs, rounded, rounded_mean
+from stationflow.functions.measures import agg_exprs, parts_sql, rounded, rounded_mean, total_sql
 from stationflow.schema import WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE
 
 
@@ -40,34 +40,49 @@ def sliding_window_stats(
     return src.groupBy(F.window(time_col, size, slide), "station_id", "station_name").agg(*agg_exprs(_MEASURES))
 
 
+#: Columns whose mean a window reports.
+_MEANS = {"avg_temp": "temperature_c", "avg_humidity": "humidity_pct", "avg_wind": "wind_speed_kmh"}
+
+
+def pane_stats(df: DataFrame, time_col: str = "event_time", slide_minutes: int = 1) -> DataFrame:
+    """Sums of every (station, pane of ``slide_minutes``): what all windows over the pane share.
+
+    A partial aggregate: readings combine within their tasks, so a station-hour
+    of any number of readings leaves a task as at most 60 rows per name.
+    """
+    slide = slide_minutes * 60_000_000
+    t = f"unix_micros(`{time_col}`)"
+    sums = {"_max": "max(temperature_c)", "_min": "min(temperature_c)", "_rows": "count(1)"}
+    for alias, column in _MEANS.items():
+        sums |= {f"{alias}_{part}": sql for part, sql in parts_sql(column).items()}
+    rows = df.where(F.col(time_col).isNotNull()).withColumn("_pane", F.expr(f"{t} - pmod({t}, {slide})"))
+    return rows.groupBy("station_id", "station_name", "_pane").agg(*agg_exprs(sums))
+
+
 def sliding_window_stats_batch(
     df: DataFrame,
     time_col: str = "event_time",
     size_minutes: int = 5,
     slide_minutes: int = 1,
-    bucket_minutes: int = 60,
 ) -> DataFrame:
-    """Batch form of :func:`sliding_window_stats` with one shuffle of raw rows.
-
-    ``window()`` turns every row into size/slide partial rows *before* the
-    shuffle; with one reading per station every few minutes nothing combines
-    map-side, so the shuffle carries ~5x the input.  Here rows are shuffled
-    once by (station, time bucket): a row also goes to the previous bucket only
-    when one of its windows starts there (the first size-slide minutes of a
-    bucket, ~7% of rows for 5-minute windows in hour buckets).  Each task then
-    expands and aggregates its rows locally; the grouping keys contain the
-    partitioning keys, so no second exchange is planned.  A hot station
-    spreads over all of its buckets.  Same rows, same ``window`` struct.
+    """Batch form of :func:`sliding_window_stats` over panes.
+
+    ``window()`` turns every reading into size/slide rows before the shuffle.
+    Here readings are first summed up per pane of one slide; only panes are
+    expanded to the windows that hold them and summed again.  No raw reading is
+    shuffled, and a hot station or hour costs its panes, not its readings.
+    Same rows, same ``window`` struct.
     """
-    size = size_minutes * 60_000_000
-    slide = slide_minutes * 60_000_000
-    bucket = bucket_minutes * 60_000_000
-    placed = halo_partition(df, time_col, size_minutes, slide_minutes, bucket_minutes)
-    starts = F.expr(
-        f"sequence(greatest(_first, _bucket * {bucket}), least(_last, (_bucket + 1) * {bucket} - {slide}), {slide})"
-    )
-    expanded = placed.withColumn("_start", F.explode(starts))
-    out = expanded.groupBy("station_id", "_bucket", "_start", "station_name").agg(*agg_exprs(_MEASURES))
+    assert size_minutes % slide_minutes == 0
+    size, slide = size_minutes * 60_000_000, slide_minutes * 60_000_000
+    starts = F.explode(F.expr(f"sequence(_pane - {size - slide}, _pane, {slide})"))
+    measures = {}
+    for alias in _MEANS:
+        sums = (f"sum({alias}_{part})" for part in ("hi", "lo", "rest"))
+        measures[alias] = rounded(f"{total_sql(*sums)} / sum({alias}_n)")
+    measures |= {"max_temp": rounded("max(_max)"), "min_temp": rounded("min(_min)"), "reading_count": "sum(_rows)"}
+    expanded = pane_stats(df, time_col, slide_minutes).withColumn("_start", starts)
+    out = expanded.groupBy("station_id", "station_name", "_start").agg(*agg_exprs(measures))
     return out.select(
         F.struct(
             F.expr("timestamp_micros(_start)").alias("start"),
@@ -79,35 +94,6 @@ def sliding_window_stats_batch(
     )
 
 
-def halo_partition(
-    df: DataFrame,
-    time_col: str = "event_time",
-    size_minutes: int = 5,
-    slide_minutes: int = 1,
-    bucket_minutes: int = 60,
-) -> DataFrame:
-    """Rows hash-partitioned by (station, time bucket), each copied to the previous
-    bucket too when one of its windows starts there; adds ``_first``/``_last``
-    (earliest/latest window start holding the row, epoch micros) and ``_bucket``."""
-    assert size_minutes % slide_minutes == 0 and bucket_minutes % slide_minutes == 0
-    assert size_minutes <= bucket_minutes
-    slide, size, bucket = (m * 60_000_000 for m in (slide_minutes, size_minutes, bucket_minutes))
-    t = f"unix_micros(`{time_col}`)"
-    last = f"({t} - pmod({t}, {slide}))"  # latest window start holding the row
-    first = f"({last} - {size - slide})"  # earliest one
-    rows = df.where(F.col(time_col).isNotNull()).withColumns({"_last": F.expr(last), "_first": F.expr(first)})
-    rows = rows.withColumn(
-        "_bucket",
-        F.explode(
-            F.expr(
-                f"IF(floor(_first / {bucket}) < floor(_last / {bucket}), "
-                f"array(floor(_first / {bucket}), floor(_last / {bucket})), array(floor(_last / {bucket})))"
-            )
-        ),
-    )
-    return rows.repartition("station_id", "_bucket")
-
-
 def flatten_window(df: DataFrame) -> DataFrame:
     """Replace the ``window`` struct by wall-clock ``window_start``/``window_end`` columns."""
     rest = [c for c in df.columns if c != "window"]

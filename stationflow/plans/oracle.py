@@ -8,8 +8,8 @@ Two helpers make results comparable bit for bit:
 
 * ``_r(x, n)`` rounds HALF_UP on the shortest decimal text of the double, as
   Spark's ``round`` does (DuckDB would otherwise scale in binary).
-* ``_xmean`` / ``_xsum`` sum as DECIMAL(18,4), the same order-independent
-  mean the Spark side uses.
+* ``_xmean`` / ``_xsum`` sum as DECIMAL(38,12): independent of row order and of
+  the units and residuals that the Spark side adds up.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ def _r(expr: str, n: int = 2) -> str:
 
 
 def _dec(col: str) -> str:
-    return f"TRY_CAST(({col}) AS DECIMAL(18,4))"
+    return f"TRY_CAST(({col}) AS DECIMAL(38,12))"
 
 
 def _xsum(col: str) -> str:
@@ -300,13 +300,16 @@ def oracle_queries() -> dict[str, str]:
                         {_slice('month = 7')} AS s, {_slice('month = 1')} AS w
                  FROM readings GROUP BY station_id, station_name) t"""
     )
-    q["cadence_gaps"] = _readings(
-        f"""SELECT station_id, "date", readings, CAST(96 AS BIGINT) AS expected_readings,
-                  readings - 96 AS deviation
-           FROM (SELECT station_id, "date", {_n('COUNT(*)')} AS readings
-                 FROM readings GROUP BY station_id, "date") t
-           WHERE readings <> 96"""
-    )
+    q["cadence_gaps"] = _with(READINGS_CTE) + f"""
+        , counts AS (
+          SELECT station_id, "date", {_n('COUNT(*)')} AS n FROM readings GROUP BY station_id, "date"
+        ), calendar AS (
+          SELECT station_id, CAST(unnest(generate_series(MIN("date"), MAX("date"), INTERVAL 1 DAY)) AS DATE) AS "date"
+          FROM counts GROUP BY station_id
+        )
+        SELECT station_id, "date", coalesce(n, 0) AS readings, CAST(96 AS BIGINT) AS expected_readings,
+               coalesce(n, 0) - 96 AS deviation
+        FROM calendar LEFT JOIN counts USING (station_id, "date") WHERE coalesce(n, 0) <> 96"""
     # Round trips: what goes in must come back.
     for key in ("csv_roundtrip", "parquet_roundtrip", "warehouse_roundtrip"):
         q[key] = q["enriched_readings"]

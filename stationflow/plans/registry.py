@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
 from stationflow.functions.time import event_time
@@ -19,16 +20,15 @@ from stationflow.operators import feed, outliers, quality, reports, stats, summa
 from stationflow.operators.alerts import alert_records
 from stationflow.operators.enrich import enrich_time
 from stationflow.operators.windows import flatten_window, sliding_window_stats_batch
-from stationflow.plans.storage import checkpoint_root, materialize, parallelism, scratch_path
+from stationflow.plans.storage import checkpoint_root, materialize, scratch_path
 from stationflow.schema import ARCHIVE_COLUMNS, ENRICHED_COLUMNS, READING_COLUMNS
 from stationflow.sinks.files import save_csv, save_parquet, save_table, save_text
 from stationflow.sources.events import load_readings
 from stationflow.sources.files import read_readings_csv
 from stationflow.sources.topics import decode_payload, text_stream
 from stationflow.sources.warehouse import (
-    DEFAULT_DATABASE,
-    RAW_READINGS_DDL,
     define_external_table,
+    drop_table,
     ensure_database,
     scan,
 )
@@ -60,10 +60,10 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.daily_station_stats(enriched(spark, sf_dir), ordered=False)
 
 
-def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily table computed once and checkpointed: reports that read it
-    more than once (the day-over-day self-join) must not rescan the readings."""
-    return materialize(daily(spark, sf_dir))
+def daily_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily columns that the day-over-day self-join reads, computed once and
+    checkpointed: the join must not rescan the readings, nor the checkpoint hold more."""
+    return materialize(daily(spark, sf_dir).select("station_id", "station_name", "date", "avg_temp"))
 
 
 def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,55 +111,80 @@ def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select(*ENRICHED_COLUMNS)
 
 
-def _ensure_scratch_database(spark: SparkSession) -> None:
-    """The report database, placed under the shared scratch root (not the working dir)."""
-    ensure_database(spark, DEFAULT_DATABASE, f"{checkpoint_root(spark)}/stationflow/warehouse/{DEFAULT_DATABASE}.db")
+SCRATCH_DATABASE = "stationflow_scratch"
+
+
+def _scratch_table(spark: SparkSession, location: str) -> str:
+    """A table name of its own for ``location``: concurrent runs never share a table."""
+    ensure_database(spark, SCRATCH_DATABASE, f"{checkpoint_root(spark)}/stationflow/{SCRATCH_DATABASE}.db")
+    return f"{SCRATCH_DATABASE}.readings_{location.rsplit('-', 1)[-1][:12]}"
 
 
 def q_warehouse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Managed write (``saveAsTable`` at an explicit path), then a catalog scan."""
-    _ensure_scratch_database(spark)
+    """``saveAsTable`` at an explicit path, then a catalog scan; the entry is dropped again."""
     location = scratch_path(spark, "raw_readings")
-    # a unique name per run: concurrent runs in one session never share a table
-    name = f"{DEFAULT_DATABASE}.raw_readings_{location.rsplit('-', 1)[-1][:12]}"
+    name = _scratch_table(spark, location)
     save_table(enriched(spark, sf_dir), name, path=location)
-    return scan(spark, name).select(*ENRICHED_COLUMNS)
+    found = scan(spark, name).select(*ENRICHED_COLUMNS)
+    drop_table(spark, name)  # the scan holds the files, which stay
+    return found
 
 
 def q_hourly_pattern_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parquet files first, then an idempotent external-table definition over them,
     then the hourly report on the catalog table."""
-    _ensure_scratch_database(spark)
     location = scratch_path(spark, "raw_readings_ext")
-    save_parquet(enriched(spark, sf_dir), location)
-    name = f"{DEFAULT_DATABASE}.raw_readings_{location.rsplit('-', 1)[-1][:12]}"
-    define_external_table(spark, name, RAW_READINGS_DDL, location)
-    return reports.hourly_pattern(scan(spark, name))
+    readings = enriched(spark, sf_dir)
+    save_parquet(readings, location)
+    name = _scratch_table(spark, location)
+    define_external_table(spark, name, readings.schema, location)
+    found = reports.hourly_pattern(scan(spark, name))
+    drop_table(spark, name)
+    return found
 
 
 # --- streams ----------------------------------------------------------------
 
-def write_feed(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
-    """JSON-lines payload files in event-time order (range-partitioned on the timestamp).
+#: Time slices of a stateful stream's feed; each is one micro-batch.
+SLICES = 4
+#: Readings sent once more at the feed's end, when their windows are long final.
+LATE = 3
 
-    A deterministic row hash breaks ties inside the range key, so even a single
-    timestamp holding a third of all rows is split over several files.
-    """
+
+def write_feed(spark: SparkSession, sf_dir: str) -> str:
+    """JSON-lines payload files, written as the input is split: for streams that keep no state."""
     path = scratch_path(spark, "feed")
-    files = files or parallelism(spark)
-    readings = wire(spark, sf_dir)
-    tie = F.xxhash64(*readings.columns)
-    ordered = readings.repartitionByRange(files, "timestamp", tie).sortWithinPartitions("timestamp")
-    save_text(feed.encode_payloads(ordered), path)
+    save_text(feed.encode_payloads(wire(spark, sf_dir)), path)
     return path
 
 
-def _drain(start, spark: SparkSession, sf_dir: str, label: str) -> str:
-    """Run one streaming query over the whole feed (availableNow) and return its output path."""
-    src = write_feed(spark, sf_dir)
+def write_sliced_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The feed in time order: ``SLICES`` files of equal spans of time, and late readings.
+
+    The slices are written one after the other, so a source that takes the
+    oldest file first, one per trigger, sees them in order.  The last file
+    repeats the earliest readings, which the watermark must drop.
+    """
+    path = scratch_path(spark, "feed")
+    readings = with_event_time(spark, sf_dir)
+    span = readings.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high")).first()
+    step = (span["high"] - span["low"]) / SLICES
+    seconds = F.unix_micros("event_time")
+    for i in range(SLICES):
+        low, high = (F.unix_micros(F.lit(span["low"] + step * n)) for n in (i, i + 1))
+        inside = (seconds >= low) & ((seconds < high) if i + 1 < SLICES else F.lit(True))
+        payloads = feed.encode_payloads(readings.where(inside), READING_COLUMNS)
+        save_text(payloads.coalesce(1), f"{path}/part-{i}")
+    late = readings.orderBy("event_time", "station_id").limit(LATE)
+    save_text(feed.encode_payloads(late, READING_COLUMNS).coalesce(1), f"{path}/part-{SLICES}")
+    return f"{path}/*"
+
+
+def _drain(start, spark: SparkSession, source: str, label: str) -> tuple[str, StreamingQuery]:
+    """Run one streaming query over a feed (availableNow, a file per micro-batch); its output and the query."""
     out = scratch_path(spark, f"{label}-out")
     query = start(
-        decode_payload(text_stream(spark, src)),
+        decode_payload(text_stream(spark, source, max_files_per_trigger=1)),
         out,
         scratch_path(spark, f"{label}-ckpt"),
         {"availableNow": True},
@@ -169,26 +194,26 @@ def _drain(start, spark: SparkSession, sf_dir: str, label: str) -> str:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return out
+    return out, query
 
 
 def q_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _drain(sq.start_alerts, spark, sf_dir, "alerts")
+    out, _ = _drain(sq.start_alerts, spark, write_feed(spark, sf_dir), "alerts")
     return spark.read.parquet(out)
 
 
 def q_sliding_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _drain(sq.start_window_updates, spark, sf_dir, "windows")
+    out, _ = _drain(sq.start_window_updates, spark, write_sliced_feed(spark, sf_dir), "windows")
     return flatten_window(read_latest(spark, out, sq.WINDOW_KEYS))
 
 
 def q_closed_windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _drain(sq.start_closed_windows, spark, sf_dir, "closed")
+    out, _ = _drain(sq.start_closed_windows, spark, write_sliced_feed(spark, sf_dir), "closed")
     return flatten_window(spark.read.parquet(out))
 
 
 def q_raw_archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _drain(sq.start_archive, spark, sf_dir, "archive")
+    out, _ = _drain(sq.start_archive, spark, write_feed(spark, sf_dir), "archive")
     return wall_clock_out(spark.read.parquet(out).select(*ARCHIVE_COLUMNS))
 
 
@@ -214,7 +239,7 @@ def queries() -> dict[str, Query]:
         "rainy_days": lambda s, d: reports.rainy_days(daily(s, d)),
         "station_conditions": lambda s, d: reports.station_conditions(daily(s, d)),
         "hourly_pattern_table": q_hourly_pattern_table,
-        "day_over_day_change": lambda s, d: reports.day_over_day_change(daily_table(s, d)),
+        "day_over_day_change": lambda s, d: reports.day_over_day_change(daily_means(s, d)),
         "alerts": lambda s, d: alert_records(wire(s, d)),
         "sliding_window_stats": q_sliding_window_stats,
         "feed_summary": lambda s, d: feed.feed_summary(wire(s, d)),

@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# --- Fixed values that must equal the reference's for identical results. ---
 # Wire schema of a reading, in wire order.
 READING = StructType(
     [
@@ -60,7 +61,17 @@ ALERT_COLUMNS = [
     "alert_severity",
 ]
 
-# --- Fixed values that must equal the reference's for identical results. ---
+# Columns of an outlier.
+OUTLIER_COLUMNS = [
+    "station_id",
+    "station_name",
+    "timestamp",
+    "temperature_c",
+    "wind_speed_kmh",
+    "pressure_hpa",
+    "is_anomaly",
+]
+
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TEMP_HIGH = 40.0
 TEMP_LOW = -10.0
@@ -87,5 +98,5 @@ TOPIC = "weather-raw"
 ALERTS_QUERY, WINDOWS_QUERY, ARCHIVE_QUERY = "weather_alerts", "windowed_stats", "raw_archive"
 # --- end of fixed values ---
 
-# Readings carry at most this many decimals; exact means sum integer units of 10**-MEASURE_SCALE.
+# Values of up to this many decimals are summed exactly, as integer units of 10**-MEASURE_SCALE.
 MEASURE_SCALE = 4

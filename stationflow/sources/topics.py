@@ -50,27 +50,21 @@ def kafka_batch(
     spark: SparkSession,
     bootstrap_servers: str,
     topic: str = DEFAULT_TOPIC,
-    max_messages: int | None = None,
     min_partitions: int | None = None,
+    ending_offsets: str = "latest",
 ) -> DataFrame:
-    """Bounded topic read from the earliest to the latest offsets.
-
-    ``max_messages`` (0 or None = no limit) keeps the first messages in
-    (partition, offset) order, as a single consumer reading from the start would.
-    """
+    """Bounded topic read from the earliest to ``ending_offsets``: the latest ones, or
+    the JSON text of an offset per partition."""
     reader = (
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("endingOffsets", "latest")
+        .option("endingOffsets", ending_offsets)
     )
     if min_partitions:
         reader = reader.option("minPartitions", str(min_partitions))
-    df = reader.load()
-    if max_messages:
-        df = df.orderBy("partition", "offset").limit(max_messages)
-    return df
+    return reader.load()
 
 
 def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

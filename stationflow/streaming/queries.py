@@ -34,7 +34,11 @@ def start_alerts(
     trigger: dict | None = None,
     name: str = ALERTS_QUERY,
 ) -> StreamingQuery:
-    """Stateless alerts, append mode: to Parquet at ``path`` or, without one, the console."""
+    """Stateless alerts, append mode: to Parquet at ``path``.
+
+    Without a path they go to the console, a preview: it passes every row of a
+    batch through the driver and prints the first 20.
+    """
     alerts = alert_records(parsed)
     writer = alerts.writeStream.outputMode("append")
     if path:
@@ -53,7 +57,8 @@ def start_window_updates(
 ) -> StreamingQuery:
     """Sliding-window stats in update mode: every batch writes the windows it changed
     to ``path`` (read the current values with ``upsert.read_latest(spark, path,
-    WINDOW_KEYS)``) or, without a path, prints them to the console."""
+    WINDOW_KEYS)``; ``upsert.compact`` merges closed batches).  Without a path
+    the console previews them."""
     windows = sliding_window_stats(parsed)
     writer = windows.writeStream.outputMode("update")
     if path:
@@ -89,7 +94,10 @@ def start_archive(
     partitioned by event date so later batch reads prune by day."""
     rows = parsed.select(*ARCHIVE_COLUMNS)
     if partition_by_date:
+        # rows of a date meet in few tasks, so a backlog batch writes files by the date, not by task and date;
+        # the hour and the station split a date that holds much of the batch
         rows = rows.withColumn("event_date", F.to_date("event_time"))
+        rows = rows.repartition("event_date", F.hour("event_time"), F.xxhash64("station_id") % 4)
     writer = rows.writeStream.outputMode("append").format("parquet").option("path", path)
     if partition_by_date:
         writer = writer.partitionBy("event_date")

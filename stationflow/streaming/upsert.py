@@ -9,6 +9,7 @@ other, with no full-table rewrite per batch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,16 +23,46 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str], since_batch_id: int | None = None) -> DataFrame:
+def read_latest(
+    spark: SparkSession, path: str, keys: list[str], since_batch_id: int | None = None, upto: int | None = None
+) -> DataFrame:
     """Current value of every key: the row written by the latest micro-batch.
 
     With ``since_batch_id`` only keys updated in that batch or later are
     returned (with their latest values); older ``batch_id`` folders are pruned
-    by the partition filter and never read.
+    by the partition filter and never read.  ``upto`` leaves out later batches.
     """
     df = spark.read.parquet(path)
+    if upto is not None:
+        df = df.where(F.col("batch_id") <= upto)
     if since_batch_id is not None:
         df = df.where(F.col("batch_id") >= since_batch_id)
     values = [c for c in df.columns if c not in keys and c != "batch_id"]
     latest = df.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
     return latest.select(*keys, "_v.*")
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], upto: int) -> None:
+    """Replace the folders of all batches up to ``upto`` by one with every key's latest row.
+
+    For batches the stream has committed: their folders are written no more.
+    The merged rows stand complete beside the others before these go; a run that
+    was cut short in between is finished by the next one.  Read nothing meanwhile.
+    """
+    fs, base = _folder(spark, path)
+    done = spark._jvm.org.apache.hadoop.fs.Path(base, "_compacted")
+    if not fs.exists(done):
+        merged = read_latest(spark, path, keys, upto=upto)
+        part = spark._jvm.org.apache.hadoop.fs.Path(base, f"_compacting-{uuid.uuid4().hex}")
+        merged.write.parquet(part.toString())
+        fs.rename(part, done)
+    for status in fs.listStatus(base):
+        name = status.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=")[1]) <= upto:
+            fs.delete(status.getPath(), True)
+    fs.rename(done, spark._jvm.org.apache.hadoop.fs.Path(base, f"batch_id={upto}"))
+
+
+def _folder(spark: SparkSession, path: str):
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return base.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), base

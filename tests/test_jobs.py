@@ -31,13 +31,13 @@ def test_batch_job_and_reports(spark):
 
 def test_partitioned_external_table_prunes_by_date(spark):
     from stationflow.sinks.files import save_parquet
-    from stationflow.sources.warehouse import RAW_READINGS_DDL, define_external_table, ensure_database, scan
+    from stationflow.sources.warehouse import define_external_table, ensure_database, scan
 
     base = tempfile.mkdtemp(prefix="sf-ext-", dir="/tmp")
     save_parquet(registry.enriched(spark, SF_SMALL), base, partition_by=["date"])
     ensure_database(spark, "sf_ext_db")
-    define_external_table(spark, "sf_ext_db.raw", RAW_READINGS_DDL, base, partition_by=["date"])
-    define_external_table(spark, "sf_ext_db.raw", RAW_READINGS_DDL, base, partition_by=["date"])  # idempotent
+    define_external_table(spark, "sf_ext_db.raw", registry.enriched(spark, SF_SMALL).schema, base, partition_by=["date"])
+    define_external_table(spark, "sf_ext_db.raw", registry.enriched(spark, SF_SMALL).schema, base, partition_by=["date"])  # idempotent
     one_day = scan(spark, "sf_ext_db.raw").where("date = DATE'2024-01-05'")
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
@@ -68,19 +68,18 @@ def test_streaming_job_starts_three_named_queries(spark):
     assert spark.read.parquet(f"{out}/windows").count() == 5
 
 
-def test_written_tables_follow_the_warehouse_ddl(spark):
-    from pyspark.sql.types import StructType
-
-    from stationflow.sources.warehouse import DAILY_STATS_DDL, RAW_READINGS_DDL
+def test_batch_job_defines_both_external_tables(spark):
+    from stationflow.operators.stats import daily_station_stats
 
     base = tempfile.mkdtemp(prefix="sf-ddl-", dir="/tmp")
-    run_batch(spark, registry.enriched(spark, SF_SMALL), f"{base}/out", "sf_ddl_db")
+    readings = registry.enriched(spark, SF_SMALL)
+    run_batch(spark, readings, f"{base}/out", "sf_ddl_db")
 
     def types(schema):
         return sorted((f.name, f.dataType.simpleString()) for f in schema.fields)
 
-    assert types(spark.table("sf_ddl_db.raw_readings").schema) == types(StructType.fromDDL(RAW_READINGS_DDL))
-    assert types(spark.table("sf_ddl_db.daily_stats").schema) == types(StructType.fromDDL(DAILY_STATS_DDL))
+    assert types(spark.table("sf_ddl_db.raw_readings").schema) == types(readings.schema)
+    assert types(spark.table("sf_ddl_db.daily_stats").schema) == types(daily_station_stats(readings).schema)
     # the tables answer plain SQL with the DDL's names (previous calendar day join)
     n = spark.sql(
         """SELECT count(*) FROM sf_ddl_db.daily_stats a JOIN sf_ddl_db.daily_stats b
@@ -126,7 +125,7 @@ def test_batch_then_reports_as_separate_processes(spark):
         check=True, cwd=base, env=env, capture_output=True, timeout=600,
     )
     subprocess.run(
-        [sys.executable, "-m", "stationflow.jobs.reports", "--base", f"{base}/out", "--out", f"{base}/reports", *common],
+        [sys.executable, "-m", "stationflow.jobs.reports", f"{base}/reports", "--base", f"{base}/out", *common],
         check=True, cwd=base, env=env, capture_output=True, timeout=600,
     )
     assert spark.read.parquet(f"{base}/reports/hottest_days").count() == 5
@@ -147,7 +146,7 @@ def test_streaming_job_cli_available_now_and_restart(spark):
     payloads(spark, csv=f"{base}/csv").write.text(f"{base}/feed")
     env = dict(os.environ, PYTHONPATH=ROOT)
     cmd = [sys.executable, "-m", "stationflow.jobs.streaming", f"{base}/out", "--files", f"{base}/feed",
-           "--alerts-to-files", "--closed-windows", "--available-now", "--master", "local[2]"]
+           "--closed-windows", "--available-now", "--master", "local[2]"]
     for _ in range(2):  # the second run resumes from the checkpoints and finds nothing new
         subprocess.run(cmd, check=True, cwd=base, env=env, capture_output=True, timeout=600)
     readings = registry.wire(spark, SF_SMALL)
@@ -187,3 +186,41 @@ def test_publish_then_feed_cli(spark):
     row = [line for line in out.splitlines() if line.startswith("|") and "message_count" not in line][0]
     count, stations = [int(x) for x in row.strip("|").split("|")[:2]]
     assert (count, stations) == (wire.count(), wire.select("station_id").distinct().count())
+
+
+def test_a_failing_write_is_not_run_twice_and_old_tables_are_replaced(spark, monkeypatch):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from stationflow.jobs import batch
+
+    base = tempfile.mkdtemp(prefix="sf-fail-", dir="/tmp")
+    calls = []
+    write = batch.save_parquet
+    monkeypatch.setattr(batch, "save_parquet", lambda *a, **k: (calls.append(a[1]), write(*a, **k))[1])
+    bad = registry.enriched(spark, SF_SMALL).withColumn("hour", F.raise_error(F.lit("broken cell")).cast("int"))
+    with pytest.raises(Exception, match="broken cell"):
+        run_batch(spark, bad, f"{base}/out", "sf_fail_db")
+    assert len(calls) == 1
+    readings = registry.enriched(spark, SF_SMALL)
+    run_batch(spark, readings, f"{base}/first", "sf_fail_db")
+    run_batch(spark, readings.where("station_id = 'ST001'"), f"{base}/second", "sf_fail_db")
+    assert spark.table("sf_fail_db.raw_readings").select("station_id").distinct().count() == 1
+
+
+def test_batch_job_writes_few_files_per_date(spark):
+    import os
+
+    base = tempfile.mkdtemp(prefix="sf-files-", dir="/tmp")
+    readings = registry.enriched(spark, SF_SMALL).repartition(8)
+    run_batch(spark, readings, f"{base}/out", "sf_files_db")
+    dates = readings.select("date").distinct().count()
+    files = [f for _, _, names in os.walk(f"{base}/out/warehouse/raw_readings") for f in names if f.endswith(".parquet")]
+    assert len(files) <= dates + 8
+
+
+def test_scratch_keys_leave_no_table(spark):
+    for key in ("warehouse_roundtrip", "hourly_pattern_table", "warehouse_roundtrip"):
+        registry.queries()[key](spark, SF_SMALL).count()
+    assert spark.catalog.listTables(registry.SCRATCH_DATABASE) == []
+    assert not spark.catalog.databaseExists("weather_db")

@@ -54,10 +54,36 @@ def test_filters_reach_the_parquet_scan_of_stored_tables(spark, tmp_path):
     assert "GreaterThan(total_precipitation,5.0)" in rainy
 
 
-def test_no_registered_query_plans_a_cross_join(spark):
-    import __spark_entry__ as entry
+def test_alert_thresholds_reach_the_scan(spark, tmp_path):
+    from stationflow.operators.alerts import alert_records
+
+    path = str(tmp_path / "wire")
+    registry.wire(spark, SF_SMALL).write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        pushed = _plan(alert_records(spark.read.parquet(path))).split("PushedFilters: ")[1].split("\n")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for part in ("GreaterThan(temperature_c,40.0)", "LessThan(temperature_c,-10.0)", "GreaterThan(wind_speed_kmh,80.0)", "LessThan(pressure_hpa,980.0)"):
+        assert part in pushed
+
+
+def test_size_check_plans_no_single_task_exchange_of_rows(spark):
+    from stationflow.plans.broadcast import measured_bytes
+
+    small = outliers.station_baseline(registry.enriched(spark, SF_SMALL))
+    assert 100 < measured_bytes(small) < 2000
+    checked = small.agg({"station_id": "count"})._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in checked
 
-    for key, q in entry.queries().items():
+
+def test_day_over_day_reads_four_daily_columns(spark):
+    plan = _plan(registry.queries()["day_over_day_change"](spark, SF_SMALL))
+    assert "max_temp" not in plan and "total_precipitation" not in plan
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    for key, q in registry.queries().items():
         df = q(spark, SF_SMALL)
         df.write.format("noop").mode("overwrite").save()
         plan = _plan(df)

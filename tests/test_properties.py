@@ -124,7 +124,7 @@ times = st.one_of(
 
 @SETTINGS
 @given(st.lists(st.tuples(st.sampled_from(["ST001", "ST002"]), times, two_dec), min_size=1, max_size=150))
-def test_halo_windows_equal_window_function(make_readings, draw):
+def test_pane_windows_equal_window_function(make_readings, draw):
     from stationflow.functions.time import event_time
     from stationflow.operators.windows import flatten_window, sliding_window_stats, sliding_window_stats_batch
 

@@ -68,6 +68,14 @@ def test_cadence_gaps(make_readings):
     assert [(str(r["date"]), r["readings"], r["deviation"]) for r in out] == [("2024-01-02", 1, -95)]
 
 
+def test_cadence_counts_days_without_any_reading(make_readings):
+    full = [f"{i // 4:02d}:{(i % 4) * 15:02d}:00" for i in range(96)]
+    rows = [reading(timestamp=f"2024-01-0{d} {t}") for d in (1, 4) for t in full]
+    rows += [reading(station_id="ST002", timestamp=f"2024-01-05 {t}") for t in full] + [reading(station_id="ST003", timestamp="bad")]
+    out = sorted((r["station_id"], str(r["date"]), r["readings"], r["deviation"]) for r in cadence_gaps(enrich_time(make_readings(rows))).collect())
+    assert out == [("ST001", "2024-01-02", 0, -96), ("ST001", "2024-01-03", 0, -96), ("ST003", "None", 1, -95)]
+
+
 def test_contract_on_enriched_readings(make_readings):
     rows = [reading(), reading(timestamp="bad"), reading(humidity_pct=101.0)]
     out = {r["rule"]: (r["checked"], r["violations"]) for r in contract_report(enrich_time(make_readings(rows))).collect()}

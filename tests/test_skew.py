@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from conftest import SF_CHECK
+from conftest import SF_CHECK, reading
 from pyspark.sql import functions as F
 
+from stationflow.functions.time import event_time
 from stationflow.operators import stats
 from stationflow.operators.enrich import enrich_time
-from stationflow.operators.windows import (
-    flatten_window,
-    halo_partition,
-    sliding_window_stats,
-    sliding_window_stats_batch,
-)
+from stationflow.operators.windows import flatten_window, pane_stats, sliding_window_stats, sliding_window_stats_batch
 from stationflow.plans import registry
 
 
@@ -25,22 +21,18 @@ def _hot(spark):
     )
 
 
-def test_hot_station_is_spread_over_window_tasks(spark):
-    df = _hot(spark)
-    total = df.count()
-    hot_share = df.where("station_id = 'ST001'").count() / total
-    assert hot_share > 0.35
-    # AQE would merge these small partitions into one; the placement is what is tested
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        placed = halo_partition(df).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
-        sizes = [r["n"] for r in placed.collect()]
-    finally:
-        spark.conf.set(key, before)
-    # rows are placed by (station, hour): the hot station's hours spread over all tasks
-    assert len(sizes) == 8 and max(sizes) / sum(sizes) < 0.25
+def test_a_hot_station_hour_costs_its_panes(spark, make_readings):
+    rows = [reading(station_id="HOT", timestamp=f"2024-01-01 10:{i % 60:02d}:{i % 59:02d}", temperature_c=i / 7) for i in range(2000)]
+    rows += [reading(station_id=f"S{i % 9}", timestamp=f"2024-01-{1 + i % 27:02d} {i % 24:02d}:00:00") for i in range(3000)]
+    df = make_readings(rows).withColumn("event_time", event_time("timestamp"))
+    panes = pane_stats(df)
+    assert panes.where("station_id = 'HOT'").count() == 60
+    plan = panes._jdf.queryExecution().executedPlan().toString()
+    # what is shuffled is the partial aggregate, not the readings
+    below = plan[plan.index("Exchange hashpartitioning(station_id") :]
+    assert "HashAggregate" in below.split("\n")[1]
+    a = sorted(tuple(r) for r in flatten_window(sliding_window_stats(df)).collect())
+    assert a == sorted(tuple(r) for r in flatten_window(sliding_window_stats_batch(df)).collect())
 
 
 def test_hot_station_results_unchanged(spark):

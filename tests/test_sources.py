@@ -43,14 +43,54 @@ def test_json_lines_with_spaces_and_extra_keys(spark):
     assert r["date"] == dt.date(2025, 7, 15)
 
 
-def test_csv_with_reordered_header_is_rejected(spark):
+def _csv(name, *files):
+    folder = tempfile.mkdtemp(prefix=f"sf-csv-{name}-", dir="/tmp")
+    for i, lines in enumerate(files):
+        with open(f"{folder}/readings{i}.csv", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    return folder
+
+
+def test_csv_columns_are_found_by_name(spark):
+    cols = HEADER.split(",")
+    row = dict(zip(cols, "ST001,Alpha,48.85,2.35,2025-07-15 14:30:00,31.2,45.5,1012.4,0,SW,0,False".split(","), strict=True))
+    order = ["extra", *reversed(cols)]
+    folder = _csv("order", [",".join(order), ",".join({"extra": "x", **row}[c] for c in order)])
+    r = read_readings_csv(spark, folder).collect()[0]
+    assert (r["station_id"], r["station_name"], r["temperature_c"], r["hour"]) == ("ST001", "Alpha", 31.2, 14)
+    assert "extra" not in r.asDict()
+
+
+def test_csv_bad_cells_are_counted(spark):
+    from pyspark.sql import Observation
+
+    folder = _csv("bad", [HEADER, "A,a,48,2,2025-07-15 14:30:00,oops,x,1000,5,E,0,False", "B,b,48,2,,1,,1000,5,E,0,maybe"])
+    seen = Observation("cells")
+    rows = read_readings_csv(spark, folder, bad_cells=seen).collect()
+    assert len(rows) == 2
+    assert {k: n for k, n in seen.get.items() if n} == {"temperature_c": 1, "humidity_pct": 1, "is_anomaly": 1}
+
+
+def test_csv_with_a_missing_column_or_another_header_raises(spark):
     import pytest
 
-    folder = tempfile.mkdtemp(prefix="sf-csv-bad-", dir="/tmp")
+    with pytest.raises(ValueError, match="is_anomaly"):
+        read_readings_csv(spark, _csv("missing", [HEADER.replace(",is_anomaly", "")]))
     cols = HEADER.split(",")
-    cols[0], cols[1] = cols[1], cols[0]
-    with open(f"{folder}/readings.csv", "w") as f:
-        f.write(",".join(cols) + "\n")
-        f.write("Alpha,ST001,48.85,2.35,2025-07-15 14:30:00,31.2,45.5,1012.4,0,SW,0,False\n")
+    other = ",".join([cols[1], cols[0], *cols[2:]])
+    row = "ST001,Alpha,48.85,2.35,2025-07-15 14:30:00,31.2,45.5,1012.4,0,SW,0,False"
     with pytest.raises(Exception):
-        read_readings_csv(spark, folder).collect()
+        read_readings_csv(spark, _csv("mixed", [HEADER, row], [other, row])).collect()
+
+
+def test_wall_clock_keeps_hours_a_zone_skips(spark):
+    from stationflow.functions.time import wall_clock
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        texts = ["2024-03-31 02:30:00", "2024-10-27 02:30:00", "2024-03-31", "x", None, "2024-13-01 00:00:00"]
+        rows = spark.createDataFrame([(t,) for t in texts], "timestamp string").select(wall_clock().alias("t")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.t for r in rows] == [dt.datetime(2024, 3, 31, 2, 30), dt.datetime(2024, 10, 27, 2, 30), None, None, None, None]

@@ -211,3 +211,42 @@ def test_read_latest_since_a_batch_prunes_old_folders(spark):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch_id" in plan
     assert {r["station_id"] for r in read_latest(spark, out, sq.WINDOW_KEYS).collect()} == {"A", "B"}
+
+
+def test_stateful_keys_run_several_batches_and_drop_late_rows(spark):
+    from conftest import SF_SMALL
+
+    from stationflow.plans import registry
+
+    for start in (sq.start_window_updates, sq.start_closed_windows):
+        source = registry.write_sliced_feed(spark, SF_SMALL)
+        _, query = registry._drain(start, spark, source, "batches")
+        progress = [p for p in query.recentProgress if p["numInputRows"] > 0]
+        assert len(progress) == registry.SLICES + 1
+        dropped = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+        assert dropped > 0
+
+
+def test_every_alert_of_a_batch_reaches_the_default_sink(spark):
+    from stationflow.jobs.streaming import start_all
+
+    src, out = _dir(), _dir()
+    _write_files(src, [[_payload(station_id=f"S{i}", temperature_c=41.0) for i in range(57)]])
+    queries = start_all(spark, decode_payload(text_stream(spark, src)), out, **{f"{n}_trigger": AVAILABLE_NOW for n in ("alert", "window", "archive")})
+    for q in queries:
+        q.awaitTermination()
+    assert spark.read.parquet(f"{out}/alerts").select("station_id").distinct().count() == 57
+
+
+def test_compaction_keeps_the_latest_rows(spark):
+    from stationflow.streaming.upsert import compact
+
+    src, out, ckpt = _dir(), _dir(), _dir()
+    _write_files(src, [[_payload(timestamp=f"2024-01-01 10:0{m}:00", temperature_c=float(m))] for m in range(4)])
+    _run(sq.start_window_updates, spark, src, out, ckpt, max_files=1)
+    before = _window_rows(flatten_window(read_latest(spark, out, sq.WINDOW_KEYS)))
+    compact(spark, out, sq.WINDOW_KEYS, upto=2)
+    assert not os.path.exists(f"{out}/batch_id=0") and os.path.exists(f"{out}/batch_id=2")
+    assert _window_rows(flatten_window(read_latest(spark, out, sq.WINDOW_KEYS))) == before
+    compact(spark, out, sq.WINDOW_KEYS, upto=3)
+    assert _window_rows(flatten_window(read_latest(spark, out, sq.WINDOW_KEYS))) == before

@@ -47,7 +47,7 @@ def summarize(plan: str) -> dict[str, str]:
 
 def main(argv: list[str]) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from stationflow.plans.registry import queries
     from stationflow.session import build_session
 
     spark = build_session("local[8]")
@@ -55,7 +55,7 @@ def main(argv: list[str]) -> None:
     print("Generated by `python tools/plans.py`. Stream keys show the plan that reads the sink back.\n")
     print("| key | shuffles | joins | agg nodes | scans (columns read) | notes |")
     print("|---|---|---|---|---|---|")
-    for key, q in entry.queries().items():
+    for key, q in queries().items():
         df = q(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()

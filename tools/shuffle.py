@@ -33,21 +33,17 @@ def main(argv: list[str]) -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as entry
-
-    from stationflow.plans.partitioning import SPREAD_CONF
+    from stationflow.plans.registry import queries
 
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
-    keys = list(entry.queries())
-    for spread in ("false", "true"):
-        spark.conf.set(SPREAD_CONF, spread)
-        for key in keys:
-            spark.sparkContext.setJobGroup(f"{spread}:{key}", key)
-            entry.queries()[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    keys = list(queries())
+    for key in keys:
+        spark.sparkContext.setJobGroup(key, key)
+        queries()[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.stop()
 
     stage_key: dict[int, str] = {}
-    totals: dict[str, list[int]] = {f"{s}:{k}": [0, 0] for s in ("true", "false") for k in keys}
+    totals: dict[str, list[int]] = {k: [0, 0] for k in keys}
     for path in glob.glob(f"{log_dir}/**/events*", recursive=True) + glob.glob(f"{log_dir}/*"):
         if os.path.isdir(path):
             continue
@@ -65,16 +61,11 @@ def main(argv: list[str]) -> None:
     print(f"\n## Shuffle volume ({sf_dir}: {rows:,} events)\n")
     print("Generated by `python tools/shuffle.py`. Streaming jobs run on their own thread and are")
     print("not attributed; stream keys show the feed writing and the sink read-back only.\n")
-    print("Left: the default plans. Right: with `spark.stationflow.spreadUnsplitScan=true`, which")
-    print("round-robins the single-row-group test file over the cores once (one extra shuffle")
-    print("record per input row; ~10% faster locally, never planned for a multi-split input).\n")
-    print("| key | records | per input row | MB | spread on: records | per input row | MB |")
-    print("|---|---|---|---|---|---|---|")
+    print("| key | records | per input row | MB |")
+    print("|---|---|---|---|")
     for key in keys:
-        (r1, b1), (r2, b2) = totals[f"false:{key}"], totals[f"true:{key}"]
-        print(
-            f"| `{key}` | {r1:,} | {r1 / rows:.3f} | {b1 / 1e6:.3f} | {r2:,} | {r2 / rows:.2f} | {b2 / 1e6:.2f} |"
-        )
+        records, size = totals[key]
+        print(f"| `{key}` | {records:,} | {records / rows:.3f} | {size / 1e6:.3f} |")
 
 
 if __name__ == "__main__":

@@ -126,7 +126,7 @@ def test_means_and_sums_cover_all_of_every_value(make_readings):
     got, _ = _one(make_readings, [10.0, float("nan"), 20.0])
     assert isnan(got[0]) and isnan(got[1])
     assert _one(make_readings, [None, None])[0] == (None, None)
-    assert _one(make_readings, [0.1, 0.2, 0.3])[0] == (0.6, 0.2)
+    assert _one(make_readings, [0.1, 0.2, 0.3])[0] == (0.6, 0.6 / 3)
 
 
 def test_compact_daily_and_station_projections_equal_their_own_aggregates(spark):

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import ship
 from stationflow.llm.components import connected_components
-from stationflow.llm.scratch import Scratch, bounded_broadcast
+from stationflow.llm.scratch import Scratch, bounded_broadcast, small_batches
 
 ship(__name__)
 
@@ -311,6 +311,7 @@ def near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:
     """
     p = params or Params()
     scratch = Scratch(docs.sparkSession, "near-duplicates")
+    small_batches(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     rows = keyed.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text_hash", F.col("text").cast("binary"))
     features = scratch.table(rows.mapInArrow(_features(p), _FEATURES), "features")

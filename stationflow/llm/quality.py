@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import ship
 from stationflow.llm.labelled import fold, training_rows
+from stationflow.llm.scratch import small_batches
 
 ship(__name__)
 
@@ -154,6 +155,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Qua
 
     Without any labelled row the model scores every text 0.5.
     """
+    small_batches(docs.sparkSession)
     learn = fold(F.col("doc_id"), FOLDS) != HELD_OUT
     rows = training_rows(docs, labels, "quality", learn, sample)
     found = rows.mapInPandas(_bags, "y int, x array<double>").toPandas()

@@ -52,3 +52,15 @@ def bounded_broadcast(df: DataFrame, width: int | Column, limit: int = BROADCAST
     column = F.lit(width) if isinstance(width, int) else width
     size = df.agg(F.sum(column.cast("long")).alias("n")).first()["n"] or 0
     return F.broadcast(df) if size <= limit else df
+
+
+#: Rows that Spark hands to a Python worker at once: texts may be very long.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows, so that a worker's memory stays small."""
+    now = int(spark.conf.get(_BATCH_CONF, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import ship
+from stationflow.llm.scratch import small_batches
 
 ship(__name__)
 
@@ -190,6 +191,7 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     ends; a null edit or position changes nothing, a null replacement deletes.
     A null text is empty; null edits are none.  Repeated rows count alike.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",

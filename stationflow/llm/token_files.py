@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm import ship
-from stationflow.llm.scratch import bounded_broadcast
+from stationflow.llm.scratch import bounded_broadcast, small_batches
 
 ship(__name__)
 
@@ -39,8 +39,6 @@ _PLAIN = re.compile(f"[\\t\\n\\r\x20-\x7e\xc0-\xd6\xd8-\xde{_LOWER}]*")
 _PRE_TOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[0-9]|[^\\s0-9{_LOWER}]+")
 #: Encoded pre-tokens kept per Python worker; the cache starts anew when it is full.
 CACHE = 800_000
-#: Rows of an Arrow batch are bounded, so that very long texts don't meet in one.
-BATCH_ROWS = 500
 
 WRITE_OPTIONS = {
     "parquet.block.size": str(32 << 20),
@@ -114,24 +112,24 @@ def _encoder(path: str) -> Encoder:
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard, start = _encoder(path).encode, TaskContext.get().partitionId(), 0
-        for whole in batches:
-            for low in range(0, whole.num_rows, BATCH_ROWS):
-                batch = whole.slice(low, BATCH_ROWS)
-                ids = encode([t or "" for t in batch.column(1).to_pylist()])
-                sizes = np.array([len(x) for x in ids], dtype=np.int64) // 4
-                ends = start + np.cumsum(sizes)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(ids), shard, np.int32)),
-                        batch.column(0),
-                        pa.array(ends - sizes),
-                        pa.array(sizes),
-                        pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))),
-                    ],
-                    names=["shard", "doc_id", "start_in_shard", "n_tokens", "ids"],
-                )
-                start = int(ends[-1])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = encode([t or "" for t in batch.column(1).to_pylist()])
+            sizes = np.array([len(x) for x in ids], dtype=np.int64) // 4
+            ends = start + np.cumsum(sizes)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(ids), shard, np.int32)),
+                    batch.column(0),
+                    pa.array(ends - sizes),
+                    pa.array(sizes),
+                    pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))),
+                ],
+                names=["shard", "doc_id", "start_in_shard", "n_tokens", "ids"],
+            )
+            start = int(ends[-1])
 
     return run
 
@@ -144,6 +142,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, shards: int |
     alone.  ``shards`` defaults to the session's shuffle partitions.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

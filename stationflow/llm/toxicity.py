@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import ship
 from stationflow.llm.labelled import fold, training_rows
+from stationflow.llm.scratch import small_batches
 
 ship(__name__)
 
@@ -187,6 +188,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> To
 
     Without rows of both labels the seed entries and fixed coefficients serve.
     """
+    small_batches(docs.sparkSession)
     train = fold(F.col("doc_id"), FOLDS) != 0
     rows = training_rows(docs, labels, "toxic", train, sample)
     model = ToxicityModel(learn_lexicon(rows), DEFAULT)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm import ship
-from stationflow.llm.scratch import Scratch, bounded_broadcast
+from stationflow.llm.scratch import Scratch, bounded_broadcast, small_batches
 
 ship(__name__)
 
@@ -222,6 +222,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     with no readable length, or one whose end no record follows, isn't reached.
     """
     scratch = Scratch(spark, "warc-read")
+    small_batches(spark)
     local = scratch.table(_scan(spark, path).mapInArrow(_pieces, _DDL), "pieces")
     sums = local.groupBy("file", "split").agg(F.sum("size").alias("size"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)

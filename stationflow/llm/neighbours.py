@@ -24,7 +24,7 @@ from stationflow.llm.scratch import Scratch
 ship(__name__)
 
 #: Vectors that the partitions are learned on at most, and of these the queries that set the number of probes.
-SAMPLE, HELD_OUT = 8192, 512
+SAMPLE, HELD_OUT = 4096, 512
 #: Rows of a part aimed at, and the bounds on the number of parts.
 PART_ROWS, FEWEST, MOST = 1000, 4, 64
 DEGREE, HIDDEN, TARGET = 10, 64, 0.97
@@ -62,8 +62,8 @@ def neighbour_graph(x: np.ndarray, degree: int) -> np.ndarray:
     """Indexes of the ``degree`` nearest other rows of each unit vector."""
     degree = min(degree, len(x) - 1)
     found = []
-    for low in range(0, len(x), 1024):
-        s = x[low : low + 1024] @ x.T
+    for low in range(0, len(x), 256):
+        s = x[low : low + 256] @ x.T
         s[np.arange(len(s)), np.arange(low, low + len(s))] = -np.inf
         found.append(np.argpartition(-s, degree - 1, axis=1)[:, :degree])
     return np.concatenate(found)
@@ -212,10 +212,13 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, sample: int = SAMPL
     scratch = Scratch(vectors.sparkSession, "neighbours")
     rows = scratch.table(valid_vectors(vectors.select("vec_id", "embedding")), "vectors")
     n = rows.count()
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vec").collect()
-    if not drawn:
+    if not n:
         return rows.selectExpr("vec_id AS query_id", "1 AS rank", "vec_id", "CAST(0 AS DOUBLE) AS score").where("false")
-    router = learn_router(np.array([r["vec"] for r in drawn]), n, k)
+    # drawn by the hash of the id, so that no more than the sample comes to the driver
+    place = F.xxhash64("vec_id").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    drawn = rows.where(place < (0.95 * sample / n if n > sample else 1.0)).limit(sample).select("vec").toArrow()
+    vectors = drawn.column("vec").combine_chunks()
+    router = learn_router(vectors.values.to_numpy().reshape(len(vectors), -1), n, k)
 
     schema = "vec_id long, vec array<double>, parts array<int>"
     index = scratch.table(

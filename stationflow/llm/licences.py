@@ -1,13 +1,13 @@
-"""Licence scan with a positional index of rare licence words.
+"""Licence scan with a positional index of licence words.
 
 Templates are the usual notices of a licence, as word sequences.  A corpus pass
 keeps, per document, the positions of words that occur in a template.  Document
-frequencies over the whole corpus give every template word its IDF; a file's
-``RARE`` highest-IDF licence words are looked up in the templates' postings, and
-the postings that agree on the relative position (place in the file minus place
-in the template) are one candidate notice.  A candidate becomes a label if its
-words carry ``COVER`` of the template's IDF at that position and one of the
-licence's mandatory key phrases stands in the file.
+frequencies over the whole corpus give every template word its IDF.  All of a
+file's licence words are looked up in the postings of every template one of
+whose mandatory key phrases stands in the file, and the postings that agree on
+the relative position (place in the file minus place in the template) are one
+candidate notice.  A candidate becomes a label if its words carry ``COVER`` of
+the template's IDF at that position.
 
 Only built-in DataFrame functions run here.
 """
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from stationflow.llm.scratch import Scratch
 from stationflow.llm.words import UPPER, lower_ascii, split_words, word_count
 
-RARE = 6
 COVER = 0.6
+#: IDFs are added as whole numbers of this fraction, so that no sum depends on its order.
+UNIT = 1e-9
 
 # Base phrases with their labels, notices, and the key phrases of which a label needs one.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -155,35 +156,22 @@ def licences(docs: DataFrame) -> DataFrame:
     )
 
     weighted = postings.where("kind = 'template'").drop("kind").join(idf, "word")
+    weighted = weighted.withColumn("idf", F.round(F.col("idf") / UNIT).cast("long"))
     total = weighted.groupBy("entry").agg(F.sum("idf").alias("total"))
-    weighted = weighted.join(total, "entry")
-    words = found.select("rid", "word").distinct().join(F.broadcast(idf), "word")
-    rare = words.groupBy("rid").agg(
-        F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("idf", "word")))), 1, RARE).alias("w")
-    )
-    looked_up = rare.select("rid", F.explode("w.word").alias("word"))
-    candidates = (
-        found.join(looked_up, ["rid", "word"])
-        .join(F.broadcast(weighted.select("word", "entry", "off")), "word")
-        .select("rid", "entry", (F.col("pos") - F.col("off")).alias("start"))
-        .distinct()
-    )
+    weighted = weighted.join(total, "entry").select("word", "entry", "label", "off", "idf", "total")
+    keys = whole.where("kind = 'key'").groupBy("rid").agg(F.collect_set("label").alias("keys"))
+    keyed = table.where(F.size("found") > 0).select("rid", "found").join(keys, "rid")
     covered = (
-        candidates.join(F.broadcast(weighted), "entry")
-        .withColumn("pos", F.col("start") + F.col("off"))
-        .join(found, ["rid", "pos", "word"])
-        .groupBy("rid", "entry", "label", "start", "total")
+        keyed.select("rid", "keys", F.explode("found").alias("f"))
+        .select("rid", "keys", "f.pos", "f.word")
+        .join(F.broadcast(weighted), "word")
+        .where(F.array_contains("keys", F.col("label")))
+        .groupBy("rid", "entry", "label", "total", (F.col("pos") - F.col("off")).alias("start"))
         .agg(F.sum("idf").alias("idf"))
         .withColumn("cover", F.col("idf") / F.col("total"))
     )
-    keys = whole.where("kind = 'key'").select("rid", "label").distinct()
-    by_template = (
-        covered.join(keys, ["rid", "label"])
-        .groupBy("rid")
-        .agg(
-            F.collect_set(F.when(F.col("cover") >= COVER, F.col("label"))).alias("more"),
-            F.least(F.max("cover"), F.lit(1.0)).alias("cover"),
-        )
+    by_template = covered.groupBy("rid").agg(
+        F.collect_set(F.when(F.col("cover") >= COVER, F.col("label"))).alias("more"), F.max("cover").alias("cover")
     )
     none = F.array().cast("array<string>")
     own = F.coalesce("base", none)

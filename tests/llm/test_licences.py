@@ -1,9 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 
-from stationflow.llm.licences import BASE, TEMPLATES, licences
+from stationflow.llm.licences import BASE, COVER, KEY_PHRASES, TEMPLATES, licences
 
 SCHEMA = "doc_id long, text string"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -59,6 +60,44 @@ def test_needs_the_key_phrase_and_the_relative_position(spark):
     assert found[1].score == 1 and 0.6 <= found[4].score < 1 and found[2].score == 0
 
 
+def by_all_positions(texts):
+    """Per text its labels and score, with every template tried at every place."""
+    split = [WORD.findall(t.translate(LOWER)) for t in texts]
+    held = [set(w) for w in split]
+    idf = {w: math.log((len(texts) + 1) / (sum(w in h for h in held) + 1)) + 1e-3 for _, t in TEMPLATES for w in t.split()}
+    for text, words in zip(texts, split, strict=True):
+        joined = f" {' '.join(words)} "
+        labels, score = set(brute(text)[4].split(",")) - {""}, 0.0
+        own = bool(labels)
+        for label, template in TEMPLATES:
+            if any(n == label and f" {k} " in joined for n, k in KEY_PHRASES):
+                template = template.split()
+                share = lambda i: sum(idf[w] for j, w in enumerate(template) if words[i + j : i + j + 1] == [w] and i + j >= 0)  # noqa: B023, E731
+                cover = max(map(share, range(-len(template), len(words)))) / sum(idf[w] for w in template)
+                score = max(score, cover)
+                labels |= {label} if cover >= COVER else set()
+        yield ",".join(sorted(labels)), 1.0 if own else score
+
+
+def test_files_with_many_notices_and_stray_words_keep_every_label(spark):
+    rng = random.Random(8)
+    notice = {label: text for label, text in TEMPLATES}
+    stray = "binary redistribution unencumbered affero mozilla creative permitted hereby".split()
+    texts = [" and ".join(text for _, text in TEMPLATES)]
+    texts += [f"{notice['bsd']} {notice[other]}" for other in ("mpl", "isc", "cc", "lgpl")]
+    texts += [f"{notice['isc']} {' x '.join(stray)}", f"{' x '.join(stray)} {notice['cc']}"]
+    for _ in range(60):  # some notices, words of which are altered, between stray words
+        parts = [rng.choice(TEMPLATES)[1].split() for _ in range(rng.randint(1, 4))]
+        parts = [[w if rng.random() < 0.9 else "altered" for w in p] + rng.sample(stray, 2) for p in parts]
+        texts.append(" ".join(w for p in parts for w in p))
+    texts += ["nothing of that kind"] * 100
+    found = {r.doc_id: r for r in licences(spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(3)).collect()}
+    assert set(found[0].labels.split(",")) == {label for label, _ in TEMPLATES}
+    for i, (labels, score) in enumerate(by_all_positions(texts)):
+        assert found[i].labels == labels, texts[i]
+        assert abs(found[i].score - score) < 1e-6, texts[i]
+
+
 def test_empty_table_and_native_plan(spark):
     found = licences(spark.createDataFrame([], SCHEMA))
     assert found.count() == 0

@@ -66,7 +66,7 @@ def shingles(text: bytes | None, width: int) -> np.ndarray:
     than ``width`` are one shingle; no words, no shingle.
     """
     words = (text or b"").lower().split()
-    if len(words) <= width:
+    if len(words) < width:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))] if words else [], dtype=np.uint64)
     digest = xxhash.xxh3_64_intdigest
     h = np.fromiter((digest(w) for w in words), np.uint64, len(words))

@@ -104,6 +104,13 @@ def test_shingles():
     assert (shingles(b"A b\x0bc  d e f", 5) == shingles(b"a B c d e F", 5)).all()
 
 
+def test_one_shingle_has_one_hash_in_texts_of_any_length(spark):
+    assert (shingles(b"ha ha ha ha ha", 5) == shingles(b"ha ha ha ha ha ha", 5)).all()
+    rows = [(1, "ha ha ha ha ha"), (2, "ha ha ha ha ha ha"), (3, "ha ha ha ha"), (4, "Ha " * 50)]
+    found = near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 1)} == brute(rows)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(250)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]

@@ -247,51 +247,70 @@ def _solve(groups: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     return ordered.mapInArrow(_linked(p), "a long, b long")
 
 
-def _verified(clusters: DataFrame, texts: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
-    """Edges (a, b) that hold the components of the exact link graph; ``clusters``: (cluster, rid, bytes)."""
+def _placed(clusters: DataFrame, p: Params) -> DataFrame:
+    """(cluster, rid, bytes, blocks, docs, mean, block): every document in one block, on average of ``block_bytes`` at most."""
     sizes = clusters.groupBy("cluster").agg(
-        F.greatest(
-            F.ceil(F.sum("bytes") / p.block_bytes), F.ceil(F.count("*") / p.block_docs)
-        ).alias("blocks"),
-        F.count("*").alias("docs"),
+        F.least(_parts(p), F.count("*")).alias("blocks"), F.count("*").alias("docs"), F.avg("bytes").alias("mean")
     )
-    placed = scratch.table(
-        clusters.join(sizes, "cluster").select(
-            "cluster", "rid", "blocks", "docs", F.pmod(F.xxhash64("rid"), F.col("blocks")).alias("block")
-        ),
-        "blocks",
+    block = F.pmod(F.xxhash64("rid"), F.col("blocks")).alias("block")
+    return clusters.join(sizes, "cluster").select("cluster", "rid", "bytes", "blocks", "docs", "mean", block)
+
+
+def _parts(p: Params):
+    """Number of parts that hold ``block_bytes`` and ``block_docs`` at most, if dealt evenly."""
+    return F.greatest(F.ceil(F.sum("bytes") / p.block_bytes), F.ceil(F.count("*") / p.block_docs), F.lit(1))
+
+
+def _group(*cols: str):
+    return F.concat_ws("/", *(F.col(c).cast("string") for c in cols)).alias("group")
+
+
+def _first_groups(placed: DataFrame, p: Params) -> DataFrame:
+    """(group, rid): each block with a few hub documents, which together are no larger than a block.
+
+    Hubs are at most twice as long as the cluster's mean; where that exceeds a
+    block, there is one on average.
+    """
+    hubs = F.greatest(F.lit(1), F.least(F.lit(64), F.floor(p.block_bytes / F.greatest("mean", F.lit(1)))))
+    chosen = placed.where("blocks > 1 AND bytes <= 2 * mean").where(F.pmod(F.xxhash64("rid", F.lit(1)), F.col("docs")) < hubs)
+    everywhere = chosen.select("cluster", "rid", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    return placed.select("cluster", "rid", "block").unionAll(everywhere).select(_group("cluster", "block"), "rid").distinct()
+
+
+def _second_groups(apart: DataFrame, large: DataFrame, p: Params) -> DataFrame:
+    """(group, rid): every part of ``apart`` with every block of its cluster in ``large``; parts are no larger than blocks."""
+    parts = apart.groupBy("cluster").agg(F.least(_parts(p), F.count("*")).alias("parts"))
+    side = apart.join(parts, "cluster").select(
+        "cluster",
+        "rid",
+        F.pmod(F.xxhash64("rid", F.lit(2)), F.col("parts")).alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
     )
-    name = lambda *cols: F.concat_ws("/", *(F.col(c).cast("string") for c in cols))
-    large = placed.where("blocks > 1")
-    hubs = large.where(F.pmod(F.xxhash64("rid", F.lit(1)), F.col("docs")) < 64).select(
-        "cluster", "rid", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    whole = large.join(parts, "cluster").select(
+        "cluster", "rid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block"
     )
-    first = placed.select("cluster", "rid", "block").unionAll(hubs).select(name("cluster", "block").alias("group"), "rid")
-    edges = scratch.table(_solve(first.distinct(), texts, p), "links")
+    return side.unionByName(whole).select(_group("cluster", "part", "block"), "rid").distinct()
+
+
+def _verified(clusters: DataFrame, texts: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) that hold the components of the exact link graph; ``clusters``: (cluster, rid, bytes)."""
+    placed = scratch.table(_placed(clusters, p), "blocks")
+    large = placed.where("blocks > 1")
+    edges = scratch.table(_solve(_first_groups(placed, p), texts, p), "links")
     if large.isEmpty():
         return edges
 
     label = connected_components(edges, scratch)
     rooted = large.join(label, F.col("rid") == F.col("node"), "left").select(
-        "cluster", "rid", "blocks", "block", F.coalesce("root", "rid").alias("root")
+        "cluster", "rid", "bytes", "blocks", F.coalesce("root", "rid").alias("root")
     )
     counts = rooted.groupBy("cluster", "root").agg(F.count("*").alias("n"))
     main = counts.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    apart = scratch.table(rooted.join(main, "cluster").where("root <> main").select("cluster", "rid", "blocks"), "apart")
+    apart = rooted.join(main, "cluster").where("root <> main").select("cluster", "rid", "bytes", "blocks")
+    apart = scratch.table(apart, "apart")
     if apart.isEmpty():
         return edges
-    parts = apart.groupBy("cluster").agg(F.ceil(F.count("*") / p.block_docs).alias("parts"))
-    side = apart.join(parts, "cluster").select(
-        "cluster",
-        "rid",
-        F.pmod(F.xxhash64("rid", F.lit(2)), F.col("parts")).alias("part"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-    )
-    whole = large.join(parts, "cluster").select(
-        "cluster", "rid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block"
-    )
-    second = side.unionByName(whole).select(name("cluster", "part", "block").alias("group"), "rid")
-    return edges.unionAll(_solve(second.distinct(), texts, p))
+    return edges.unionAll(_solve(_second_groups(apart, large, p), texts, p))
 
 
 def near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:

@@ -111,6 +111,32 @@ def test_one_shingle_has_one_hash_in_texts_of_any_length(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 1)} == brute(rows)
 
 
+def test_groups_of_long_documents_are_two_blocks_at_most(spark):
+    from stationflow.llm import near_duplicates as nd
+
+    for docs, size in ((60, 5000), (60, 400), (400, 1000), (50, 50_000)):
+        p = Params(block_bytes=20_000)
+        clusters = spark.createDataFrame([(1, i, size + i % 7) for i in range(docs)], "cluster long, rid long, bytes long")
+        placed = nd._placed(clusters, p).cache()
+        rows = placed.select("rid", "bytes")
+        large = placed.where("blocks > 1")
+        first = nd._first_groups(placed, p)
+        second = nd._second_groups(large.select("cluster", "rid", "bytes", "blocks"), large, p)
+        for groups in (first, second):
+            sums = groups.join(rows, "rid").groupBy("group").agg(F.sum("bytes").alias("b")).collect()
+            # dealt by a hash: uneven by some documents
+            assert max((r.b for r in sums), default=0) <= 2 * p.block_bytes + 20 * size, (docs, size)
+        met = second.alias("x").join(second.alias("y"), "group").select("x.rid", "y.rid").distinct().count()
+        assert met in (0, docs * docs)  # all documents apart meet all others
+
+
+def test_long_documents_in_many_blocks_get_the_same_components(spark):
+    rows = corpus(6, group=40)
+    for params in (Params(block_bytes=1200), Params(block_bytes=4000, short=3)):
+        found = near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(5), params).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(250)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]

@@ -1,7 +1,7 @@
 """Token-ID files: Parquet list columns with chosen encodings, row groups and page indexes.
 
-The documents are range-partitioned by doc_id, encoded shard by shard and
-written in ascending order.  A file holds one shard's rows:
+The documents are range-partitioned by doc_id and the hash of their text, encoded
+shard by shard and written in ascending order.  A file holds one shard's rows:
 
 - ``shard``, ``doc_id``, ``start_in_shard``, ``n_tokens``: metadata, delta- and
   dictionary-encoded, so offsets are read without touching the tokens;
@@ -146,7 +146,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, shards: int |
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    placed = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(*order)
+    placed = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     placed.mapInArrow(_encoded(tokenizer), _SCHEMA).write.options(**WRITE_OPTIONS).parquet(path)
 
 

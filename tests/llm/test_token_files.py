@@ -62,5 +62,17 @@ def test_files_hold_the_ids_in_order(spark, path, plain):
     assert "ids" not in metadata._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rows_of_one_id_are_cut_between_shards(spark, path, plain):
+    rows = [(None, f"null {i}") for i in range(300)] + [(7, f"seven {i}") for i in range(300)] + [(i, "x") for i in range(10, 60)]
+    place = Scratch(spark, "t").path("f")
+    found = token_digests(spark.createDataFrame(rows, SCHEMA).repartition(3), path, place, shards=6).collect()
+    found.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in found] == [r[0] for r in rows]
+    assert [r.start + r.n_tokens for r in found[:-1]] == [r.start for r in found[1:]]
+    assert sorted(r.n_tokens for r in found) == sorted(len(plain(t)) for _, t in rows)
+    shards = spark.read.parquet(place).groupBy("shard").count().collect()
+    assert max(r["count"] for r in shards) < 250
+
+
 def test_empty_table(spark, path):
     assert token_digests(spark.createDataFrame([], SCHEMA), path, Scratch(spark, "t").path("f")).count() == 0

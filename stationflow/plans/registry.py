@@ -159,32 +159,46 @@ def write_feed(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write_sliced_feed(spark: SparkSession, sf_dir: str) -> str:
-    """The feed in time order: ``SLICES`` files of equal spans of time, and late readings.
+    """The feed in time order: ``SLICES`` folders of equal spans of time, and late readings.
 
     The slices are written one after the other, so a source that takes the
-    oldest file first, one per trigger, sees them in order.  The last file
-    repeats the earliest readings, which the watermark must drop.
+    oldest files first, as many per trigger as a slice has, sees them in order.
+    A slice has as many files as the input has partitions, all slices the same
+    number; one without readings has none.  The last file repeats the earliest
+    readings, which the watermark must drop.
     """
     path = scratch_path(spark, "feed")
     readings = with_event_time(spark, sf_dir)
     span = readings.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high")).first()
     step = (span["high"] - span["low"]) / SLICES
     seconds = F.unix_micros("event_time")
+    slices = []
     for i in range(SLICES):
         low, high = (F.unix_micros(F.lit(span["low"] + step * n)) for n in (i, i + 1))
-        inside = (seconds >= low) & ((seconds < high) if i + 1 < SLICES else F.lit(True))
-        payloads = feed.encode_payloads(readings.where(inside), READING_COLUMNS)
-        save_text(payloads.coalesce(1), f"{path}/part-{i}")
+        slices.append((seconds >= low) & ((seconds < high) if i + 1 < SLICES else F.lit(True)))
+    counts = readings.agg(*(F.count_if(inside) for inside in slices)).first()
+    partitions = readings.rdd.getNumPartitions()
+    # some partition has this many rows of each slice, which are dealt in turn: no file of a slice stays empty
+    files = max(1, min([partitions, *(n // partitions for n in counts if n)]))
+    for i, (inside, n) in enumerate(zip(slices, counts, strict=True)):
+        if n:
+            payloads = feed.encode_payloads(readings.where(inside), READING_COLUMNS)
+            save_text(payloads.repartition(files), f"{path}/part-{i}")
     late = readings.orderBy("event_time", "station_id").limit(LATE)
     save_text(feed.encode_payloads(late, READING_COLUMNS).coalesce(1), f"{path}/part-{SLICES}")
     return f"{path}/*"
 
 
+def _files_a_batch(spark: SparkSession, source: str) -> int:
+    """Files of a slice of a sliced feed (the first slice holds the earliest reading); 1 for another feed."""
+    return len(spark.read.text(f"{source[:-1]}part-0").inputFiles()) if source.endswith("/*") else 1
+
+
 def _drain(start, spark: SparkSession, source: str, label: str) -> tuple[str, StreamingQuery]:
-    """Run one streaming query over a feed (availableNow, a file per micro-batch); its output and the query."""
+    """Run one streaming query over a feed (availableNow, a file or slice per micro-batch); its output and the query."""
     out = scratch_path(spark, f"{label}-out")
     query = start(
-        decode_payload(text_stream(spark, source, max_files_per_trigger=1)),
+        decode_payload(text_stream(spark, source, max_files_per_trigger=_files_a_batch(spark, source))),
         out,
         scratch_path(spark, f"{label}-ckpt"),
         {"availableNow": True},

@@ -227,6 +227,23 @@ def test_stateful_keys_run_several_batches_and_drop_late_rows(spark):
         assert dropped > 0
 
 
+def test_slices_are_written_in_as_many_files_as_the_input_has_partitions(spark, monkeypatch):
+    from conftest import SF_SMALL
+
+    from stationflow.plans import registry
+
+    whole = registry.with_event_time
+    monkeypatch.setattr(registry, "with_event_time", lambda s, d: whole(s, d).repartition(3))
+    source = registry.write_sliced_feed(spark, SF_SMALL)
+    for i in range(registry.SLICES):
+        assert len(spark.read.text(f"{source[:-1]}part-{i}").inputFiles()) == 3
+    lines = spark.read.text(source).count()
+    assert lines == whole(spark, SF_SMALL).count() + registry.LATE
+    _, query = registry._drain(sq.start_closed_windows, spark, source, "batches")
+    progress = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"] > 0]
+    assert len(progress) == registry.SLICES + 1 and progress[-1] == registry.LATE
+
+
 def test_every_alert_of_a_batch_reaches_the_default_sink(spark):
     from stationflow.jobs.streaming import start_all
 

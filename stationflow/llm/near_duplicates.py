@@ -3,18 +3,21 @@
 1. Every document's distinct shingles are hashed once; its sketch is the ``k``
    smallest hashes.  Documents with equal sets are one class from here on.
 2. Two sets of Jaccard similarity ``s`` share about ``s * k`` of the ``k``
-   smallest hashes of their union, so linked ones share more than ``SHARE`` of
-   them but for a chance below 1e-7.  Hence the rarest ``1 - SHARE`` of a
+   smallest hashes of their union, so linked ones share more than ``share`` of
+   them but for a chance of 6e-7 (binomial).  Hence the rarest ``1 - share`` of a
    sketch's values suffice as its inverted-list entries (prefix principle):
    linked sets have one of them in common.  Values that many documents share
    come last in that order and stay out of the lists.
 3. Lists up to ``short`` documents yield their pairs.  Documents in longer ones
    (large groups of copies, or texts made mostly of common passages) are listed
-   again under ``keys`` combinations of ``grain`` retained values each; linked
-   ones share many of these but for a chance below 1e-7.  A combination's
-   documents are compared with the first of them, so a list of any length costs
-   one pair a document.  Pairs are filtered by the similarity that the union's
-   sketch estimates.
+   again under ``keys`` combinations of ``grain`` retained values each; two sets
+   of similarity 0.85 share none of these with a chance of 4e-6 if they are of
+   one size, of 6e-4 if one holds the other.  A combination's documents are
+   compared with the first of them.  Those less similar to it than ``loose``
+   are compared among themselves in further rounds, with four times as many
+   first ones each time, until none is left; a list of copies costs one pair a
+   document, one of unrelated documents all its pairs.  Pairs are filtered by
+   the similarity that the union's sketch estimates.
 4. The connected components of these candidates are clusters; no link leaves
    one.  Each cluster's texts come together once, in blocks of bounded size,
    and exact intersections of the full sets decide.  Blocks of a large cluster
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -48,9 +52,9 @@ class Params:
     width: int = 5
     threshold: int = 85
     k: int = 64
-    #: Share of the union's sketch that linked sets have in common (5.5 standard deviations below 0.85 at k = 64).
+    #: Share of the union's sketch that linked sets have in common (missed at 0.85 and k = 64 with a chance of 6e-7).
     share: float = 0.60
-    #: Least estimate between a document and the first one of its list.
+    #: Least estimate between a document and one of the first ones of its list.
     loose: float = 0.45
     short: int = 12
     keys: int = 60
@@ -177,10 +181,37 @@ def _candidates(lists: DataFrame, sets: DataFrame, p: Params, scratch: Scratch)
     crowd = sized.where(F.col("n") > p.short).select("rid").distinct()
     listed = sets.select("rid", "sketch").join(crowd, "rid", "left_semi").mapInArrow(_combinations(p), "key long, rid long")
     listed = scratch.table(listed, "combinations")
-    first = listed.groupBy("key").agg(F.min("rid").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    starred = listed.join(first, "key").where("a <> rid").select("a", F.col("rid").alias("b"), F.lit(p.loose).alias("least"))
-    wanted = pairs.withColumn("least", F.lit(p.share)).unionAll(starred)
-    return _estimated(wanted.groupBy("a", "b").agg(F.min("least").alias("least")), sets, p, scratch)
+    near = _estimated(pairs.withColumn("least", F.lit(p.share)).distinct(), sets, p, scratch)
+    return near.unionAll(_starred(listed, sets, p, scratch))
+
+
+def _starred(listed: DataFrame, sets: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) within the combinations ``listed`` (key, rid); every document meets its like or all others."""
+    near, rest, firsts, few = [], listed, 1, 0
+    while True:
+        sizes = rest.groupBy("key").agg(F.min("rid").alias("least"), F.count("*").alias("n")).where("n > 1")
+        sizes = scratch.table(sizes, "sizes")
+        found = sizes.agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).first()
+        if not found["n"]:
+            break
+        few = few or found["n"]
+        last = firsts > 1 and found["pairs"] <= few  # no more pairs are left than the first round had: all at once
+        # the smallest one, and others by their hash
+        is_first = (F.col("rid") == F.col("least")) | (F.pmod(F.xxhash64("key", "rid"), F.col("n")) < firsts - 1)
+        is_first = F.lit(True) if last else is_first
+        dealt = scratch.table(rest.join(sizes, "key").select("key", "rid", is_first.alias("is_first")), "dealt")
+        first = dealt.where("is_first").select("key", F.col("rid").alias("first"))
+        met = dealt.join(first, "key").where("rid <> first AND (NOT is_first OR first < rid)")
+        pair = F.least("first", "rid").alias("a"), F.greatest("first", "rid").alias("b")
+        wanted = met.select(*pair).distinct().withColumn("least", F.lit(p.loose))
+        near.append(_estimated(wanted, sets, p, scratch))
+        if last:
+            break
+        linked = met.where("NOT is_first").select("key", "rid", *pair).join(near[-1], ["a", "b"], "left_semi")
+        others = dealt.where("NOT is_first").select("key", "rid")
+        rest = scratch.table(others.join(linked.select("key", "rid"), ["key", "rid"], "left_anti"), "rest")
+        firsts *= 4
+    return reduce(DataFrame.unionAll, near) if near else listed.select(F.col("key").alias("a"), F.col("rid").alias("b")).limit(0)
 
 
 def _exact_links(sets: list[np.ndarray], threshold: int) -> np.ndarray:

@@ -137,6 +137,24 @@ def test_long_documents_in_many_blocks_get_the_same_components(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows)
 
 
+def test_documents_unlike_the_first_of_a_combination_meet_each_other(spark):
+    from stationflow.llm import near_duplicates as nd
+
+    rng = random.Random(3)
+    draw = lambda n: [rng.getrandbits(63) - (1 << 62) for _ in range(n)]
+    unsigned = lambda v: sorted(v, key=lambda x: x % (1 << 64))
+    sketches, like = [draw(64)], []
+    for _ in range(9):  # nine pairs of near copies after one document that is unlike them all
+        one = draw(64)
+        like.append((len(sketches), len(sketches) + 1))
+        sketches += [one, one[:60] + draw(4)]
+    sets = spark.createDataFrame([(i, unsigned(s)) for i, s in enumerate(sketches)], "rid long, sketch array<long>")
+    listed = spark.createDataFrame([(5, i) for i in range(len(sketches))], "key long, rid long")
+    edges = nd._starred(listed, sets, Params(), Scratch(spark, "test")).collect()
+    assert {(r.a, r.b) for r in edges} == set(like)
+    assert nd._starred(listed.limit(0), sets, Params(), Scratch(spark, "test")).count() == 0
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(250)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]

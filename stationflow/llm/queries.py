@@ -15,6 +15,7 @@ from stationflow.llm.near_duplicates import near_duplicates
 from stationflow.llm.neighbours import nearest
 from stationflow.llm.quality import fit_quality, quality
 from stationflow.llm.scratch import Scratch
+from stationflow.llm.token_alignment import aligned_tokens
 from stationflow.llm.token_counts import derived_edits, token_counts
 from stationflow.llm.token_files import token_digests
 from stationflow.llm.toxicity import fit_toxicity, toxicity
@@ -22,6 +23,7 @@ from stationflow.llm.warc import archived_pages
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.tiktoken"
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -78,6 +80,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(_read(spark, sf_dir, "pages"), Scratch(spark, "warc").path("archives"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_tokens(_read(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_licences": op2_licences,
@@ -89,6 +95,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {

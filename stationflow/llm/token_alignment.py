@@ -33,12 +33,12 @@ from stationflow.llm.scratch import Scratch
 ship(__name__)
 
 #: Overlaps of a block (a longer text is a block of its own).
-BLOCK_LINKS = 2_000_000
+BLOCK_LINKS = 500_000
 #: Characters of texts that are encoded and aligned at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Encoded words kept per Python worker; the cache starts anew when it is full.
-CACHE = 300_000
-_SPACED = re.compile(r"\s ")
+CACHE = 400_000
+_SPACED, _INSIDE = re.compile(r"\s "), re.compile(r"\S ")
 
 _SCHEMA = (
     "block long, seq int, doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>, "
@@ -58,9 +58,9 @@ def _byte_alphabet() -> dict[str, int]:
 class Tokenizers:
     """Texts -> ids of both tokenizers, and whether the tokens spell a space and the text.
 
-    Neither tokenizer has a token that holds a space after another character (which is
-    tested), so words cut before a single space are encoded one by one, each distinct
-    word once.  Texts with other white space before a space are encoded whole.
+    Neither tokenizer has a token that holds a space behind a character other than white
+    space (which is tested), so words cut at single spaces are encoded one by one, each
+    distinct word once.  Texts with white space before a space are encoded whole.
     """
 
     def __init__(self, a_path: str, b_path: str):
@@ -76,41 +76,59 @@ class Tokenizers:
         self.a_bytes = [bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t in tokens]
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.a_len, self.b_len = (np.array([len(x) for x in v], dtype=np.int64) for v in (self.a_bytes, self.b_bytes))
-        self.by_word = not any(b" " in t.lstrip(b" ") for t in [*self.a_bytes, *self.b_bytes])
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        spelled = (t.decode("utf-8", "replace") for t in [*self.a_bytes, *self.b_bytes])
+        self.by_word = not any(_INSIDE.search(t) for t in spelled)
+        #: Per word the ids of A and of B; ``odd`` words aren't spelt by both.
+        self.known: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes] = {}
+        self.odd: set[str] = set()
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def _both(self, texts: list[str]) -> Iterator[tuple[bytes, bytes, bool]]:
-        """A encodes a space and the text; B adds the space itself."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for text, x, y in zip(texts, a, self.b.encode(texts, num_threads=1), strict=True):
-            want = b" " + text.encode()
-            same = b"".join(map(self.a_bytes.__getitem__, x.ids)) == want == b"".join(map(self.b_bytes.__getitem__, y))
-            yield np.array(x.ids, "<i4").tobytes(), np.array(y, "<i4").tobytes(), same
+    def _both(self, texts: list[str]) -> tuple[list[bytes], list[bytes], list[bool]]:
+        """Ids by A of a space and each text, by B of the text (it adds the space), and whether both spell it."""
+        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        b = self.b.encode(texts, num_threads=1)
+        whole = [b" " + t.encode() for t in texts]
+        flat = [np.array([i for ids in part for i in ids], np.int32) for part in (a, b)]
+        cuts = [np.cumsum([0, *map(len, part)]) for part in (a, b)]
+        sizes = np.array([len(w) for w in whole])
+        same = np.ones(len(texts), bool)
+        for ids, cut, length, spelling in zip(flat, cuts, (self.a_len, self.b_len), (self.a_bytes, self.b_bytes), strict=True):
+            upto = np.concatenate([[0], np.cumsum(length[ids])])[cut]
+            if b"".join(map(spelling.__getitem__, ids.tolist())) == b"".join(whole):
+                same &= np.diff(upto) == sizes
+            else:
+                pairs = zip(whole, (ids[x:y].tolist() for x, y in zip(cut, cut[1:], strict=False)), strict=True)
+                same &= [b"".join(map(spelling.__getitem__, own)) == w for w, own in pairs]
+        parts = [(ids.tobytes(), (4 * cut).tolist()) for ids, cut in zip(flat, cuts, strict=True)]
+        a, b = ([data[x:y] for x, y in zip(cut, cut[1:], strict=False)] for data, cut in parts)
+        return a, b, same.tolist()
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         words = [t.split(" ") if t and self.by_word and not _SPACED.search(" " + t) else [] for t in texts]
         words = [ws if "" not in ws else [] for ws in words]
         distinct = set().union(*words)
         if len(self.known) + len(distinct) > CACHE:
-            self.known.clear()
+            self.known.clear(), self.known_b.clear(), self.odd.clear()
         new = [w for w in distinct if w not in self.known]
         for low in range(0, len(new), 2000):
             part = new[low : low + 2000]
-            self.known.update(zip(part, self._both(part), strict=True))
-        none = np.zeros(0, np.int32)
+            a, b, same = self._both(part)
+            self.known.update(zip(part, a, strict=True))
+            self.known_b.update(zip(part, b, strict=True))
+            self.odd.update(w for w, ok in zip(part, same, strict=True) if not ok)
         found = []
         for text, ws in zip(texts, words, strict=True):
-            parts = [self.known[w] for w in ws]
-            if not parts or not all(p[2] for p in parts):
-                parts = list(self._both([text])) if text else []
-            if parts and all(p[2] for p in parts):
-                found.append(tuple(np.frombuffer(b"".join([p[i] for p in parts]), "<i4") for i in (0, 1)))
-            else:
-                found.append((none, none))
+            a = b = b""
+            if ws and self.odd.isdisjoint(ws):
+                a, b = (b"".join(map(known.__getitem__, ws)) for known in (self.known, self.known_b))
+            elif text:
+                (a,), (b,), (same,) = self._both([text])
+                a, b = (a, b) if same else (b"", b"")
+            found.append((np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)))
         return found
 
 

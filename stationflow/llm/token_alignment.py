@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +34,11 @@ from stationflow.llm.scratch import Scratch
 ship(__name__)
 
 #: Overlaps of a block (a longer text is a block of its own).
-BLOCK_LINKS = 500_000
-#: Characters of texts that are encoded and aligned at a time.
-CHUNK = 1 << 18
-#: Encoded words kept per Python worker; the cache starts anew when it is full.
-CACHE = 400_000
+BLOCK_LINKS = 300_000
+#: Bytes of texts that are encoded and aligned at a time.
+CHUNK = 1 << 17
+#: Encoded words kept during a task; the cache starts anew when it is full.
+CACHE = 200_000
 _SPACED, _INSIDE = re.compile(r"\s "), re.compile(r"\S ")
 
 _SCHEMA = (
@@ -107,12 +108,15 @@ class Tokenizers:
         a, b = ([data[x:y] for x, y in zip(cut, cut[1:], strict=False)] for data, cut in parts)
         return a, b, same.tolist()
 
+    def forget(self) -> None:
+        self.known, self.known_b, self.odd = {}, {}, set()
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         words = [t.split(" ") if t and self.by_word and not _SPACED.search(" " + t) else [] for t in texts]
         words = [ws if "" not in ws else [] for ws in words]
         distinct = set().union(*words)
         if len(self.known) + len(distinct) > CACHE:
-            self.known.clear(), self.known_b.clear(), self.odd.clear()
+            self.forget()
         new = [w for w in distinct if w not in self.known]
         for low in range(0, len(new), 2000):
             part = new[low : low + 2000]
@@ -231,19 +235,20 @@ def _align(a_path: str, b_path: str):
         tok = _kept(f"{a_path}|{b_path}", lambda: Tokenizers(a_path, b_path))
         first, count, block = TaskContext.get().partitionId() << 32, 0, _Block()
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            low = 0
-            while low < len(texts):
+            sizes, low = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist(), 0
+            while low < len(sizes):
                 high, size = low, 0
-                while high < len(texts) and (high == low or size + len(texts[high]) <= CHUNK):
-                    size, high = size + len(texts[high]), high + 1
-                block.add(tok, doc_ids[low:high], texts[low:high])
+                while high < len(sizes) and (high == low or size + sizes[high] <= CHUNK):
+                    size, high = size + sizes[high], high + 1
+                doc_ids, texts = (c.slice(low, high - low).to_pylist() for c in batch.columns)
+                block.add(tok, doc_ids, [t or "" for t in texts])
                 low = high
                 if block.links >= BLOCK_LINKS:
                     yield block.rows(first + count)
                     count, block = count + 1, _Block()
         if block.parts:
             yield block.rows(first + count)
+        tok.forget()  # the worker outlives its task
 
     return run
 
@@ -278,30 +283,28 @@ class Alignment:
             "pairs",
         )
 
-    def link_scores(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (block, pair_at, pair_n and others) with n_links, n_best and count_sum instead of the pairs.
+    def link_scores(self) -> DataFrame:
+        """(block, seq, n_links, n_best, count_sum) of every text.
 
-        A block's rows meet the counts of its own pairs, which they refer to by place.
+        A block's texts meet the counts of its own pairs, which they refer to by place.
         """
-        kept = [c for c in rows.columns if c not in ("pair_at", "pair_n")]
         looked = self.blocks.select("block", "pair").join(self.pairs.select("pair", "n", "best"), "pair")
-        schema = rows.select(*kept).schema.add("n_links", "long").add("n_best", "long").add("count_sum", "long")
-        return rows.groupBy("block").cogroup(looked.groupBy("block")).applyInArrow(_scores(kept), schema)
-
-
-def _scores(kept: list[str]):
-    def run(rows: pa.Table, looked: pa.Table) -> pa.Table:
-        order = np.argsort(looked["pair"].to_numpy(), kind="stable")
-        n, best = looked["n"].to_numpy()[order], looked["best"].to_numpy(zero_copy_only=False)[order]
-        out = []
-        for at, k in zip(rows["pair_at"].combine_chunks(), rows["pair_n"].combine_chunks(), strict=True):
-            at, k = (x.values.to_numpy().astype(np.int64) for x in (at, k))
-            out.append((int(k.sum()), int(k[best[at]].sum()), int((k * n[at]).sum())))
-        sums = np.array(out, np.int64).reshape(-1, 3)
-        names = ("n_links", "n_best", "count_sum")
-        return pa.table({c: rows[c] for c in kept} | {c: sums[:, i] for i, c in enumerate(names)})
+        rows = self.texts.select("block", "seq", "pair_at", "pair_n")
+        return rows.groupBy("block").cogroup(looked.groupBy("block")).applyInArrow(
+            _scores, "block long, seq int, n_links long, n_best long, count_sum long"
+        )
 
-    return run
+
+def _scores(rows: pa.Table, looked: pa.Table) -> pa.Table:
+    order = np.argsort(looked["pair"].to_numpy(), kind="stable")
+    n, best = looked["n"].to_numpy()[order], looked["best"].to_numpy(zero_copy_only=False)[order]
+    out = []
+    for at, k in zip(rows["pair_at"].combine_chunks(), rows["pair_n"].combine_chunks(), strict=True):
+        at, k = (x.values.to_numpy().astype(np.int64) for x in (at, k))
+        out.append((int(k.sum()), int(k[best[at]].sum()), int((k * n[at]).sum())))
+    sums = np.array(out, np.int64).reshape(-1, 3)
+    names = ("n_links", "n_best", "count_sum")
+    return pa.table({c: rows[c] for c in ("block", "seq")} | {c: sums[:, i] for i, c in enumerate(names)})
 
 
 def _texts_of_groups(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, marks: tuple) -> bytes:
@@ -336,9 +339,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((len(a), len(b), len(a_sizes), hashlib.sha256(text).hexdigest() if len(a) else ""))
         n_a, n_b, n_groups, sha = zip(*rows, strict=True) if rows else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("block", "doc_id", "pair_at", "pair_n")),
+            [*(batch.column(c) for c in ("block", "seq", "doc_id")),
              *(pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)), pa.array(sha, pa.string())],
-            names=["block", "doc_id", "pair_at", "pair_n", "n_a", "n_b", "n_groups", "groups_sha256"],
+            names=["block", "seq", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256"],
         )
 
 
@@ -356,9 +359,7 @@ def aligned_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     whole.  An empty table gives no rows; further columns are not read.
     """
     found = Alignment(docs, a_path, b_path, Scratch(docs.sparkSession, "token-alignment"))
-    digests = found.texts.select("block", "doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes", "pair_at", "pair_n").mapInArrow(
-        _digests,
-        "block long, doc_id long, pair_at array<int>, pair_n array<int>, "
-        "n_a long, n_b long, n_groups long, groups_sha256 string",
+    digests = found.texts.select("block", "seq", "doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(
+        _digests, "block long, seq int, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string"
     )
-    return found.link_scores(digests).drop("block")
+    return digests.join(found.link_scores(), ["block", "seq"]).drop("block", "seq")

@@ -288,9 +288,10 @@ class Alignment:
 
         A block's texts meet the counts of its own pairs, which they refer to by place.
         """
-        looked = self.blocks.select("block", "pair").join(self.pairs.select("pair", "n", "best"), "pair")
+        asked = self.blocks.select(F.col("block").alias("own"), "pair")
+        looked = asked.join(self.pairs.select("pair", "n", "best"), "pair")
         rows = self.texts.select("block", "seq", "pair_at", "pair_n")
-        return rows.groupBy("block").cogroup(looked.groupBy("block")).applyInArrow(
+        return rows.groupBy("block").cogroup(looked.groupBy("own")).applyInArrow(
             _scores, "block long, seq int, n_links long, n_best long, count_sum long"
         )
 

@@ -74,3 +74,33 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
   CASE WHEN n >= 1000 AND page_id <> target THEN target END AS refers_to
 FROM payloads LEFT JOIN shared USING (digest)
 """
+
+_TERMS = rf"regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED_SEARCH = f"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS w FROM documents
+), sizes AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n FROM docs WHERE len(w) > 0
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS cn, CAST(sum(n) AS BIGINT) AS cl FROM sizes
+), items AS (
+  SELECT row_number() OVER () AS i, item_id, w FROM (SELECT DISTINCT item_id, {_TERMS} AS w, text FROM benchmark)
+), asked AS (
+  SELECT i, t, CAST(count(*) AS BIGINT) AS times FROM (SELECT i, unnest(w) AS t FROM items) GROUP BY 1, 2
+), held AS (
+  SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS t FROM docs)
+  WHERE t IN (SELECT t FROM asked) GROUP BY 1, 2
+), weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * cn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, totals GROUP BY t, cn
+), gains AS (
+  SELECT r, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * cn) // cl))) AS gain
+  FROM held JOIN weights USING (t) JOIN sizes USING (r), totals
+), scores AS (
+  SELECT i, r, CAST(sum(times * gain) AS BIGINT) AS score FROM asked JOIN gains USING (t) GROUP BY 1, 2
+), ranked AS (
+  SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+  FROM scores JOIN sizes USING (r) WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN items USING (i) WHERE rank <= 20
+"""

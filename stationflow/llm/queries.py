@@ -14,6 +14,7 @@ from stationflow.llm.mixing import mix
 from stationflow.llm.near_duplicates import near_duplicates
 from stationflow.llm.neighbours import nearest
 from stationflow.llm.quality import fit_quality, quality
+from stationflow.llm.ranked_search import ranked_search
 from stationflow.llm.scratch import Scratch
 from stationflow.llm.token_alignment import aligned_tokens
 from stationflow.llm.token_counts import derived_edits, token_counts
@@ -80,6 +81,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(_read(spark, sf_dir, "pages"), Scratch(spark, "warc").path("archives"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned_tokens(_read(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE))
 
@@ -95,11 +100,13 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
+    "op11_ranked_search": op11_ranked_search,
     "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
     "op10_warc": oracles.WARC,
+    "op11_ranked_search": oracles.RANKED_SEARCH,
     "op1_near_duplicates": oracles.NEAR_DUPLICATES,
     "op6_decontamination": oracles.DECONTAMINATE,
 }

@@ -7,6 +7,9 @@ the columns it needs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +67,24 @@ def small_batches(spark: SparkSession) -> None:
     now = int(spark.conf.get(_BATCH_CONF, "10000"))
     if now <= 0 or now > BATCH_ROWS:
         spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
+#: Settings under which rows that hold long lists are read and handed over few at a time.
+_LONG_ROWS = {_BATCH_CONF: "1000", "spark.sql.parquet.columnarReaderBatchSize": "512"}
+
+
+@contextmanager
+def long_rows(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside hold few rows at once; the session's settings come back after them.
+
+    For rows with long lists: the JVM lays out a whole batch, and doubles the space
+    of its lists when it is full.
+    """
+    before = {key: spark.conf.get(key, None) for key in _LONG_ROWS}
+    for key, value in _LONG_ROWS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

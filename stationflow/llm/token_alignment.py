@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import ship
-from stationflow.llm.scratch import Scratch
+from stationflow.llm.scratch import Scratch, long_rows
 
 ship(__name__)
 
@@ -359,8 +359,11 @@ def aligned_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     doc_id, each get a row of their own and each count.  Very long texts are aligned
     whole.  An empty table gives no rows; further columns are not read.
     """
-    found = Alignment(docs, a_path, b_path, Scratch(docs.sparkSession, "token-alignment"))
-    digests = found.texts.select("block", "seq", "doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(
-        _digests, "block long, seq int, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string"
-    )
-    return digests.join(found.link_scores(), ["block", "seq"]).drop("block", "seq")
+    scratch = Scratch(docs.sparkSession, "token-alignment")
+    found = Alignment(docs, a_path, b_path, scratch)
+    ids = found.texts.select("block", "seq", "doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes")
+    digested = "block long, seq int, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string"
+    with long_rows(docs.sparkSession):
+        digests = scratch.table(ids.mapInArrow(_digests, digested), "digests")
+        scores = scratch.table(found.link_scores(), "scores")
+    return digests.join(scores, ["block", "seq"]).drop("block", "seq")

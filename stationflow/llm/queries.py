@@ -13,6 +13,7 @@ from stationflow.llm.licences import licences
 from stationflow.llm.mixing import mix
 from stationflow.llm.near_duplicates import near_duplicates
 from stationflow.llm.neighbours import nearest
+from stationflow.llm.page_text import page_texts
 from stationflow.llm.quality import fit_quality, quality
 from stationflow.llm.ranked_search import ranked_search
 from stationflow.llm.scratch import Scratch
@@ -85,6 +86,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_texts(_read(spark, sf_dir, "pages"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned_tokens(_read(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE))
 
@@ -101,6 +106,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_warc": op10_warc,
     "op11_ranked_search": op11_ranked_search,
+    "op12_page_text": op12_page_text,
     "op13_token_alignment": op13_token_alignment,
 }
 

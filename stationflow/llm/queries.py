@@ -40,7 +40,8 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_read(spark, sf_dir, "documents"))
+    found = near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +63,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    found = decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

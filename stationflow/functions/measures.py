@@ -88,3 +88,64 @@ def rounded_sum(expr: str, digits: int = 2) -> str:
 
 def rounded(expr: str, digits: int = 2) -> str:
     return r2_sql(expr, digits)
+
+
+# --- exact second moments ----------------------------------------------------
+
+
+def square_parts_sql(expr: str) -> dict[str, str]:
+    """Sums that hold the exact sum of squares of a value's whole units; each adds up over parts of a group.
+
+    With ``v = hi * 2**20 + lo`` the square is ``hi*hi * 2**40 + hi*lo * 2**21 + lo*lo``.  Values of
+    magnitudes below 2**50 units have products below 2**60, which are split once more at
+    20 bits, so that no sum overflows below ~8e12 rows.  ``wide`` counts the values that
+    don't fit, or that aren't whole units.
+    """
+    units = units_sql(expr)
+    fits = f"coalesce(abs({units}) < {1 << 50}L, false)"
+    own = f"CASE WHEN {fits} THEN {units} END"
+    hi, lo = f"shiftright({own}, {_SPLIT_BITS})", f"({own} & {_LOW_MASK}L)"
+    parts = {}
+    for name, product in (("hh", f"{hi} * {hi}"), ("hl", f"{hi} * {lo}"), ("ll", f"{lo} * {lo}")):
+        parts[f"{name}_hi"] = f"sum(shiftright({product}, {_SPLIT_BITS}))"
+        parts[f"{name}_lo"] = f"sum(({product}) & {_LOW_MASK}L)"
+    # a double of at most 4 decimals and 2**50 units is the nearest one to its units / 10**4
+    parts["wide"] = f"count_if(({expr}) IS NOT NULL AND NOT ({fits} AND ({expr}) = {units} / {_UNIT}))"
+    return parts
+
+
+def _variance_sql(p: dict[str, str], q: dict[str, str]) -> str:
+    """Sample variance in squared units from the parts of the sum and of the sum of squares; null for fewer than two values.
+
+    ``(n * sum(v*v) - sum(v)**2) / (n * (n - 1))`` with an integer numerator: the same bits for any
+    order and any partitioning.  A DECIMAL holds 38 digits; where ``n`` times the sum of squares
+    takes more, the two terms are divided as doubles of exact integers, which is as free of order.
+    """
+    two20, d = 1 << _SPLIT_BITS, "DECIMAL(38,0)"
+    whole = f"(CAST({p['hi']} AS {d}) * {two20} + CAST({p['lo']} AS {d}))"
+    piece = {n: f"(CAST({q[f'{n}_hi']} AS {d}) * {two20} + CAST({q[f'{n}_lo']} AS {d}))" for n in ("hh", "hl", "ll")}
+    squares = f"({piece['hh']} * {two20 * two20} + {piece['hl']} * {2 * two20} + {piece['ll']})"
+    n = f"CAST({p['n']} AS {d})"
+    exact = f"CAST(try_subtract(try_multiply({n}, {squares}), try_multiply({whole}, {whole})) AS DOUBLE)"
+    count = f"CAST({p['n']} AS DOUBLE)"
+    rough = f"({count} * CAST({squares} AS DOUBLE) - CAST({whole} AS DOUBLE) * CAST({whole} AS DOUBLE))"
+    return f"CASE WHEN {p['n']} > 1 THEN coalesce({exact}, {rough}) / {count} / ({count} - 1D) END"
+
+
+def exact_stddev_sql(expr: str) -> str:
+    """Sample standard deviation that doesn't depend on row order; Spark's own where values aren't whole units."""
+    squares = square_parts_sql(expr)
+    own = f"sqrt({_variance_sql(parts_sql(expr), squares)}) / {_UNIT}"
+    return f"CASE WHEN {squares['wide']} = 0 THEN {own} ELSE stddev_samp({expr}) END"
+
+
+def merged_stddev_sql(name: str) -> str:
+    """The same from rows that hold ``name``'s parts as columns, with ``avg`` and ``m2`` for values that aren't whole units."""
+    p = {part: f"sum({name}_{part})" for part in ("hi", "lo", "n")}
+    q = {f"{x}_{y}": f"sum({name}_{x}_{y})" for x in ("hh", "hl", "ll") for y in ("hi", "lo")}
+    own = f"sqrt({_variance_sql(p, q)}) / {_UNIT}"
+    # the squared distances within the rows, and of the rows' means from one another
+    between = f"(var_pop({name}_avg) * count({name}_avg))"
+    weighted = f"(sum({name}_n * {name}_avg * {name}_avg) - power(sum({name}_n * {name}_avg), 2) / {p['n']})"
+    rough = f"sqrt((sum({name}_m2) + CASE WHEN min({name}_n) = max({name}_n) THEN {between} * max({name}_n) ELSE {weighted} END) / ({p['n']} - 1))"
+    return f"CASE WHEN sum({name}_wide) = 0 THEN {own} WHEN {p['n']} > 1 THEN {rough} END"

@@ -3,6 +3,8 @@
     python -m stationflow.jobs.streaming <output_base> --kafka host:9092 [--topic weather-raw]
     python -m stationflow.jobs.streaming <output_base> --files <folder of JSON lines>
     ... --available-now   (drain what is there and stop: backfills, catch-up runs)
+    ... --compact-every 50   (merge the committed window batches every 50 batches)
+    python -m stationflow.jobs.streaming <output_base> --compact-windows   (merge them now and stop)
 
 A trigger takes at most --max-offsets or --max-files, so the first batch from the
 earliest offset is a bounded one, not the whole backlog.
@@ -16,6 +18,10 @@ earliest offset is a bounded one, not the whole backlog.
   watermark passes its end: the append-only window history; the update-mode
   folders above are the live view and can be pruned once their windows closed
 
+Progress of every batch and the end of every query are stored under ``<output_base>/events``
+(``monitor.read_events``).  When one query ends or fails, the others are stopped and the
+job ends, with an error if it failed.
+
 Each query keeps its own checkpoint under ``<output_base>/checkpoints``, so a
 restart resumes from the stored offsets and state instead of replaying the topic.
 Window state lives in the RocksDB state store (off-heap, spills to local disk,
@@ -35,6 +41,8 @@ from pyspark.sql.streaming import StreamingQuery
 from stationflow.session import build_session
 from stationflow.sources.topics import DEFAULT_TOPIC, decode_payload, kafka_stream, text_stream
 from stationflow.streaming import queries as sq
+from stationflow.streaming.monitor import EventLog, wait_for_any
+from stationflow.streaming.upsert import committed_upto, compact
 
 
 def start_all(
@@ -47,6 +55,7 @@ def start_all(
     window_trigger: dict | None = None,
     archive_trigger: dict | None = None,
     closed_windows: bool = False,
+    compact_every: int | None = None,
 ) -> list[StreamingQuery]:
     base = output_base.rstrip("/")
     ck = f"{base}/checkpoints"
@@ -69,6 +78,7 @@ def start_all(
             f"{base}/windows" if windows_to_files else None,
             f"{ck}/windows",
             window_trigger or {"processingTime": "30 seconds"},
+            compact_every=compact_every,
         ),
         sq.start_archive(
             parsed, f"{base}/raw_parquet", f"{ck}/raw", archive_trigger or {"processingTime": "30 seconds"}
@@ -76,12 +86,23 @@ def start_all(
     ]
 
 
+def compact_windows(spark: SparkSession, output_base: str) -> int:
+    """Merge the window batches a run under ``output_base`` has committed; the last one's id."""
+    base = output_base.rstrip("/")
+    upto = committed_upto(spark, f"{base}/checkpoints/windows")
+    if upto >= 0:
+        compact(spark, f"{base}/windows", sq.WINDOW_KEYS, upto)
+    return upto
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("output", help="output base folder (shared storage on a cluster)")
     src = parser.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka", help="bootstrap servers")
     src.add_argument("--files", help="folder of JSON-lines payload files")
+    src.add_argument("--compact-windows", action="store_true", help="merge the committed window batches and stop")
+    parser.add_argument("--compact-every", type=int, default=None, help="merge them every so many batches while running")
     parser.add_argument("--topic", default=DEFAULT_TOPIC)
     parser.add_argument("--alerts-to-console", action="store_true", help="preview the alerts instead of writing them")
     parser.add_argument("--max-offsets", type=int, default=5_000_000, help="messages per trigger, over all partitions")
@@ -96,6 +117,10 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-streaming", tasks_per_core=1)
+    if args.compact_windows:
+        print(f"Window batches merged up to {compact_windows(spark, args.output)}")
+        spark.stop()
+        return
     if args.kafka:
         raw = kafka_stream(
             spark,
@@ -106,6 +131,7 @@ def main(argv: list[str] | None = None) -> None:
         )
     else:
         raw = text_stream(spark, args.files, max_files_per_trigger=args.max_files)
+    spark.streams.addListener(EventLog(spark, f"{args.output.rstrip('/')}/events"))
     once = {"availableNow": True} if args.available_now else None
     queries = start_all(
         spark,
@@ -117,6 +143,7 @@ def main(argv: list[str] | None = None) -> None:
         window_trigger=once,
         archive_trigger=once,
         closed_windows=args.closed_windows,
+        compact_every=args.compact_every,
     )
     if args.available_now:
         for q in queries:
@@ -126,7 +153,11 @@ def main(argv: list[str] | None = None) -> None:
         if failed:
             raise SystemExit(f"queries failed: {failed}")
     else:
-        spark.streams.awaitAnyTermination()
+        ended = wait_for_any(spark, queries)
+        failure = ended.exception()
+        spark.stop()
+        if failure is not None:
+            raise SystemExit(f"query {ended.name} failed: {failure}")
 
 
 if __name__ == "__main__":

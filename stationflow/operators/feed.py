@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.measures import agg_exprs, exact_mean_sql
 from stationflow.schema import READING_COLUMNS
 
 
-def encode_payloads(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One JSON text ``value`` per reading, in wire field order (nulls omitted)."""
+def encode_payloads(df: DataFrame, columns: list[str] | None = None, *more: Column) -> DataFrame:
+    """One JSON text ``value`` per reading, in wire field order (nulls omitted), and ``more`` columns beside it."""
     cols = columns or READING_COLUMNS
-    return df.select(F.to_json(F.struct(*cols)).alias("value"))
+    return df.select(F.to_json(F.struct(*cols)).alias("value"), *more)
 
 
 def feed_summary(df: DataFrame) -> DataFrame:

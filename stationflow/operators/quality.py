@@ -102,25 +102,42 @@ def diurnal_contrast(
     )
 
 
+#: Days of a gap that are listed from one row.
+GAP_DAYS = 1024
+
+
+def cadence_intervals(df: DataFrame) -> DataFrame:
+    """(station_id, first, last, readings): every day with readings, and every gap between two such days.
+
+    A day is an interval of its own; a gap is one row, however long, with 0 readings.
+    """
+    days = df.groupBy("station_id", "date").agg(F.count(F.lit(1)).alias("readings"))
+    following = F.lead("date").over(Window.partitionBy("station_id").orderBy("date"))
+    own = "struct(date AS first, date AS last, readings)"
+    gap = "struct(date_add(date, 1) AS first, date_sub(following, 1) AS last, 0L AS readings)"
+    both = f"CASE WHEN date_add(date, 1) < following THEN array({own}, {gap}) ELSE array({own}) END"
+    return days.withColumn("following", following).select("station_id", F.expr(f"inline({both})"))
+
+
 def cadence_gaps(df: DataFrame, expected: int = READINGS_PER_DAY) -> DataFrame:
     """Station-days whose reading count differs from the expected cadence.
 
     A day without any reading between a station's first and last day counts 0.
-    The days between are listed from the gap to the station's next day, on the
-    aggregated table: one row per station-day, no second scan, no calendar join.
+    Gaps stay intervals until they are listed: each is cut into stretches of
+    ``GAP_DAYS`` days, which are dealt to the tasks, so a reading of a wrong year
+    costs many small rows instead of one with millions of days.
     """
-    days = df.groupBy("station_id", "date").agg(F.count(F.lit(1)).alias("readings"))
-    following = F.lead("date").over(Window.partitionBy("station_id").orderBy("date"))
-    gap = "CASE WHEN date_add(date, 1) < following THEN sequence(date_add(date, 1), date_sub(following, 1)) END"
-    empty = F.transform(F.expr(gap), lambda d: F.struct(d.alias("date"), F.lit(0).cast("long").alias("readings")))
-    own = F.array(F.struct("date", "readings"))
-    every = days.withColumn("following", following).select(
-        "station_id", F.explode(F.concat(own, F.coalesce(empty, F.slice(own, 1, 0)))).alias("day")
-    )
-    return every.where(F.col("day.readings") != expected).select(
+    odd = cadence_intervals(df).where(F.col("readings") != expected)
+    stretches = odd.select(
+        "station_id", "first", "last", "readings",
+        F.explode(F.expr(f"sequence(0, coalesce(datediff(last, first), 0) DIV {GAP_DAYS})")).alias("stretch"),
+    ).repartition("station_id", "first", "stretch")
+    low = f"date_add(first, CAST(stretch * {GAP_DAYS} AS INT))"
+    day = f"CASE WHEN first IS NULL THEN array(first) ELSE sequence({low}, least(last, date_add({low}, {GAP_DAYS - 1}))) END"
+    return stretches.select(
         "station_id",
-        "day.date",
-        "day.readings",
+        F.explode(F.expr(day)).alias("date"),
+        "readings",
         F.lit(expected).cast("long").alias("expected_readings"),
-        (F.col("day.readings") - expected).alias("deviation"),
+        (F.col("readings") - expected).alias("deviation"),
     )

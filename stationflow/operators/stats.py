@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.measures import agg_exprs, rounded, rounded_mean, rounded_sum
+from stationflow.functions.measures import agg_exprs, exact_stddev_sql, rounded, rounded_mean, rounded_sum
 from stationflow.schema import GUST_THRESHOLD
 
 DAILY_KEYS = ["station_id", "station_name", "date"]
@@ -90,7 +90,7 @@ def station_statistics(df: DataFrame) -> DataFrame:
                 "total_precip": rounded_sum("precipitation_mm"),
                 "record_low": rounded("min(temperature_c)"),
                 "record_high": rounded("max(temperature_c)"),
-                "stddev_temp": rounded("stddev_samp(temperature_c)"),
+                "stddev_temp": rounded(exact_stddev_sql("temperature_c")),
             }
         )
     )

@@ -6,7 +6,8 @@ and evicted); in a batch the watermark is a no-op.  Each reading falls into
 size/slide = 5 windows; the expansion happens before the partial aggregate,
 and the shuffle is keyed on (window, station), so a hot station spreads over
 many windows.  ``sliding_window_stats_batch`` computes the same rows for a
-bounded input from one-minute panes, without shuffling readings.
+bounded input from one-minute panes, without shuffling readings;
+``sliding_window_stats_chained`` does so in a stream, with panes in the state.
 """
 
 from __future__ import annotations
@@ -44,6 +45,50 @@ def sliding_window_stats(
 _MEANS = {"avg_temp": "temperature_c", "avg_humidity": "humidity_pct", "avg_wind": "wind_speed_kmh"}
 
 
+def _pane_sums() -> dict[str, str]:
+    """What all windows over a pane share: sums of its readings that add up further."""
+    sums = {"_max": "max(temperature_c)", "_min": "min(temperature_c)", "_rows": "count(1)"}
+    for alias, column in _MEANS.items():
+        sums |= {f"{alias}_{part}": sql for part, sql in parts_sql(column).items()}
+    return sums
+
+
+def _of_panes() -> dict[str, str]:
+    """The measures of a window from its panes' sums."""
+    measures = {}
+    for alias in _MEANS:
+        sums = (f"sum({alias}_{part})" for part in ("hi", "lo", "rest"))
+        measures[alias] = rounded(f"{total_sql(*sums)} / sum({alias}_n)")
+    return measures | {"max_temp": rounded("max(_max)"), "min_temp": rounded("min(_min)"), "reading_count": "sum(_rows)"}
+
+
+def sliding_window_stats_chained(
+    df: DataFrame,
+    time_col: str = "event_time",
+    size: str = WINDOW_SIZE,
+    slide: str = WINDOW_SLIDE,
+    watermark: str = WATERMARK_DELAY,
+) -> DataFrame:
+    """Stream form over panes, for append mode: two stateful aggregates in a row.
+
+    The first sums readings up per station and pane of one ``slide``, so a reading
+    touches one row of state instead of size/slide; panes the watermark has closed go
+    on to the second, which gathers them into windows by their ``window_time``.  A
+    window is written once the watermark passes its end, with the same rows as
+    :func:`sliding_window_stats`, but a reading is late as a whole: it is dropped when its
+    pane is closed, while there it would still count in the windows that end later.
+    """
+    panes = (
+        df.withWatermark(time_col, watermark)
+        .groupBy(F.window(time_col, slide).alias("pane"), "station_id", "station_name")
+        .agg(*agg_exprs(_pane_sums()))
+    )
+    out = panes.groupBy(F.window(F.window_time("pane"), size, slide), "station_id", "station_name").agg(
+        *agg_exprs(_of_panes())
+    )
+    return out.select("window", "station_id", "station_name", *_MEASURES)
+
+
 def pane_stats(df: DataFrame, time_col: str = "event_time", slide_minutes: int = 1) -> DataFrame:
     """Sums of every (station, pane of ``slide_minutes``): what all windows over the pane share.
 
@@ -52,11 +97,8 @@ def pane_stats(df: DataFrame, time_col: str = "event_time", slide_minutes: int =
     """
     slide = slide_minutes * 60_000_000
     t = f"unix_micros(`{time_col}`)"
-    sums = {"_max": "max(temperature_c)", "_min": "min(temperature_c)", "_rows": "count(1)"}
-    for alias, column in _MEANS.items():
-        sums |= {f"{alias}_{part}": sql for part, sql in parts_sql(column).items()}
     rows = df.where(F.col(time_col).isNotNull()).withColumn("_pane", F.expr(f"{t} - pmod({t}, {slide})"))
-    return rows.groupBy("station_id", "station_name", "_pane").agg(*agg_exprs(sums))
+    return rows.groupBy("station_id", "station_name", "_pane").agg(*agg_exprs(_pane_sums()))
 
 
 def sliding_window_stats_batch(
@@ -76,13 +118,8 @@ def sliding_window_stats_batch(
     assert size_minutes % slide_minutes == 0
     size, slide = size_minutes * 60_000_000, slide_minutes * 60_000_000
     starts = F.explode(F.expr(f"sequence(_pane - {size - slide}, _pane, {slide})"))
-    measures = {}
-    for alias in _MEANS:
-        sums = (f"sum({alias}_{part})" for part in ("hi", "lo", "rest"))
-        measures[alias] = rounded(f"{total_sql(*sums)} / sum({alias}_n)")
-    measures |= {"max_temp": rounded("max(_max)"), "min_temp": rounded("min(_min)"), "reading_count": "sum(_rows)"}
     expanded = pane_stats(df, time_col, slide_minutes).withColumn("_start", starts)
-    out = expanded.groupBy("station_id", "station_name", "_start").agg(*agg_exprs(measures))
+    out = expanded.groupBy("station_id", "station_name", "_start").agg(*agg_exprs(_of_panes()))
     return out.select(
         F.struct(
             F.expr("timestamp_micros(_start)").alias("start"),

@@ -161,32 +161,43 @@ def write_feed(spark: SparkSession, sf_dir: str) -> str:
 def write_sliced_feed(spark: SparkSession, sf_dir: str) -> str:
     """The feed in time order: ``SLICES`` folders of equal spans of time, and late readings.
 
-    The slices are written one after the other, so a source that takes the
-    oldest files first, as many per trigger as a slice has, sees them in order.
-    A slice has as many files as the input has partitions, all slices the same
-    number; one without readings has none.  The last file repeats the earliest
-    readings, which the watermark must drop.
+    All slices are written by one job, each into as many files as its own readings
+    fill, up to one per partition of the input.  The files' times follow the slices, and
+    empty files bring every slice to the same number, so a source that takes the
+    oldest files first, that many per trigger, sees one slice after the other.  The
+    last file repeats the earliest readings, which the watermark must drop.
     """
     path = scratch_path(spark, "feed")
     readings = with_event_time(spark, sf_dir)
     span = readings.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high")).first()
-    step = (span["high"] - span["low"]) / SLICES
-    seconds = F.unix_micros("event_time")
-    slices = []
-    for i in range(SLICES):
-        low, high = (F.unix_micros(F.lit(span["low"] + step * n)) for n in (i, i + 1))
-        slices.append((seconds >= low) & ((seconds < high) if i + 1 < SLICES else F.lit(True)))
-    counts = readings.agg(*(F.count_if(inside) for inside in slices)).first()
-    partitions = readings.rdd.getNumPartitions()
-    # some partition has this many rows of each slice, which are dealt in turn: no file of a slice stays empty
-    files = max(1, min([partitions, *(n // partitions for n in counts if n)]))
-    for i, (inside, n) in enumerate(zip(slices, counts, strict=True)):
-        if n:
-            payloads = feed.encode_payloads(readings.where(inside), READING_COLUMNS)
-            save_text(payloads.repartition(files), f"{path}/part-{i}")
+    # the first slice starts with the earliest reading, the last one holds the latest
+    low, high = (F.unix_micros(F.lit(t)) for t in (span["low"], span["high"]))
+    share = (F.unix_micros("event_time") - low) * SLICES / F.greatest(high - low, F.lit(1))
+    files = readings.rdd.getNumPartitions()
+    payloads = feed.encode_payloads(readings, READING_COLUMNS, F.least(F.floor(share), F.lit(SLICES - 1)).alias("slice"))
+    dealt = payloads.repartition(SLICES * files, "slice", F.pmod(F.xxhash64("value"), F.lit(files)))
+    dealt.write.partitionBy("slice").text(f"{path}/slices")
     late = readings.orderBy("event_time", "station_id").limit(LATE)
-    save_text(feed.encode_payloads(late, READING_COLUMNS).coalesce(1), f"{path}/part-{SLICES}")
-    return f"{path}/*"
+    save_text(feed.encode_payloads(late, READING_COLUMNS).coalesce(1), f"{path}/feed/part-{SLICES}")
+    _order_slices(spark, path, files)
+    return f"{path}/feed/*"
+
+
+def _order_slices(spark: SparkSession, path: str, files: int) -> None:
+    """Move the slices to ``feed``, fill each up to ``files`` files, and date them one after the other."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    feed_root = hadoop.Path(f"{path}/feed")
+    fs = feed_root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    start = fs.getFileStatus(feed_root).getModificationTime() - 1000 * (SLICES + 1)
+    for i in range(SLICES):
+        source, target = hadoop.Path(f"{path}/slices/slice={i}"), hadoop.Path(f"{path}/feed/part-{i}")
+        if not fs.exists(source):
+            continue
+        fs.rename(source, target)
+        for extra in range(len(fs.listStatus(target)), files):
+            fs.create(hadoop.Path(target, f"part-none-{extra}.txt")).close()
+        for status in fs.listStatus(target):
+            fs.setTimes(status.getPath(), start + 1000 * i, -1)
 
 
 def _files_a_batch(spark: SparkSession, source: str) -> int:

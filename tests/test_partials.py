@@ -1,0 +1,94 @@
+"""The mergeable table: every statistic from it equals the one from the readings; days refresh alone."""
+
+from __future__ import annotations
+
+import datetime
+import os
+import random
+import tempfile
+
+import pytest
+from conftest import SF_SMALL, reading
+
+from stationflow.operators import outliers, partials, reports, stats
+from stationflow.operators.enrich import enrich_time
+from stationflow.plans.registry import enriched
+
+
+def _rows(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
+def _readings(make_readings, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(600):
+        day, hour = rng.randint(1, 28), rng.randint(0, 23)
+        rows.append(
+            reading(
+                station_id=f"ST00{rng.randint(1, 3)}",
+                station_name=rng.choice(["Alpha", "Beta"]),
+                timestamp=f"202{rng.randint(3, 4)}-0{rng.randint(1, 3)}-{day:02d} {hour:02d}:{rng.randint(0, 59):02d}:00",
+                temperature_c=rng.choice([None, round(rng.gauss(15, 9), 1)]),
+                wind_speed_kmh=rng.choice([None, 40.0, round(rng.uniform(0, 90), 1)]),
+                precipitation_mm=rng.choice([None, 0.0, 2.35]),
+                is_anomaly=rng.choice([None, True, False]),
+            )
+        )
+    return enrich_time(make_readings(rows))
+
+
+@pytest.mark.parametrize("source", ["random", "table"])
+def test_every_statistic_equals_the_one_from_readings(spark, make_readings, source):
+    df = _readings(make_readings) if source == "random" else enriched(spark, SF_SMALL)
+    path = f"{tempfile.mkdtemp(prefix='sf-partials-', dir='/tmp')}/table"
+    table = partials.refresh_partials(spark, df, path)
+    daily = stats.daily_station_stats(df, ordered=False)
+    pairs = [
+        (partials.daily_of(table).select(*daily.columns), daily),
+        (stats.compact_of_daily(partials.daily_of(table)), stats.daily_station_stats_compact(df, ordered=False)),
+        (partials.monthly_of(table), stats.monthly_stats(df, ordered=False)),
+        (stats.ranking_of(partials.stations_of(table), False), stats.station_ranking(df, False)),
+        (stats.extremes_of(partials.stations_of(table), False), stats.station_extremes(df, False)),
+        (partials.baseline_of(table), outliers.station_baseline(df)),
+        (partials.hourly_of(table), stats.hourly_profile(df, ordered=False)),
+        (partials.gusty_of(table), stats.gusty_days(df, ordered=False)),
+        (partials.monthly_trend_of(table), reports.monthly_trend(df)),
+        (reports.hottest_days(partials.daily_of(table)), reports.hottest_days(daily)),
+        (reports.station_conditions(partials.daily_of(table)), reports.station_conditions(daily)),
+        (outliers.sigma_outliers(df, baseline=partials.baseline_of(table)), outliers.sigma_outliers(df)),
+    ]
+    for own, want in pairs:
+        assert own.columns == want.columns
+        assert _rows(own) == _rows(want)
+
+
+def _files(path):
+    return {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_a_new_day_recomputes_that_day_alone(spark, make_readings):
+    path = f"{tempfile.mkdtemp(prefix='sf-partials-', dir='/tmp')}/table"
+    days = [reading(timestamp=f"2024-01-0{d} {h:02d}:00:00", temperature_c=float(d + h)) for d in (1, 2, 3) for h in range(5)]
+    partials.refresh_partials(spark, enrich_time(make_readings(days)), path)
+    before = _files(path)
+    corrected = [reading(timestamp="2024-01-02 01:00:00", temperature_c=30.0), reading(timestamp="2024-01-04 01:00:00")]
+    whole = enrich_time(make_readings([d for d in days if "01-02" not in d["timestamp"]] + corrected))
+    table = partials.refresh_partials(spark, whole, path, dates=[datetime.date(2024, 1, 2), datetime.date(2024, 1, 4)])
+    after = _files(path)
+    for day in ("date=2024-01-01", "date=2024-01-03"):
+        own = lambda files, d=day: {f: t for f, t in files.items() if d in f}
+        assert own(before) == own(after) and own(after)
+    assert _rows(partials.daily_of(table)) == _rows(
+        stats.daily_station_stats(whole, ordered=False).select(*partials.daily_of(table).columns)
+    )
+
+
+def test_values_that_are_no_whole_units(spark, make_readings):
+    rng = random.Random(2)
+    rows = [reading(timestamp=f"2024-01-01 {i % 24:02d}:{i % 60:02d}:00", temperature_c=rng.gauss(15, 5)) for i in range(200)]
+    df = enrich_time(make_readings(rows))
+    own = partials.baseline_of(partials.hourly_partials(df)).first()
+    want = outliers.station_baseline(df).first()
+    assert own["std_temp"] == pytest.approx(want["std_temp"], rel=1e-9)
+    assert own["mean_temp"] == pytest.approx(want["mean_temp"], rel=1e-12)

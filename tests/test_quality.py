@@ -83,3 +83,20 @@ def test_contract_on_enriched_readings(make_readings):
     assert out["timestamp_format"] == (2, 0)
     assert out["required_fields"] == (3, 1)
     assert out["humidity_range"] == (3, 1)
+
+
+def test_a_reading_of_a_wrong_year_is_many_small_rows(spark, make_readings):
+    from datetime import date
+
+    from stationflow.operators.enrich import enrich_time
+    from stationflow.operators.quality import cadence_gaps, cadence_intervals
+
+    rows = [reading(timestamp="2024-01-01 00:00:00"), reading(timestamp="2024-01-02 00:00:00"), reading(timestamp="9999-12-31 00:00:00")]
+    df = enrich_time(make_readings(rows))
+    intervals = sorted((str(r["first"]), str(r["last"]), r["readings"]) for r in cadence_intervals(df).collect())
+    assert intervals == [("2024-01-01", "2024-01-01", 1), ("2024-01-02", "2024-01-02", 1), ("2024-01-03", "9999-12-30", 0), ("9999-12-31", "9999-12-31", 1)]
+    gaps = cadence_gaps(df, expected=1)
+    assert gaps.count() == (date(9999, 12, 30) - date(2024, 1, 2)).days
+    found = gaps.agg({"date": "min", "readings": "max"}).first()
+    assert str(found["min(date)"]) == "2024-01-03" and found["max(readings)"] == 0
+    assert gaps.select("date").distinct().count() == gaps.count()

@@ -1,0 +1,109 @@
+"""The keyed upsert: generations, the manifest, and runs that are cut short."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+import pytest
+
+from stationflow.streaming import upsert
+from stationflow.streaming.upsert import batch_writer, committed_upto, compact, read_latest, read_manifest
+
+KEYS = ["k"]
+
+
+def _dir():
+    return tempfile.mkdtemp(prefix="sf-upsert-", dir="/tmp")
+
+
+def _write(spark, path, batch_id, **values):
+    rows = spark.createDataFrame(list(values.items()), "k string, v int").coalesce(1)
+    batch_writer(path)(rows, batch_id)
+
+
+def _read(spark, path, **options):
+    return {r["k"]: r["v"] for r in read_latest(spark, path, KEYS, **options).collect()}
+
+
+class Cut(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_write_generation", "_swap", "_clean"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_run_cut_at_any_step_loses_nothing(spark, monkeypatch, step, after):
+    path = _dir()
+    _write(spark, path, 0, a=1, b=1)
+    compact(spark, path, KEYS, upto=0)
+    _write(spark, path, 1, a=2)
+    real = getattr(upsert, step)
+
+    def cut(*args):
+        if after:
+            real(*args)
+        raise Cut
+
+    monkeypatch.setattr(upsert, step, cut)
+    with pytest.raises(Cut):
+        compact(spark, path, KEYS, upto=1)
+    monkeypatch.undo()
+    assert _read(spark, path) == {"a": 2, "b": 1}
+    _write(spark, path, 2, b=5)
+    _write(spark, path, 3, a=9, c=7)
+    want = {"a": 9, "b": 5, "c": 7}
+    assert _read(spark, path) == want
+    compact(spark, path, KEYS, upto=3)
+    assert _read(spark, path) == want
+    compact(spark, path, KEYS, upto=3)  # nothing new: only what is superseded goes
+    assert _read(spark, path) == want
+    _write(spark, path, 4, a=10)
+    compact(spark, path, KEYS, upto=4)
+    assert _read(spark, path) == want | {"a": 10}
+    assert not [n for n in os.listdir(path) if n.startswith("_manifest-")]
+    assert len(os.listdir(f"{path}/_generations")) == 2
+    assert sorted(n for n in os.listdir(path) if n.startswith("batch_id=")) == ["batch_id=4"]
+
+
+def test_a_reader_that_began_before_a_swap_still_finds_its_files(spark):
+    path = _dir()
+    for i in range(3):
+        _write(spark, path, i, a=i)
+    early = read_latest(spark, path, KEYS)
+    compact(spark, path, KEYS, upto=2)
+    assert [tuple(r) for r in early.collect()] == [("a", 2)]
+
+
+def test_since_a_batch_holds_over_generations(spark):
+    path = _dir()
+    _write(spark, path, 0, a=1, b=1)
+    _write(spark, path, 1, b=2)
+    compact(spark, path, KEYS, upto=1)
+    _write(spark, path, 2, c=3)
+    assert _read(spark, path, since_batch_id=1) == {"b": 2, "c": 3}
+    assert _read(spark, path, upto=1) == {"a": 1, "b": 2}
+    assert read_manifest(spark, path).upto == 1
+
+
+def test_a_replayed_batch_overwrites_itself(spark):
+    path = _dir()
+    _write(spark, path, 0, a=1)
+    compact(spark, path, KEYS, upto=0)
+    _write(spark, path, 1, a=5)
+    _write(spark, path, 1, a=6)
+    assert _read(spark, path) == {"a": 6}
+
+
+def test_compaction_while_running_and_committed_batches(spark):
+    path = _dir()
+    write = batch_writer(path, KEYS, compact_every=2)
+    for i in range(6):
+        write(spark.createDataFrame([("a", i), (f"k{i}", i)], "k string, v int").coalesce(1), i)
+    assert read_manifest(spark, path).upto == 3
+    assert _read(spark, path) == {"a": 5, **{f"k{i}": i for i in range(6)}}
+    assert committed_upto(spark, _dir()) == -1
+    ckpt = _dir()
+    os.makedirs(f"{ckpt}/commits")
+    for name in ("0", "1", "10", ".10.crc"):
+        open(f"{ckpt}/commits/{name}", "w").close()
+    assert committed_upto(spark, ckpt) == 10

@@ -1,6 +1,7 @@
 """Batch job: readings CSV -> warehouse tables -> statistics, outliers, summary.
 
     python -m stationflow.jobs.batch <input_csv> <output_base> [--database weather_db]
+    ... --new-days   (the input holds new or corrected days of an earlier run: only those are redone)
 
 Plan for scale: the CSV is parsed exactly once, into the ``raw_readings`` table
 (Parquet, partitioned by ``date``) in the shared warehouse.  Every later output
@@ -15,8 +16,10 @@ import argparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from stationflow.operators import outliers, stats
+from stationflow.operators import outliers, partials, stats
+from stationflow.operators.partials import refresh_partials
 from stationflow.operators.summary import run_summary
 from stationflow.plans.storage import materialize
 from stationflow.schema import DATABASE
@@ -38,7 +41,12 @@ OUTPUTS = (
 
 
 def _write_table(
-    spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: list[str] | None = None
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    path: str,
+    partition_by: list[str] | None = None,
+    dynamic: bool = False,
 ) -> DataFrame:
     """Write ``df`` at ``path``, define the external table ``name`` over it and read it back.
 
@@ -46,7 +54,7 @@ def _write_table(
     job.  A catalog that refuses the definition is reported, and the run goes on
     with the files.  An older table of that name is forgotten first.
     """
-    save_parquet(df, path, partition_by=partition_by)
+    save_parquet(df, path, partition_by=partition_by, dynamic=dynamic)
     try:
         ensure_database(spark, name.split(".")[0])
         drop_table(spark, name)
@@ -63,6 +71,7 @@ def run_batch(
     output_base: str,
     database: str = DATABASE,
     cluster_by_date: bool = True,
+    new_days: bool = False,
 ) -> DataFrame:
     """Write the raw and daily tables and every output in ``OUTPUTS``; return the run summary.
 
@@ -71,26 +80,38 @@ def run_batch(
     which each task writes few date folders (files ~ tasks + dates instead of
     tasks x dates when the input is not grouped by time), and a hot date is
     split over many tasks by the station/time tie-breakers.
+
+    Statistics come from the hourly partials (``operators.partials``): one scan of the
+    readings.  With ``new_days`` the readings replace the days they hold in the output
+    of an earlier run: those days' files and partials alone are written anew.
     """
     if cluster_by_date:
         readings = readings.repartitionByRange("date", "station_id", "timestamp")
     base = output_base.rstrip("/")
-    raw = _write_table(spark, readings, f"{database}.raw_readings", f"{base}/warehouse/raw_readings", ["date"])
+    dates = None
+    if new_days:
+        # one row per day of the new readings: days, not readings, reach the driver
+        dates = [r["date"] for r in readings.select("date").distinct().collect()]
+    raw = _write_table(
+        spark, readings, f"{database}.raw_readings", f"{base}/warehouse/raw_readings", ["date"], dynamic=new_days
+    )
+    hours = refresh_partials(spark, raw, f"{base}/warehouse/hourly_partials", dates)
     daily = _write_table(
         spark,
-        stats.daily_station_stats(raw, ordered=False),
+        partials.daily_of(hours),
         f"{database}.daily_stats",
         f"{base}/warehouse/daily_stats",
     )
     save_parquet(daily, f"{base}/daily_aggregations")
     save_parquet(stats.compact_of_daily(daily), f"{base}/daily_stats_compact")
-    save_parquet(stats.monthly_stats(raw), f"{base}/monthly_aggregations")
-    stations = materialize(stats.station_statistics(raw))
+    save_parquet(partials.monthly_of(hours), f"{base}/monthly_aggregations")
+    stations = materialize(partials.stations_of(hours))
     save_parquet(stats.ranking_of(stations), f"{base}/station_rankings")
     save_parquet(stats.extremes_of(stations), f"{base}/station_extremes")
-    save_parquet(outliers.sigma_outliers(raw), f"{base}/anomalies")
-    save_parquet(stats.hourly_profile(raw), f"{base}/hourly_patterns")
-    save_parquet(stats.gusty_days(raw), f"{base}/gusty_days")
+    baseline = materialize(partials.baseline_of(hours))
+    save_parquet(outliers.sigma_outliers(raw, baseline=baseline), f"{base}/anomalies")
+    save_parquet(partials.hourly_of(hours).orderBy("hour"), f"{base}/hourly_patterns")
+    save_parquet(partials.gusty_of(hours).orderBy(F.desc("max_gust")), f"{base}/gusty_days")
 
     return run_summary(daily, spark.read.parquet(f"{base}/anomalies"))
 
@@ -104,12 +125,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--hive", action="store_true", help="persistent Hive metastore for the tables")
     parser.add_argument("--preview", type=int, default=0, help="print the first N rows of each output")
     parser.add_argument("--keep-input-order", action="store_true", help="skip the shuffle that clusters files by date")
+    parser.add_argument("--new-days", action="store_true", help="replace only the days the input holds in an earlier run's output")
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-batch", hive=args.hive)
     bad = Observation("bad_cells")
     readings = read_readings_csv(spark, args.input, bad_cells=bad)
-    summary = run_batch(spark, readings, args.output, args.database, not args.keep_input_order)
+    summary = run_batch(
+        spark, readings, args.output, args.database, not args.keep_input_order, new_days=args.new_days
+    )
     if args.preview:
         print(f"=== {args.database}.raw_readings ===")
         spark.read.parquet(f"{args.output.rstrip('/')}/warehouse/raw_readings").printSchema()

@@ -47,10 +47,13 @@ def refresh_partials(spark: SparkSession, readings: DataFrame, path: str, dates:
     """Write the partials of ``readings`` to the table at ``path``, replacing whole dates, and return the table.
 
     ``dates`` limits the refresh to those days (of a table partitioned by date only they
-    are read); other days' files stay as they are.  Without it every day that
-    ``readings`` has is replaced.
+    are read; None stands for readings without a date); other days' files stay as they
+    are.  Without it every day that ``readings`` has is replaced.
     """
-    rows = readings if dates is None else readings.where(F.col("date").isin(*dates))
+    rows = readings
+    if dates is not None:
+        chosen = F.col("date").isin(*(d for d in dates if d is not None))
+        rows = readings.where(chosen | F.col("date").isNull() if None in dates else chosen)
     writer = hourly_partials(rows).repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("date").parquet(path)
     return read_partials(spark, path)

@@ -156,6 +156,7 @@ def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["enriched_readings"] = _readings(f"SELECT {ENRICHED_COLUMNS_SQL} FROM readings")
     q["daily_station_stats"] = _daily("SELECT * FROM daily")
+    q["refreshed_daily_stats"] = q["daily_station_stats"]
     q["daily_station_stats_compact"] = _readings(
         f"""SELECT station_id, station_name, "date",
            {_r(_xmean('temperature_c'))} AS avg_temp,

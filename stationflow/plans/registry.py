@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampType
 
 from stationflow.functions.time import event_time
-from stationflow.operators import feed, outliers, quality, reports, stats, summary
+from stationflow.operators import feed, outliers, partials, quality, reports, stats, summary
 from stationflow.operators.alerts import alert_records
 from stationflow.operators.enrich import enrich_time
 from stationflow.operators.windows import flatten_window, sliding_window_stats_batch
@@ -96,6 +96,14 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_refreshed_daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily statistics from the hourly partials, whose last day comes in a refresh of its own."""
+    readings, path = enriched(spark, sf_dir), scratch_path(spark, "partials")
+    last = readings.agg(F.max("date").alias("d")).first()["d"]
+    partials.refresh_partials(spark, readings.where(F.col("date") < last), path)
+    return partials.daily_of(partials.refresh_partials(spark, readings, path, [last]))
+
+
 # --- round trips ------------------------------------------------------------
 
 
@@ -273,6 +281,7 @@ def queries() -> dict[str, Query]:
         "anomaly_rate": lambda s, d: quality.anomaly_rate(e(s, d)),
         "diurnal_contrast": lambda s, d: quality.diurnal_contrast(e(s, d)),
         "cadence_gaps": lambda s, d: quality.cadence_gaps(e(s, d)),
+        "refreshed_daily_stats": q_refreshed_daily_stats,
         "csv_roundtrip": q_csv_roundtrip,
         "parquet_roundtrip": q_parquet_roundtrip,
         "warehouse_roundtrip": q_warehouse_roundtrip,

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def save_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+def save_parquet(
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None, dynamic: bool = False
+) -> None:
+    """Parquet files; ``dynamic`` replaces only the partitions that ``df`` holds."""
     writer = df.write.mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -224,3 +224,32 @@ def test_scratch_keys_leave_no_table(spark):
         registry.queries()[key](spark, SF_SMALL).count()
     assert spark.catalog.listTables(registry.SCRATCH_DATABASE) == []
     assert not spark.catalog.databaseExists("weather_db")
+
+
+def test_new_days_replace_only_themselves(spark, make_readings, tmp_path):
+    """A second run over corrected and new days gives what one run over everything gives."""
+    from conftest import reading
+
+    from stationflow.jobs.batch import OUTPUTS, run_batch
+    from stationflow.operators.enrich import enrich_time
+
+    def days(*ds, shift=0.0):
+        return [
+            reading(timestamp=f"2024-01-0{d} {h:02d}:30:00", temperature_c=d + h / 10 + shift, wind_speed_kmh=35.0 + h)
+            for d in ds
+            for h in range(0, 24, 3)
+        ]
+
+    first, second = days(1, 2, 3), days(3, 4, shift=20.0)
+    whole = days(1, 2) + second
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    run_batch(spark, enrich_time(make_readings(first)), a, "new_days_a")
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "a" / "warehouse").glob("*/date=2024-01-0[12]/*.parquet")}
+    assert kept
+    summary = run_batch(spark, enrich_time(make_readings(second)), a, "new_days_a", new_days=True).collect()
+    want = run_batch(spark, enrich_time(make_readings(whole)), b, "new_days_b").collect()
+    assert sorted(map(str, summary)) == sorted(map(str, want))
+    assert all(p.exists() and p.stat().st_mtime_ns == t for p, t in kept.items())
+    for name in OUTPUTS:
+        own, other = (sorted(str(tuple(r)) for r in spark.read.parquet(f"{d}/{name}").collect()) for d in (a, b))
+        assert own == other, name

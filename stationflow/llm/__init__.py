@@ -1,5 +1,6 @@
 """Training-data operators: near-duplicates, licences, toxicity, quality, mixing,
-decontamination, token files, nearest neighbours, token counts and WARC archives.
+decontamination, token files, nearest neighbours, token counts, WARC archives, ranked
+search, page texts and token alignment.
 
 Nothing outside this subpackage imports it; ``__spark_entry__.py`` adds its
 queries only where it can be imported.

@@ -2,6 +2,7 @@
 
     python -m stationflow.jobs.batch <input_csv> <output_base> [--database weather_db]
     ... --new-days   (the input holds new or corrected days of an earlier run: only those are redone)
+    ... --versioned  (outputs are switched when they are whole: readers are never disturbed)
 
 Plan for scale: the CSV is parsed exactly once, into the ``raw_readings`` table
 (Parquet, partitioned by ``date``) in the shared warehouse.  Every later output
@@ -19,14 +20,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.operators import outliers, partials, stats
-from stationflow.operators.partials import refresh_partials
+from stationflow.operators.partials import partials_of_days, refresh_partials
 from stationflow.operators.summary import run_summary
 from stationflow.plans.storage import materialize
 from stationflow.schema import DATABASE
 from stationflow.session import build_session
 from stationflow.sinks.files import save_parquet
+from stationflow.sinks.versions import read_current, save_version
 from stationflow.sources.files import read_readings_csv
-from stationflow.sources.warehouse import define_external_table, drop_table, ensure_database, scan
+from stationflow.sources.warehouse import (
+    define_external_table,
+    define_version_table,
+    drop_table,
+    ensure_database,
+    scan,
+)
 
 OUTPUTS = (
     "daily_aggregations",
@@ -47,22 +55,30 @@ def _write_table(
     path: str,
     partition_by: list[str] | None = None,
     dynamic: bool = False,
+    versioned: bool = False,
 ) -> DataFrame:
     """Write ``df`` at ``path``, define the external table ``name`` over it and read it back.
 
     The data is written once, outside the catalog; what fails there fails the
     job.  A catalog that refuses the definition is reported, and the run goes on
-    with the files.  An older table of that name is forgotten first.
+    with the files.  An older table of that name is forgotten first; a ``versioned``
+    one is switched to the new files.
     """
-    save_parquet(df, path, partition_by=partition_by, dynamic=dynamic)
+    if versioned:
+        save_version(df, path, partition_by[0] if partition_by else None, keep_others=dynamic)
+    else:
+        save_parquet(df, path, partition_by=partition_by, dynamic=dynamic)
     try:
         ensure_database(spark, name.split(".")[0])
+        if versioned:
+            define_version_table(spark, name, path)
+            return read_current(spark, path)
         drop_table(spark, name)
         define_external_table(spark, name, df.schema, path, partition_by)
         return scan(spark, name)
     except AnalysisException as refused:
         print(f"Table {name} not defined ({refused.getCondition()}); using files at {path}")
-        return spark.read.parquet(path)
+        return read_current(spark, path)
 
 
 def run_batch(
@@ -72,6 +88,7 @@ def run_batch(
     database: str = DATABASE,
     cluster_by_date: bool = True,
     new_days: bool = False,
+    versioned: bool = False,
 ) -> DataFrame:
     """Write the raw and daily tables and every output in ``OUTPUTS``; return the run summary.
 
@@ -84,6 +101,10 @@ def run_batch(
     Statistics come from the hourly partials (``operators.partials``): one scan of the
     readings.  With ``new_days`` the readings replace the days they hold in the output
     of an earlier run: those days' files and partials alone are written anew.
+
+    With ``versioned`` every output gets a new version that is put in force when it is
+    whole (``sinks.versions``): a reader during the run sees the old rows or the new,
+    and a failed run leaves the old.  Read such outputs with ``versions.read_current``.
     """
     if cluster_by_date:
         readings = readings.repartitionByRange("date", "station_id", "timestamp")
@@ -92,28 +113,35 @@ def run_batch(
     if new_days:
         # one row per day of the new readings: days, not readings, reach the driver
         dates = [r["date"] for r in readings.select("date").distinct().collect()]
+    save = save_version if versioned else save_parquet
     raw = _write_table(
-        spark, readings, f"{database}.raw_readings", f"{base}/warehouse/raw_readings", ["date"], dynamic=new_days
+        spark, readings, f"{database}.raw_readings", f"{base}/warehouse/raw_readings", ["date"], new_days, versioned
     )
-    hours = refresh_partials(spark, raw, f"{base}/warehouse/hourly_partials", dates)
+    hourly = f"{base}/warehouse/hourly_partials"
+    if versioned:
+        save_version(partials_of_days(raw, dates), hourly, "date", keep_others=new_days)
+        hours = read_current(spark, hourly)
+    else:
+        hours = refresh_partials(spark, raw, hourly, dates)
     daily = _write_table(
         spark,
         partials.daily_of(hours),
         f"{database}.daily_stats",
         f"{base}/warehouse/daily_stats",
+        versioned=versioned,
     )
-    save_parquet(daily, f"{base}/daily_aggregations")
-    save_parquet(stats.compact_of_daily(daily), f"{base}/daily_stats_compact")
-    save_parquet(partials.monthly_of(hours), f"{base}/monthly_aggregations")
+    save(daily, f"{base}/daily_aggregations")
+    save(stats.compact_of_daily(daily), f"{base}/daily_stats_compact")
+    save(partials.monthly_of(hours), f"{base}/monthly_aggregations")
     stations = materialize(partials.stations_of(hours))
-    save_parquet(stats.ranking_of(stations), f"{base}/station_rankings")
-    save_parquet(stats.extremes_of(stations), f"{base}/station_extremes")
+    save(stats.ranking_of(stations), f"{base}/station_rankings")
+    save(stats.extremes_of(stations), f"{base}/station_extremes")
     baseline = materialize(partials.baseline_of(hours))
-    save_parquet(outliers.sigma_outliers(raw, baseline=baseline), f"{base}/anomalies")
-    save_parquet(partials.hourly_of(hours).orderBy("hour"), f"{base}/hourly_patterns")
-    save_parquet(partials.gusty_of(hours).orderBy(F.desc("max_gust")), f"{base}/gusty_days")
+    save(outliers.sigma_outliers(raw, baseline=baseline), f"{base}/anomalies")
+    save(partials.hourly_of(hours).orderBy("hour"), f"{base}/hourly_patterns")
+    save(partials.gusty_of(hours).orderBy(F.desc("max_gust")), f"{base}/gusty_days")
 
-    return run_summary(daily, spark.read.parquet(f"{base}/anomalies"))
+    return run_summary(daily, read_current(spark, f"{base}/anomalies"))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -126,20 +154,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--preview", type=int, default=0, help="print the first N rows of each output")
     parser.add_argument("--keep-input-order", action="store_true", help="skip the shuffle that clusters files by date")
     parser.add_argument("--new-days", action="store_true", help="replace only the days the input holds in an earlier run's output")
+    parser.add_argument("--versioned", action="store_true", help="write new versions of the outputs and switch to them when whole")
     args = parser.parse_args(argv)
 
     spark = build_session(args.master, app="stationflow-batch", hive=args.hive)
     bad = Observation("bad_cells")
     readings = read_readings_csv(spark, args.input, bad_cells=bad)
     summary = run_batch(
-        spark, readings, args.output, args.database, not args.keep_input_order, new_days=args.new_days
+        spark, readings, args.output, args.database, not args.keep_input_order, args.new_days, args.versioned
     )
     if args.preview:
         print(f"=== {args.database}.raw_readings ===")
-        spark.read.parquet(f"{args.output.rstrip('/')}/warehouse/raw_readings").printSchema()
+        read_current(spark, f"{args.output.rstrip('/')}/warehouse/raw_readings").printSchema()
         for name in OUTPUTS:
             print(f"=== {name} ===")
-            spark.read.parquet(f"{args.output.rstrip('/')}/{name}").show(args.preview, truncate=False)
+            read_current(spark, f"{args.output.rstrip('/')}/{name}").show(args.preview, truncate=False)
     summary.show(truncate=False)
     print(f"Cells that didn't hold their type: { {k: n for k, n in bad.get.items() if n} or 'none' }")
     print(f"Output directory: {args.output}")

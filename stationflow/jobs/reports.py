@@ -19,13 +19,14 @@ from stationflow.operators import reports
 from stationflow.schema import DATABASE
 from stationflow.session import build_session
 from stationflow.sinks.files import save_parquet
+from stationflow.sinks.versions import read_current
 from stationflow.sources.warehouse import scan
 
 
 def _table(spark: SparkSession, name: str, base: str | None, folder: str) -> DataFrame:
     """The files a batch run wrote under ``base``, or without one the catalog table."""
     if base:
-        return spark.read.parquet(f"{base.rstrip('/')}/warehouse/{folder}")
+        return read_current(spark, f"{base.rstrip('/')}/warehouse/{folder}")
     return scan(spark, name)
 
 

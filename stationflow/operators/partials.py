@@ -50,13 +50,18 @@ def refresh_partials(spark: SparkSession, readings: DataFrame, path: str, dates:
     are read; None stands for readings without a date); other days' files stay as they
     are.  Without it every day that ``readings`` has is replaced.
     """
+    writer = partials_of_days(readings, dates).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date").parquet(path)
+    return read_partials(spark, path)
+
+
+def partials_of_days(readings: DataFrame, dates: list | None = None) -> DataFrame:
+    """Partials of the readings of ``dates`` (all without it), one task's rows per date: a few dozen a station."""
     rows = readings
     if dates is not None:
         chosen = F.col("date").isin(*(d for d in dates if d is not None))
         rows = readings.where(chosen | F.col("date").isNull() if None in dates else chosen)
-    writer = hourly_partials(rows).repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("date").parquet(path)
-    return read_partials(spark, path)
+    return hourly_partials(rows).repartition("date")
 
 
 def read_partials(spark: SparkSession, path: str) -> DataFrame:

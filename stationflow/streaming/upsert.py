@@ -17,7 +17,6 @@ a swap still finds its files.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
@@ -25,6 +24,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.plans import pointer
+
 MANIFEST, GENERATIONS = "_manifest", "_generations"
 
 
@@ -85,20 +86,12 @@ def compact(spark: SparkSession, path: str, keys: list[str], upto: int) -> None:
 
 
 def read_manifest(spark: SparkSession, path: str) -> Manifest:
-    fs, base = _folder(spark, path)
-    file = _child(spark, base, MANIFEST)
-    if not fs.exists(file):
-        return Manifest()
-    stream = fs.open(file)
-    try:
-        return Manifest(**json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
-    finally:
-        stream.close()
+    return Manifest(**(pointer.read_pointer(spark, path, MANIFEST) or {}))
 
 
 def committed_upto(spark: SparkSession, checkpoint: str) -> int:
     """The last batch a query has committed, by its checkpoint; -1 before the first."""
-    fs, base = _folder(spark, f"{checkpoint.rstrip('/')}/commits")
+    fs, base = pointer.folder(spark, f"{checkpoint.rstrip('/')}/commits")
     if not fs.exists(base):
         return -1
     names = (s.getPath().getName() for s in fs.listStatus(base))
@@ -128,7 +121,7 @@ def _rows(spark: SparkSession, path: str, manifest: Manifest, upto: int | None)
 
 def _batches(spark: SparkSession, path: str, after: int, upto: int | None) -> list[int]:
     """Ids of the batch folders beyond ``after``, up to ``upto``."""
-    fs, base = _folder(spark, path)
+    fs, base = pointer.folder(spark, path)
     names = (s.getPath().getName() for s in fs.listStatus(base)) if fs.exists(base) else ()
     found = [int(n.split("=")[1]) for n in names if n.startswith("batch_id=")]
     return sorted(i for i in found if i > after and (upto is None or i <= upto))
@@ -139,40 +132,18 @@ def _write_generation(rows: DataFrame, path: str) -> None:
 
 
 def _swap(spark: SparkSession, path: str, manifest: Manifest) -> None:
-    """Put ``manifest`` in the place of the one in force, by one rename that replaces it."""
-    fs, base = _folder(spark, path)
-    jvm = spark._jvm
-    part = _child(spark, base, f"{MANIFEST}-{uuid.uuid4().hex}")
-    stream = fs.create(part)
-    stream.write(bytearray(json.dumps(asdict(manifest)).encode()))
-    stream.close()
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(part.toUri(), conf)
-    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    qualify = lambda p: context.makeQualified(p)
-    context.rename(qualify(part), qualify(_child(spark, base, MANIFEST)), options)
+    """Put ``manifest`` in the place of the one in force."""
+    pointer.replace_pointer(spark, path, MANIFEST, asdict(manifest))
 
 
 def _clean(spark: SparkSession, path: str, manifest: Manifest) -> None:
     """Delete what the manifest before the one in force had superseded, and what cut runs have left."""
-    fs, base = _folder(spark, path)
+    fs, base = pointer.folder(spark, path)
     for batch_id in _batches(spark, path, -1, manifest.previous_upto):
-        fs.delete(_child(spark, base, f"batch_id={batch_id}"), True)
-    generations = _child(spark, base, GENERATIONS)
+        fs.delete(pointer.child(spark, base, f"batch_id={batch_id}"), True)
+    generations = pointer.child(spark, base, GENERATIONS)
     if fs.exists(generations):
         for status in fs.listStatus(generations):
             if status.getPath().getName() not in (manifest.generation, manifest.previous_generation):
                 fs.delete(status.getPath(), True)
-    for status in fs.listStatus(base):
-        if status.getPath().getName().startswith(f"{MANIFEST}-"):
-            fs.delete(status.getPath(), False)
-
-
-def _child(spark: SparkSession, base, name: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(base, name)
-
-
-def _folder(spark: SparkSession, path: str):
-    base = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return base.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), base
+    pointer.remove_leftovers(spark, path, MANIFEST)

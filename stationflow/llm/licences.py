@@ -1,24 +1,25 @@
 """Licence scan with a positional index of licence words.
 
-Templates are the usual notices of a licence, as word sequences.  A corpus pass
-keeps, per document, the positions of words that occur in a template.  Document
-frequencies over the whole corpus give every template word its IDF.  All of a
-file's licence words are looked up in the postings of every template one of
-whose mandatory key phrases stands in the file, and the postings that agree on
-the relative position (place in the file minus place in the template) are one
-candidate notice.  A candidate becomes a label if its words carry ``COVER`` of
-the template's IDF at that position.
+Templates are the usual notices of a licence, as word sequences.  One corpus
+pass splits every text and keeps the distinct template words it holds, which give
+every word its IDF over the whole corpus, and the positions of licence words.
+Then each template's highest-IDF words alone are looked up: where one stands, the
+relative position (place in the file minus place in the template) is a candidate
+notice if the file holds a mandatory key phrase of the label.  A candidate's other
+words are intersected with the file's by position, and it becomes a label if they
+carry ``COVER`` of the template's IDF.  So many rare words are looked up that a
+place without any of them can't reach ``COVER``.
 
 Only built-in DataFrame functions run here.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm.scratch import Scratch
-from stationflow.llm.words import UPPER, lower_ascii, split_words, word_count
+from stationflow.llm.words import lower_ascii, split_words, word_count
 
 COVER = 0.6
 #: IDFs are added as whole numbers of this fraction, so that no sum depends on its order.
@@ -40,7 +41,38 @@ TEMPLATES = (
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("cc", "this work is licensed under a creative commons attribution license"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
-)
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction including without limitation the rights "
+     "to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to "
+     "whom the software is furnished to do so subject to the following conditions"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+     "with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by "
+     "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+     "without warranties or conditions of any kind either express or implied"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+     "public license as published by the free software foundation either version 3 of the license or at your option any "
+     "later version"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser "
+     "general public license as published by the free software foundation either version 2 1 of the license or at your "
+     "option any later version"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero "
+     "general public license as published by the free software foundation either version 3 of the license or at your "
+     "option any later version"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+     "distributed with this file you can obtain one at https mozilla org mpl 2 0"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+     "following conditions are met 1 redistributions of source code must retain the above copyright notice this list of "
+     "conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice "
+     "this list of conditions and the following disclaimer in the documentation and or other materials provided with the "
+     "distribution"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+     "granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify "
+     "publish use compile sell or distribute this software either in source code form or as a compiled binary for any "
+     "purpose commercial or non commercial and by any means"),
+    ("cc", "this work is licensed under the creative commons attribution 4 0 international license to view a copy of this "
+     "license visit http creativecommons org licenses by 4 0"),
+)
 KEY_PHRASES = (
     ("mit", "mit license"), ("mit", "permission is hereby granted"),
     ("apache", "apache license"), ("apache", "compliance with the license"),
@@ -69,54 +101,66 @@ def _postings(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "kind string, entry int, label string, off int, word string, len int")
 
 
-def _trigger() -> str:
-    """Matches wherever a base or key phrase could: its words in order, any separators between them."""
-    phrases = sorted({p for p, _ in BASE} | {p for _, p in KEY_PHRASES})
-    between = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    return "(?i)" + "|".join(between.join(p.split()) for p in phrases)
+def _phrases() -> list[str]:
+    return sorted({p for p, _ in BASE} | {p for _, p in KEY_PHRASES})
 
 
 def licence_words(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(rid, doc_id, n_words, found): the positions of template words in every document, from 0.
+    """(rid, doc_id, n_words, held, found) of every document, whose text is split once.
 
-    A label needs a phrase of ``BASE`` or ``KEY_PHRASES``, so documents in which
-    no such sequence of words occurs keep no positions; their words are counted.
+    ``held``: the distinct template words of the text.  ``found``: positions of the
+    words of templates and phrases, from 0.  A label needs a phrase of ``BASE`` or
+    ``KEY_PHRASES``, so documents that don't hold all words of any of them keep no
+    positions; their words are counted all the same.
     """
-    names = sorted({w for _, t in TEMPLATES for w in t.split()} | {w for _, t in KEY_PHRASES for w in t.split()})
-    words = split_words(F.col("text"))
-    at = F.transform("words", lambda w, i: F.struct((i - 1).alias("pos"), lower_ascii(w).alias("word")))
+    names = sorted({w for _, t in TEMPLATES for w in t.split()} | {w for p in _phrases() for w in p.split()})
+    words = docs.select(
+        F.monotonically_increasing_id().alias("rid"), "doc_id", split_words(lower_ascii(F.col("text"))).alias("words")
+    )
+    held = words.withColumn("held", F.array_intersect(F.array(*(F.lit(w) for w in names)), "words"))
+    may = F.lit(False)
+    for phrase in _phrases():
+        # the words of one phrase: a handful
+        may = may | (F.size(F.array_except(F.array(*(F.lit(w) for w in phrase.split())), "held")) == 0)
+    at = F.transform("words", lambda w, i: F.struct((i - 1).alias("pos"), w.alias("word")))
     found = F.filter(at, lambda e: e["word"].isin(names))
     empty = F.array().cast("array<struct<pos:int,word:string>>")
-    split = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
-        "doc_id",
-        F.coalesce(F.col("text").rlike(_trigger()), F.lit(False)).alias("may"),
-        words.alias("words"),
-    )
     return scratch.table(
-        split.select("rid", "doc_id", word_count(F.col("words")).alias("n_words"), F.when(F.col("may"), found).otherwise(empty).alias("found")),
+        held.select(
+            "rid", "doc_id", word_count(F.col("words")).alias("n_words"), "held", F.when(may, found).otherwise(empty).alias("found")
+        ),
         "words",
     )
 
 
-def idf_weights(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(word, idf) of every template word, from its document frequency over all of ``docs``.
-
-    One ``rlike`` per word would read each text often; instead the distinct
-    template words of a text are found in one pass over its distinct words.
-    """
-    spark = docs.sparkSession
+def idf_weights(table: DataFrame, scratch: Scratch) -> DataFrame:
+    """(word, idf) of every template word, from its document frequency over all rows of ``licence_words``."""
+    spark = table.sparkSession
     names = sorted({w for _, t in TEMPLATES for w in t.split()})
-    known = F.array(*(F.lit(w) for w in names))
-    distinct = F.array_distinct(F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, UPPER.lower()), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
-    held = docs.select(F.explode(F.array_intersect(known, distinct)).alias("word"))
-    df = held.groupBy("word").agg(F.count("*").alias("df"))
-    n = docs.count()
+    df = table.select(F.explode("held").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    n = table.count()
     every = spark.createDataFrame([(w,) for w in names], "word string")
     idf = F.log((F.lit(n) + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1e-3
     return scratch.table(every.join(df, "word", "left").select("word", idf.alias("idf")).coalesce(1), "idf")
 
 
+def rare_words(postings: DataFrame, idf: DataFrame) -> DataFrame:
+    """(entry, label, off, word, idf, total, rare) of the templates' words; ``idf`` in units.
+
+    ``rare`` marks a template's highest-IDF words, as many as carry more than
+    ``1 - COVER`` of its IDF: a place that has none of them in position can't reach
+    ``COVER``, so looking up these alone loses no notice.
+    """
+    weighted = postings.where("kind = 'template'").drop("kind", "len").join(idf, "word")
+    weighted = weighted.withColumn("idf", F.round(F.col("idf") / UNIT).cast("long"))
+    order = Window.partitionBy("entry").orderBy(F.desc("idf"), "off")
+    before = F.coalesce(F.sum("idf").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("idf").over(Window.partitionBy("entry"))
+    # a unit more, for what the shares' doubles round away
+    rare = F.col("before") <= F.floor((1 - COVER) * F.col("total")) + 1
+    return weighted.withColumns({"before": before, "total": total}).withColumn("rare", rare).drop("before")
+
+
 def licences(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text).
 
@@ -124,8 +168,8 @@ def licences(docs: DataFrame) -> DataFrame:
     stand consecutively), first_word and last_word (smallest and largest start
     of these, words from 0, null without any), base_labels, labels (the
     templates' too; distinct, sorted, comma-joined, empty without any), score
-    (0 to 1: 1 with a base phrase, else the best template's share of IDF found
-    with a key phrase, 0 without one).
+    (0 to 1: 1 with a base phrase, else the best share of a template's IDF found
+    at a place where one of its rare words stands, with a key phrase; 0 without).
 
     A null or empty text has no words and no labels.  Repeated rows and rows
     with a null ``doc_id`` each get their row.  Further columns are not read.
@@ -134,7 +178,7 @@ def licences(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "licences")
     docs = docs.select("doc_id", "text")
     table = licence_words(docs, scratch)
-    idf = idf_weights(docs, scratch)
+    idf = idf_weights(table, scratch)
     postings = _postings(spark)
     n_entries = postings.count()  # fixed by the tables above
     assert n_entries < 1000, "the postings are broadcast"
@@ -155,18 +199,21 @@ def licences(docs: DataFrame) -> DataFrame:
         F.collect_set("label").alias("base"),
     )
 
-    weighted = postings.where("kind = 'template'").drop("kind").join(idf, "word")
-    weighted = weighted.withColumn("idf", F.round(F.col("idf") / UNIT).cast("long"))
-    total = weighted.groupBy("entry").agg(F.sum("idf").alias("total"))
-    weighted = weighted.join(total, "entry").select("word", "entry", "label", "off", "idf", "total")
-    keys = whole.where("kind = 'key'").groupBy("rid").agg(F.collect_set("label").alias("keys"))
-    keyed = table.where(F.size("found") > 0).select("rid", "found").join(keys, "rid")
+    weighted = scratch.table(rare_words(postings, idf).coalesce(1), "weights")
+    rare = weighted.where("rare").select("word", "entry", "label", "total", "off")
+    candidates = (
+        found.join(F.broadcast(rare), "word")
+        .select("rid", "entry", "label", "total", (F.col("pos") - F.col("off")).alias("start"))
+        .distinct()
+    )
+    keys = whole.where("kind = 'key'").select("rid", "label").distinct()
+    candidates = scratch.table(candidates.join(keys, ["rid", "label"]), "candidates")
+    expected = candidates.join(F.broadcast(weighted.select("entry", "off", "word", "idf")), "entry").select(
+        "rid", "entry", "label", "total", "start", (F.col("start") + F.col("off")).alias("pos"), "word", "idf"
+    )
     covered = (
-        keyed.select("rid", "keys", F.explode("found").alias("f"))
-        .select("rid", "keys", "f.pos", "f.word")
-        .join(F.broadcast(weighted), "word")
-        .where(F.array_contains("keys", F.col("label")))
-        .groupBy("rid", "entry", "label", "total", (F.col("pos") - F.col("off")).alias("start"))
+        expected.join(found, ["rid", "pos", "word"])
+        .groupBy("rid", "entry", "label", "total", "start")
         .agg(F.sum("idf").alias("idf"))
         .withColumn("cover", F.col("idf") / F.col("total"))
     )

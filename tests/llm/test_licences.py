@@ -60,6 +60,18 @@ def test_needs_the_key_phrase_and_the_relative_position(spark):
     assert found[1].score == 1 and 0.6 <= found[4].score < 1 and found[2].score == 0
 
 
+def rarest(template, idf):
+    """Offsets of the highest-IDF words that carry more than 1 - COVER of the template."""
+    left = (1 - COVER) * sum(idf[w] for w in template) + 2e-9
+    taken = []
+    for j in sorted(range(len(template)), key=lambda j: (-round(idf[template[j]] * 1e9), j)):
+        if left < 0:
+            break
+        taken.append(j)
+        left -= idf[template[j]]
+    return taken
+
+
 def by_all_positions(texts):
     """Per text its labels and score, with every template tried at every place."""
     split = [WORD.findall(t.translate(LOWER)) for t in texts]
@@ -73,9 +85,11 @@ def by_all_positions(texts):
             if any(n == label and f" {k} " in joined for n, k in KEY_PHRASES):
                 template = template.split()
                 share = lambda i: sum(idf[w] for j, w in enumerate(template) if words[i + j : i + j + 1] == [w] and i + j >= 0)  # noqa: B023, E731
-                cover = max(map(share, range(-len(template), len(words)))) / sum(idf[w] for w in template)
-                score = max(score, cover)
-                labels |= {label} if cover >= COVER else set()
+                total = sum(idf[w] for w in template)
+                covers = {i: share(i) / total for i in range(-len(template), len(words))}
+                labels |= {label} if max(covers.values()) >= COVER else set()
+                rare = rarest(template, idf)  # the score counts places where one of these stands
+                score = max([score, *(c for i, c in covers.items() if any(words[i + j : i + j + 1] == [template[j]] for j in rare if i + j >= 0))])
         yield ",".join(sorted(labels)), 1.0 if own else score
 
 

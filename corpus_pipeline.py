@@ -1,7 +1,7 @@
 """Corpus pipeline over ``documents``; every stage applies one operator of ``stationflow.llm``.
 
 A stage works on all that the one before it kept.  All but the last return the
-columns of documents.
+columns of documents, whatever further columns are called.
 """
 
 from __future__ import annotations
@@ -19,7 +19,10 @@ from stationflow.llm.toxicity import fit_toxicity, toxicity_score
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5; the model learns from ``labels``."""
+    """Documents that score below 0.5; the model learns from ``labels``.
+
+    A null text scores as an empty one, repeated rows alike; an empty table stays empty.
+    """
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.where(toxicity_score(model)(F.col("text")) < 0.5)
 
@@ -40,7 +43,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-ID files of the mixture, read back: doc_id, start, n_tokens, ids_crc32."""
+    """Token-ID files of the mixture, read back: doc_id, start, n_tokens, ids_crc32.
+
+    A null text is encoded as an empty one; every repeated row has its own tokens; an
+    empty table gives no rows.
+    """
     return token_digests(docs, tokenizer_path(WORD_TOKENIZER), Scratch(spark, "token-files").path("files"))
 
 

@@ -188,9 +188,11 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFram
     """
     keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc_id"), "text")
     bad = decontaminate(keyed, benchmark, **options).where("contaminated").select("doc_id.*").distinct()
-    bad = Scratch(docs.sparkSession, "decontaminated").table(bad.toDF("__id", "__hash"), "rejected")
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
-    return docs.join(bounded_broadcast(bad, 32), same, "left_anti")
+    bad = Scratch(docs.sparkSession, "decontaminated").table(bad.toDF("bad_id", "bad_hash"), "rejected")
+    # the user's columns are packed into one, so that none can clash with ours
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), F.struct("*").alias("row"))
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("hash") == F.col("bad_hash"))
+    return rows.join(bounded_broadcast(bad, 32), same, "left_anti").select("row.*")
 
 
 def _alignments(hits: DataFrame, plan: DataFrame, slop: int) -> DataFrame:

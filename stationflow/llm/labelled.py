@@ -15,7 +15,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, train: Column,
     """(text, y) of at most ``limit`` labelled documents for which ``train`` (on doc_id) holds.
 
     The rows are drawn by the hash of their id, so the draw is the same for any
-    partitioning.  A document with several label rows takes the largest label;
+    partitioning.  A document with several label rows takes the largest label, an
+    id with several texts its least one, so rows are bounded as documents are;
     null labels and labels other than 0 and 1 are left out.
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
@@ -23,4 +24,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, train: Column,
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     drawn = known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(drawn), "doc_id").select("text", "y")
+    found = texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+    return found.select("text", "y")

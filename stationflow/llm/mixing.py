@@ -162,14 +162,15 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every row as often as the mixture passes over it; all columns stay."""
+    """``docs`` with every row as often as the mixture passes over it; all columns stay, whatever their names."""
     scratch = Scratch(docs.sparkSession, "mixing")
     _, passes, _ = plan(docs.select("doc_id", "text", "source"), scratch, **options)
-    times = passes.groupBy("source", "block").agg(F.count("*").cast("int").alias("__times"))
-    times = scratch.table(times.withColumnsRenamed({"source": "__source", "block": "__block"}), "times")
-    placed = docs.withColumn("__at", _block(options.get("seed", SEED)))
+    times = passes.groupBy("source", "block").agg(F.count("*").cast("int").alias("times"))
+    times = scratch.table(times.withColumnsRenamed({"source": "s", "block": "b"}), "times")
+    # the user's columns are packed into one, so that none can clash with ours
+    placed = docs.select("source", _block(options.get("seed", SEED)), F.struct("*").alias("row"))
     joined = placed.join(
-        bounded_broadcast(times, F.coalesce(F.octet_length("__source"), F.lit(0)) + 64),
-        F.col("source").eqNullSafe(F.col("__source")) & (F.col("__at") == F.col("__block")),
+        bounded_broadcast(times, F.coalesce(F.octet_length("s"), F.lit(0)) + 64),
+        F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")),
     )
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -399,8 +399,9 @@ def near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:
     )
     rooted = scratch.table(rooted.groupBy("doc_id", "text_hash").agg(F.first("n_shingles").alias("n_shingles"), F.min("root").alias("root")), "rooted")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")
-    least = rooted.groupBy("root").agg(F.min(order).alias("least"))
-    return rooted.join(least, "root").select(
+    # written before the join: beside an aggregate in its stage, AQE can't split a hot root
+    least = scratch.table(rooted.groupBy("root").agg(F.min(order).alias("least")), "least")
+    return rooted.join(bounded_broadcast(least, 48), "root").select(
         "doc_id",
         "n_shingles",
         F.col("least.doc_id").alias("component_id"),
@@ -419,10 +420,12 @@ def distinct_documents(docs: DataFrame, params: Params | None = None) -> DataFra
     other columns.
     """
     gone = near_duplicates(docs, params).where("NOT representative").select("doc_id", "text_hash")
-    gone = Scratch(docs.sparkSession, "distinct-documents").table(gone.toDF("__id", "__hash"), "gone")
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]).eqNullSafe(F.col("__hash")))
-    kept = docs.join(bounded_broadcast(gone, 32), same, "left_anti").withColumn("__hash", F.xxhash64("text"))
-    repeats = kept.groupBy("doc_id", "__hash").agg(F.count("*").alias("n")).where("n > 1")
-    if repeats.isEmpty():
-        return kept.drop("__hash")
-    return kept.dropDuplicates(["doc_id", "__hash"]).drop("__hash")
+    gone = Scratch(docs.sparkSession, "distinct-documents").table(gone.toDF("gone_id", "gone_hash"), "gone")
+    # the user's columns are packed into one, so that none can clash with ours
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), F.struct("*").alias("row"))
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))
+    kept = rows.join(bounded_broadcast(gone, 32), same, "left_anti")
+    repeats = kept.groupBy("id", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    if not repeats.isEmpty():
+        kept = kept.dropDuplicates(["id", "hash"])
+    return kept.select("row.*")

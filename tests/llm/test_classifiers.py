@@ -118,3 +118,9 @@ def test_gradients_of_the_attention_network():
 def test_passages_cover_the_whole_text():
     assert len(q.bag(None)) == len(q.bag("")) == 1
     assert len(q.bag("w " * (q.PASSAGE * 3 + 1))) == 4
+
+
+def test_an_id_with_many_texts_gives_one_training_row(spark):
+    docs = spark.range(5000).selectExpr("CAST(7 AS long) AS doc_id", "concat('text ', id) AS text")
+    labels = spark.createDataFrame([(7, 1, 0)], LABELS)
+    assert [tuple(r) for r in training_rows(docs, labels, "quality", F.lit(True), 10).collect()] == [("text 0", 1)]

@@ -53,6 +53,28 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
+
+
+def test_filtering_stages_keep_every_column_whatever_its_name(spark):
+    clean = "a quiet morning in the village where nobody hurried and the bread was still warm on the table"
+    rows = [(1, clean, "en", "web", 9), (2, clean, "en", "web", 8), (2, clean, "en", "web", 8), (None, None, None, None, None), (3, "", "en", "books", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    names = ["__hash", "__id", "__at", "__block", "__times", "id", "hash", "row", "block", "s", "b", "gone_id", "bad_id", "root", "rid", "col", "y"]
+    docs = docs.selectExpr("*", *(f"{i} AS `{n}`" for i, n in enumerate(names)))
+    for name, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names], name
+        assert all([r[n] for n in names] == list(range(len(names))) for r in docs.collect()), name
+        kept = Counter((r.doc_id, r.n_chars) for r in docs.collect())
+        want = {"toxicity": {(1, 9): 1, (2, 8): 2, (None, None): 1, (3, 7): 1}}.get(name, {(1, 9): 1, (None, None): 1, (3, 7): 1})
+        assert set(kept) == set(want) and (name == "mixing" or kept == want), name
+    assert cp.write_tokens(spark, docs, SF).count() == docs.count()
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for name, stage in cp.STAGES:
+        assert stage(spark, docs, SF).count() == 0, name

@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 from stationflow.llm.scratch import Scratch
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the smallest of the node and its neighbours."""
+def _large_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """Every larger neighbour of a node is linked to the smallest of the node and its neighbours.
+
+    The least neighbours are written before their join, here and below: beside an
+    aggregate in its stage, AQE can't split the node of a large star.
+    """
     both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = scratch.table(least, "least")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them (edges have a > b)."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = scratch.table(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -38,4 +43,5 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         if now == seen or not now[0]:
             return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen = now
-        stars = scratch.table(_small_star(_large_star(stars)), "stars")
+        larger = scratch.table(_large_star(stars, scratch), "larger")
+        stars = scratch.table(_small_star(larger, scratch), "stars")

@@ -53,6 +53,7 @@ def archive_records(pages: DataFrame, scratch: Scratch) -> DataFrame:
     sized = pages.select("page_id", F.octet_length(html).alias("size"), F.sha1(html.cast("binary")).alias("digest"))
     large = scratch.table(sized.where(F.col("size") >= LEAST_SHARED).select("page_id", "digest"), "digests")
     shared = large.groupBy("digest").agg(F.max("page_id").alias("target"), F.count("*").alias("n")).where("n > 1")
+    shared = scratch.table(shared, "shared")  # beside an aggregate in its stage, AQE can't split the join on a hot digest
     revisits = large.join(shared, "digest").where(~F.col("page_id").eqNullSafe(F.col("target")))
     revisits = scratch.table(revisits.select(F.col("page_id").alias("id"), "target", F.col("digest").alias("d")).distinct(), "revisits")
     payload = F.coalesce("html", F.lit("")).alias("payload")

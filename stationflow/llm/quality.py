@@ -17,18 +17,20 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm import ship
 from stationflow.llm.labelled import fold, training_rows
-from stationflow.llm.scratch import small_batches
+from stationflow.llm.scratch import Scratch, small_batches
 
 ship(__name__)
 
 FOLDS, HELD_OUT = 3, 1
 #: Labelled documents that the model is fitted on at most.
 SAMPLE = 5_000
+#: Passages that it is fitted on at most, and those of one document.
+PASSAGES, OF_ONE = 400_000, 4_000
 #: Words of a passage; a document's last passage may be shorter.
 PASSAGE = 80
 HIDDEN, GATES = 16, 8
@@ -150,15 +152,30 @@ def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"y": rows["y"], "x": [bag(t).ravel() for t in rows["text"]]})
 
 
+def training_bags(rows: DataFrame, scratch: Scratch, passages: int = PASSAGES, of_one: int = OF_ONE) -> DataFrame:
+    """(y, x) of ``rows`` (text, y): features of ``passages`` passages at most, by the hash of the features.
+
+    Documents of more than ``of_one`` passages aren't learned from: the driver
+    holds ``passages`` rows of ``WIDTH`` doubles, however long the texts are.
+    """
+    bags = scratch.table(rows.mapInPandas(_bags, "y int, x array<double>"), "bags")
+    sized = bags.select("y", "x", F.xxhash64("x", "y").alias("place"), (F.size("x") / WIDTH).alias("n")).where(F.col("n") <= of_one)
+    # one task sums the sizes of the bounded sample's documents, without their features; equal places are equal bags
+    places = sized.groupBy("place").agg(F.sum("n").alias("n"))
+    upto = F.sum("n").over(Window.orderBy("place"))
+    fit = places.select("place", upto.alias("upto")).where(F.col("upto") <= passages).select("place")
+    return sized.join(fit, "place", "left_semi").select("y", "x")
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> QualityModel:
-    """Fit on labelled rows whose fold isn't 1, ``sample`` documents at most, with all their passages.
+    """Fit on labelled rows whose fold isn't 1, ``sample`` documents at most; see ``training_bags``.
 
     Without any labelled row the model scores every text 0.5.
     """
     small_batches(docs.sparkSession)
     learn = fold(F.col("doc_id"), FOLDS) != HELD_OUT
     rows = training_rows(docs, labels, "quality", learn, sample)
-    found = rows.mapInPandas(_bags, "y int, x array<double>").toPandas()
+    found = training_bags(rows, Scratch(docs.sparkSession, "quality")).toPandas()
     if not len(found):
         flat = [np.zeros(s) for s in ((WIDTH, HIDDEN), HIDDEN, (HIDDEN, GATES), (HIDDEN, GATES), GATES, HIDDEN, 1)]
         return QualityModel(tuple(flat), np.zeros(WIDTH), np.ones(WIDTH))

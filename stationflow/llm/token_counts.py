@@ -1,11 +1,13 @@
-"""Edit-aware token counts with a segment tree per document.
+"""Edit-aware token counts with a kept segment tree per document.
 
 A text is cut into leaves at places that every encoding respects: before white
 space that follows something else, which the pre-tokenizer never joins across.
-The tree holds per leaf its characters and tokens and per inner node their
-sums.  An edit finds the leaves it touches by descending the sums; only these
-and the neighbour whose boundary may have moved are cut and encoded anew, and
-the sums above them are updated.
+The trees are a table with a row per block of leaves, which holds their texts,
+their tokens and the block's sums; the blocks' sums add up to the root.  Edits
+are first put together to disjoint replacements of the text as it was.  Sums
+lead to the blocks they touch; of these, only the leaves that an edit touches
+and those whose boundary it may move are cut and encoded anew.  All other rows
+of the table stay as they are.
 """
 
 from __future__ import annotations
@@ -15,19 +17,20 @@ import re
 import sys
 import types
 from collections.abc import Iterator
-from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm import ship
-from stationflow.llm.scratch import small_batches
+from stationflow.llm.scratch import BROADCAST_BYTES, Scratch, small_batches
 
 ship(__name__)
 
 #: Characters of a leaf, at least, before it may end.
 LEAF = 400
+#: Leaves of a block.
+FAN = 64
 
 # Fixed by the vocabulary file: how texts are cut into pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -56,132 +59,217 @@ def leaves(text: str, least: int = LEAF) -> list[str]:
     return [*found, text[start:]]
 
 
-class TokenTree:
-    """Sums of characters and tokens over the leaves of one document.
+_EDITS = "array<struct<start:long,stop:long,text:string>>"
+_BLOCK = {
+    "tree": pa.int64(), "doc_id": pa.int64(), "block": pa.int64(), "chars": pa.int64(), "tokens": pa.int64(),
+    "leaves": pa.int64(), "leaf_tokens": pa.list_(pa.int64()), "leaf_text": pa.list_(pa.string()),
+}
+_CHANGED = _BLOCK | {"tokens_before": pa.int64(), "leaves_before": pa.int64(), "chars_encoded": pa.int64()}
+_BLOCK_DDL = (
+    "tree long, doc_id long, block long, chars long, tokens long, leaves long, leaf_tokens array<long>, leaf_text array<string>"
+)
 
-    Nodes are kept level by level from the leaves up, each the sum of two below
-    it.  An edit that changes the number of leaves rebuilds the sums from the
-    first leaf that moved; no leaf outside the edit is encoded again.
-    """
 
-    def __init__(self, text: str, count):
-        self.count, self.encoded = count, 0
-        self.texts = leaves(text)
-        self.levels = [[(len(t), self._tokens(t)) for t in self.texts]]
-        self._sum_from(0)
-
-    def _tokens(self, text: str) -> int:
-        self.encoded += len(text)
-        return self.count(text)
-
-    def _sum_from(self, first: int) -> None:
-        level = 0
-        while len(self.levels[level]) > 1:
-            below = self.levels[level]
-            first //= 2
-            above = self.levels[level + 1][:first] if level + 1 < len(self.levels) else []
-            for i in range(2 * len(above), len(below), 2):
-                pair = below[i : i + 2]
-                above.append((sum(c for c, _ in pair), sum(t for _, t in pair)))
-            self.levels[level + 1 :] = [above, *self.levels[level + 2 :]]
-            level += 1
-        del self.levels[level + 1 :]
-
-    @property
-    def chars(self) -> int:
-        return self.levels[-1][0][0]
-
-    @property
-    def tokens(self) -> int:
-        return self.levels[-1][0][1]
-
-    def leaf_at(self, position: int) -> tuple[int, int]:
-        """The leaf that holds character ``position`` (the last one for the text's end) and the leaf's start."""
-        node, start = 0, 0
-        for level in reversed(self.levels[:-1]):
-            node *= 2
-            while node + 1 < len(level) and position >= start + level[node][0] and node % 2 == 0:
-                start += level[node][0]
-                node += 1
-        return node, start
-
-    def replace(self, start: int, stop: int, text: str) -> None:
-        """Replace characters ``start`` to ``stop`` by ``text``; positions beyond the text count as its end."""
-        start = min(max(start, 0), self.chars)
-        stop = min(max(stop, start), self.chars)
-        first, first_start = self.leaf_at(start)
-        last, last_start = self.leaf_at(stop)
-        if start == first_start and first > 0:  # the cut before the edit may no longer be one
-            first -= 1
-            first_start -= len(self.texts[first])
-        if last + 1 < len(self.texts) and stop == last_start + len(self.texts[last]):
-            last += 1
-        old = "".join(self.texts[first : last + 1])
-        new = old[: start - first_start] + text + old[stop - first_start :]
-        if last + 1 < len(self.texts) and not _is_cut(new, self.texts[last + 1]):
-            last += 1  # a boundary that the edit has undone
-            new += self.texts[last]
-        pieces = leaves(new) if new or len(self.texts) == last - first + 1 else []
-        same = len(pieces) == last + 1 - first
-        self.texts[first : last + 1] = pieces
-        self.levels[0][first : last + 1] = [(len(t), self._tokens(t)) for t in pieces]
-        if same:
-            self._update(first, last)
-        else:
-            self._sum_from(first)
+def _batch(rows: list[tuple], types: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else ([] for _ in types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=[*types])
 
-    def _update(self, first: int, last: int) -> None:
-        for below, above in zip(self.levels, self.levels[1:], strict=False):
-            first, last = first // 2, last // 2
-            for i in range(first, last + 1):
-                pair = below[2 * i : 2 * i + 2]
-                above[i] = (sum(c for c, _ in pair), sum(t for _, t in pair))
 
+def _built(path: str):
+    """(tree, doc_id, edits, text) -> blocks; the first block of a tree carries its ``edits``."""
 
-def _is_cut(left: str, right: str) -> bool:
-    return bool(left) and not left[-1].isspace() and right[:1] in (" ", "\n", "\t")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = token_counter(path)
+        for batch in batches:
+            rows, first = [], []
+            for i, (tree, doc_id, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)), strict=True)):
+                pieces = leaves(text or "")
+                for low in range(0, len(pieces), FAN):
+                    part = pieces[low : low + FAN]
+                    tokens = [count(p) for p in part]
+                    rows.append((tree, doc_id, low // FAN, sum(map(len, part)), sum(tokens), len(part), tokens, part))
+                    first.append(None if low else i)
+            made = _batch(rows, _BLOCK)
+            edits = batch.column(2).take(pa.array(first, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*made.columns, edits], names=[*_BLOCK, "edits"])
 
+    return run
 
-@dataclass(frozen=True)
-class Counted:
-    before: int
-    after: int
-    leaves: int
-    encoded: int
 
+def build_trees(docs: DataFrame, vocabulary: str, scratch: Scratch) -> DataFrame:
+    """The trees of ``docs`` (doc_id, text and, if there, edits), written: a row per block of ``FAN`` leaves at most.
 
-def count_with_edits(text: str | None, edits, count) -> Counted:
-    """Tokens of ``text`` before and after ``edits`` ((start, stop, text), in order), and characters encoded again."""
-    tree = TokenTree(text or "", count)
-    before, tree.encoded = tree.tokens, 0
-    for edit in () if edits is None else edits:
-        if edit is not None and edit[0] is not None and edit[1] is not None:
-            tree.replace(edit[0], edit[1], edit[2] or "")
-    return Counted(before, tree.tokens, len(tree.texts), tree.encoded)
+    Columns: tree (unique per row of ``docs``), doc_id, block (from 0, in the
+    order of the text), chars, tokens, leaves (sums of the block), leaf_tokens,
+    leaf_text, edits (those of the row, with block 0; null elsewhere).  A null
+    or empty text is one empty leaf.  Further columns are not read.
+    """
+    small_batches(docs.sparkSession)
+    edits = F.col("edits") if "edits" in docs.columns else F.lit(None)
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("tree"), F.col("doc_id").cast("long").alias("doc_id"), edits.cast(_EDITS).alias("edits"), "text"
+    )
+    return scratch.table(rows.mapInArrow(_built(vocabulary), f"{_BLOCK_DDL}, edits {_EDITS}"), "trees")
+
+
+def roots(trees: DataFrame) -> DataFrame:
+    """(tree, doc_id, chars, tokens, leaves) of every document: the sums of its blocks' sums."""
+    sums = [F.sum(c).alias(c) for c in ("chars", "tokens", "leaves")]
+    return trees.groupBy("tree").agg(F.max("doc_id").alias("doc_id"), *sums)
 
 
-def _count_rows(path: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def composed(edits, chars: int) -> list[tuple[int, int, str]]:
+    """``edits`` ((start, stop, text), each of the text as edited so far) as disjoint ascending ones of the text of ``chars`` before.
+
+    Positions are cut off at the text's ends; a null edit or position changes
+    nothing, a null text deletes.
+    """
+    parts = [(0, chars, None)] if chars else []  # ranges of the text before, or new texts
+    length = chars
+    for edit in edits or ():
+        if edit is None or edit[0] is None or edit[1] is None:
+            continue
+        start = min(max(edit[0], 0), length)
+        stop = min(max(edit[1], start), length)
+        new = edit[2] or ""
+        left, right, at = [], [], 0
+        for a, b, text in parts:
+            size = b - a
+            low, high = min(max(start - at, 0), size), min(max(stop - at, 0), size)
+            if low:
+                left.append((a, a + low, text and text[:low]))
+            if high < size:
+                right.append((a + high, b, text and text[high:]))
+            at += size
+        parts = [*left, *([(0, len(new), new)] if new else []), *right]
+        length += len(new) - (stop - start)
+    found, at, new = [], 0, ""
+    for a, b, text in parts:
+        if text is not None:
+            new += text
+        else:
+            if a > at or new:
+                found.append((at, a, new))
+            at, new = b, ""
+    return [*found, (at, chars, new)] if at < chars or new else found
+
+
+def _composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    of = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("text", pa.string())]))
+    for batch in batches:
+        found = []
+        for edits, chars in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            plain = [e and (e["start"], e["stop"], e["text"]) for e in edits or ()]
+            found.append([dict(zip(("start", "stop", "text"), e, strict=True)) for e in composed(plain, chars)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, of)], names=["tree", "edits"])
+
+
+def _redone(blocks: list[tuple], count) -> list[tuple]:
+    """Rows of ``_CHANGED`` of one tree's touched ``blocks`` (tree, doc_id, block, begin, edits, leaf_tokens, leaf_text)."""
+    edits = {e["start"]: (e["start"], e["stop"], e["text"]) for b in blocks for e in b[4] if e["text"] is not None}
+    edits = [edits[start] for start in sorted(edits)]
+    items = []
+    for n, (*_, begin, _, tokens, pieces) in enumerate(blocks):
+        for t, piece in zip(tokens, pieces, strict=True):
+            items.append((begin, piece, t, n))
+            begin += len(piece)
+    texts, sums, encoded = [[] for _ in blocks], [[] for _ in blocks], [0] * len(blocks)
+    i = e = 0
+    while i < len(items):
+        start, text, tokens, n = items[i]
+        end = start + len(text)
+        if e == len(edits) or edits[e][0] > end:
+            texts[n].append(text)
+            sums[n].append(tokens)
+            i += 1
+            continue
+        region, mine, reach = [text], [], -1
+        while True:  # the leaves that edits reach, up to the one whose first boundary the last edit may move
+            while e < len(edits) and edits[e][0] <= end:
+                mine.append(edits[e])
+                reach = edits[e][1]
+                e += 1
+            if i + 1 == len(items) or items[i + 1][0] > reach:
+                break
+            i += 1
+            region.append(items[i][1])
+            end += len(items[i][1])
+        i += 1
+        old, new, at = "".join(region), [], 0
+        for a, b, text in mine:
+            new += [old[at : a - start], text]
+            at = b - start
+        pieces = leaves("".join([*new, old[at:]]))
+        texts[n] += pieces
+        sums[n] += [count(p) for p in pieces]
+        encoded[n] += sum(map(len, pieces))
+    return [
+        (tree, doc_id, block, sum(map(len, t)), sum(s), len(t), s, t, sum(was), len(was), again)
+        for (tree, doc_id, block, _, _, was, _), t, s, again in zip(blocks, texts, sums, encoded, strict=True)
+    ]
+
+
+def _edited(path: str):
+    """Marks (begin, edits) and blocks in the order of (tree, block), the mark first -> changed blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = token_counter(path)
-        for rows in batches:
-            found = [
-                count_with_edits(text, [(e["start"], e["stop"], e["text"]) if e is not None else None for e in edits] if edits is not None else None, count)
-                for text, edits in zip(rows["text"], rows["edits"], strict=True)
-            ]
-            yield pd.DataFrame(
-                {
-                    "doc_id": rows["doc_id"],
-                    "n_edits": [len(e) if e is not None else 0 for e in rows["edits"]],
-                    "n_tokens_before": [c.before for c in found],
-                    "n_tokens": [c.after for c in found],
-                    "n_leaves": [c.leaves for c in found],
-                    "chars_encoded_again": [c.encoded for c in found],
-                }
-            )
+        mark, group = None, []
+        for batch in batches:
+            done = []
+            for tree, block, begin, edits, doc_id, tokens, pieces in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if begin is not None:
+                    mark = (tree, block, begin, edits)
+                elif mark and mark[:2] == (tree, block):
+                    if group and group[0][0] != tree:
+                        done += _redone(group, count)
+                        group = []
+                    group.append((tree, doc_id, block, *mark[2:], tokens, pieces))
+            yield _batch(done, _CHANGED)
+        yield _batch(_redone(group, count), _CHANGED)
 
     return run
 
 
+def changed_blocks(trees: DataFrame, edits: DataFrame, vocabulary: str, scratch: Scratch) -> DataFrame:
+    """The blocks of ``trees`` that ``edits`` (tree, edits: array of (start, stop, text)) touch, as they are afterwards.
+
+    Columns: as of the trees, and tokens_before, leaves_before, chars_encoded.  A
+    block whose leaves went into the one before has none left.  What an edit adds
+    stays in its first block, of whatever size.  One row of ``edits`` a tree.
+    """
+    small_batches(trees.sparkSession)
+    plain = edits.select("tree", F.col("edits").cast(_EDITS).alias("edits")).where(F.size("edits") > 0)
+    plan = plain.join(roots(trees).select("tree", "chars"), "tree").mapInArrow(_composed, f"tree long, edits {_EDITS}")
+    before = Window.partitionBy("tree").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("begin")
+    placed = trees.select("tree", "block", "chars", begin)
+    touching = F.filter("edits", lambda e: (e["start"] <= F.col("begin") + F.col("chars")) & (e["stop"] >= F.col("begin")))
+    once = lambda e: F.struct(  # noqa: E731  # the text goes with the block that holds the start
+        e["start"].alias("start"), e["stop"].alias("stop"), F.when(e["start"] >= F.col("begin"), e["text"]).alias("text")
+    )
+    marks = placed.join(plan, "tree").select("tree", "block", "begin", F.transform(touching, once).alias("edits"))
+    marks = scratch.table(marks.where(F.size("edits") > 0), "marks")
+
+    blocks = trees.select("tree", "block", "doc_id", "leaf_tokens", "leaf_text")
+    if 32 * marks.count() <= BROADCAST_BYTES:  # few edits: other blocks stay where they are
+        blocks = blocks.join(F.broadcast(marks.select("tree", "block")), ["tree", "block"], "left_semi")
+    met = marks.unionByName(blocks, allowMissingColumns=True).select(
+        "tree", "block", "begin", "edits", "doc_id", "leaf_tokens", "leaf_text"
+    )
+    met = met.repartition("tree").sortWithinPartitions("tree", "block", F.col("begin").isNull())
+    return met.mapInArrow(_edited(vocabulary), f"{_BLOCK_DDL}, tokens_before long, leaves_before long, chars_encoded long")
+
+
+def edited_trees(trees: DataFrame, edits: DataFrame, vocabulary: str, scratch: Scratch) -> DataFrame:
+    """``trees`` after ``edits``: the changed blocks, written, and the others as they were; see ``changed_blocks``."""
+    changed = scratch.table(changed_blocks(trees, edits, vocabulary, scratch), "changed")
+    keys = changed.select("tree", "block")
+    keys = F.broadcast(keys) if 32 * keys.count() <= BROADCAST_BYTES else keys
+    same = trees.select(*_BLOCK).join(keys, ["tree", "block"], "left_anti")
+    return same.unionByName(changed.where("leaves > 0").select(*_BLOCK))
+
+
 def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Counts of ``docs`` (doc_id, text, edits: array of (start, stop, text)), a row per row.
 
@@ -191,14 +279,25 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     ends; a null edit or position changes nothing, a null replacement deletes.
     A null text is empty; null edits are none.  Repeated rows count alike.
     """
-    small_batches(docs.sparkSession)
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        "text",
-        F.col("edits").cast("array<struct<start:int,stop:int,text:string>>").alias("edits"),
+    scratch = Scratch(docs.sparkSession, "token-counts")
+    trees = build_trees(docs, vocabulary, scratch)
+    edits = trees.where("block = 0").select("tree", "edits")
+    changed = changed_blocks(trees, edits, vocabulary, scratch)
+    moved = changed.groupBy("tree").agg(
+        F.sum(F.col("tokens") - F.col("tokens_before")).alias("more_tokens"),
+        F.sum(F.col("leaves") - F.col("leaves_before")).alias("more_leaves"),
+        F.sum("chars_encoded").alias("chars_encoded"),
+    )
+    whole = roots(trees).join(edits.select("tree", F.greatest(F.size("edits"), F.lit(0)).alias("n")), "tree")
+    none = F.lit(0)
+    return whole.join(moved, "tree", "left").select(
+        "doc_id",
+        F.coalesce("n", none).cast("long").alias("n_edits"),
+        F.col("tokens").alias("n_tokens_before"),
+        (F.col("tokens") + F.coalesce("more_tokens", none)).alias("n_tokens"),
+        (F.col("leaves") + F.coalesce("more_leaves", none)).alias("n_leaves"),
+        F.coalesce("chars_encoded", none).cast("long").alias("chars_encoded_again"),
     )
-    schema = "doc_id long, n_edits long, n_tokens_before long, n_tokens long, n_leaves long, chars_encoded_again long"
-    return rows.mapInPandas(_count_rows(vocabulary), schema)
 
 
 def derived_edits(docs: DataFrame) -> DataFrame:

@@ -62,11 +62,12 @@ def leaves(text: str, least: int = LEAF) -> list[str]:
 _EDITS = "array<struct<start:long,stop:long,text:string>>"
 _BLOCK = {
     "tree": pa.int64(), "doc_id": pa.int64(), "block": pa.int64(), "chars": pa.int64(), "tokens": pa.int64(),
-    "leaves": pa.int64(), "leaf_tokens": pa.list_(pa.int64()), "leaf_text": pa.list_(pa.string()),
+    "leaves": pa.int64(), "blocks": pa.int64(), "leaf_tokens": pa.list_(pa.int64()), "leaf_text": pa.list_(pa.string()),
 }
 _CHANGED = _BLOCK | {"tokens_before": pa.int64(), "leaves_before": pa.int64(), "chars_encoded": pa.int64()}
 _BLOCK_DDL = (
-    "tree long, doc_id long, block long, chars long, tokens long, leaves long, leaf_tokens array<long>, leaf_text array<string>"
+    "tree long, doc_id long, block long, chars long, tokens long, leaves long, blocks long, "
+    "leaf_tokens array<long>, leaf_text array<string>"
 )
 
 
@@ -84,10 +85,11 @@ def _built(path: str):
             rows, first = [], []
             for i, (tree, doc_id, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3)), strict=True)):
                 pieces = leaves(text or "")
+                blocks = -(-len(pieces) // FAN)
                 for low in range(0, len(pieces), FAN):
                     part = pieces[low : low + FAN]
                     tokens = [count(p) for p in part]
-                    rows.append((tree, doc_id, low // FAN, sum(map(len, part)), sum(tokens), len(part), tokens, part))
+                    rows.append((tree, doc_id, low // FAN, sum(map(len, part)), sum(tokens), len(part), blocks, tokens, part))
                     first.append(None if low else i)
             made = _batch(rows, _BLOCK)
             edits = batch.column(2).take(pa.array(first, pa.int64()))
@@ -100,8 +102,8 @@ def build_trees(docs: DataFrame, vocabulary: str, scratch: Scratch) -> DataFrame
     """The trees of ``docs`` (doc_id, text and, if there, edits), written: a row per block of ``FAN`` leaves at most.
 
     Columns: tree (unique per row of ``docs``), doc_id, block (from 0, in the
-    order of the text), chars, tokens, leaves (sums of the block), leaf_tokens,
-    leaf_text, edits (those of the row, with block 0; null elsewhere).  A null
+    order of the text), chars, tokens, leaves (sums of the block), blocks (of
+    the tree as built; edits add none), leaf_tokens, leaf_text, edits (those of the row, with block 0; null elsewhere).  A null
     or empty text is one empty leaf.  Further columns are not read.
     """
     small_batches(docs.sparkSession)
@@ -109,7 +111,9 @@ def build_trees(docs: DataFrame, vocabulary: str, scratch: Scratch) -> DataFrame
     rows = docs.select(
         F.monotonically_increasing_id().alias("tree"), F.col("doc_id").cast("long").alias("doc_id"), edits.cast(_EDITS).alias("edits"), "text"
     )
-    return scratch.table(rows.mapInArrow(_built(vocabulary), f"{_BLOCK_DDL}, edits {_EDITS}"), "trees")
+    trees, path = rows.mapInArrow(_built(vocabulary), f"{_BLOCK_DDL}, edits {_EDITS}"), scratch.path("trees")
+    trees.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(trees.schema).parquet(path)
 
 
 def roots(trees: DataFrame) -> DataFrame:
@@ -154,22 +158,23 @@ def composed(edits, chars: int) -> list[tuple[int, int, str]]:
     return [*found, (at, chars, new)] if at < chars or new else found
 
 
+def _plain(edits: list[dict | None] | None) -> list[tuple | None]:
+    return [e and (e["start"], e["stop"], e["text"]) for e in edits or ()]
+
+
 def _composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     of = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("text", pa.string())]))
     for batch in batches:
         found = []
         for edits, chars in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            plain = [e and (e["start"], e["stop"], e["text"]) for e in edits or ()]
-            found.append([dict(zip(("start", "stop", "text"), e, strict=True)) for e in composed(plain, chars)])
+            found.append([dict(zip(("start", "stop", "text"), e, strict=True)) for e in composed(_plain(edits), chars)])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, of)], names=["tree", "edits"])
 
 
-def _redone(blocks: list[tuple], count) -> list[tuple]:
-    """Rows of ``_CHANGED`` of one tree's touched ``blocks`` (tree, doc_id, block, begin, edits, leaf_tokens, leaf_text)."""
-    edits = {e["start"]: (e["start"], e["stop"], e["text"]) for b in blocks for e in b[4] if e["text"] is not None}
-    edits = [edits[start] for start in sorted(edits)]
+def _redone(blocks: list[tuple], edits: list[tuple[int, int, str]], count) -> list[tuple]:
+    """Rows of ``_CHANGED`` of one tree's touched ``blocks`` (tree, doc_id, block, blocks, begin, leaf_tokens, leaf_text) under composed ``edits``."""
     items = []
-    for n, (*_, begin, _, tokens, pieces) in enumerate(blocks):
+    for n, (*_, begin, tokens, pieces) in enumerate(blocks):
         for t, piece in zip(tokens, pieces, strict=True):
             items.append((begin, piece, t, n))
             begin += len(piece)
@@ -204,41 +209,68 @@ def _redone(blocks: list[tuple], count) -> list[tuple]:
         sums[n] += [count(p) for p in pieces]
         encoded[n] += sum(map(len, pieces))
     return [
-        (tree, doc_id, block, sum(map(len, t)), sum(s), len(t), s, t, sum(was), len(was), again)
-        for (tree, doc_id, block, _, _, was, _), t, s, again in zip(blocks, texts, sums, encoded, strict=True)
+        (tree, doc_id, block, sum(map(len, t)), sum(s), len(t), of, s, t, sum(was), len(was), again)
+        for (tree, doc_id, block, of, _, was, _), t, s, again in zip(blocks, texts, sums, encoded, strict=True)
     ]
 
 
+def _edited_alone(path: str):
+    """Trees of one block (tree, doc_id, block, leaf_tokens, leaf_text, edits) -> changed blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = token_counter(path)
+        for batch in batches:
+            done = []
+            for tree, doc_id, block, tokens, pieces, edits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = composed(_plain(edits), sum(map(len, pieces)))
+                if found:
+                    done += _redone([(tree, doc_id, block, 1, 0, tokens, pieces)], found, count)
+            yield _batch(done, _CHANGED)
+
+    return run
+
+
 def _edited(path: str):
     """Marks (begin, edits) and blocks in the order of (tree, block), the mark first -> changed blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = token_counter(path)
-        mark, group = None, []
+        mark, group, edits = None, [], {}
         for batch in batches:
             done = []
-            for tree, block, begin, edits, doc_id, tokens, pieces in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for tree, block, begin, marked, doc_id, blocks, tokens, pieces in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if begin is not None:
-                    mark = (tree, block, begin, edits)
+                    mark = (tree, block, begin, marked)
                 elif mark and mark[:2] == (tree, block):
                     if group and group[0][0] != tree:
-                        done += _redone(group, count)
-                        group = []
-                    group.append((tree, doc_id, block, *mark[2:], tokens, pieces))
+                        done += _redone(group, [edits[start] for start in sorted(edits)], count)
+                        group, edits = [], {}
+                    group.append((tree, doc_id, block, blocks, mark[2], tokens, pieces))
+                    edits |= {e["start"]: (e["start"], e["stop"], e["text"]) for e in mark[3] if e["text"] is not None}
             yield _batch(done, _CHANGED)
-        yield _batch(_redone(group, count), _CHANGED)
+        yield _batch(_redone(group, [edits[start] for start in sorted(edits)], count), _CHANGED)
 
     return run
 
 
-def changed_blocks(trees: DataFrame, edits: DataFrame, vocabulary: str, scratch: Scratch) -> DataFrame:
+_CHANGED_DDL = f"{_BLOCK_DDL}, tokens_before long, leaves_before long, chars_encoded long"
+
+
+def changed_blocks(trees: DataFrame, edits: DataFrame | None, vocabulary: str, scratch: Scratch) -> DataFrame:
     """The blocks of ``trees`` that ``edits`` (tree, edits: array of (start, stop, text)) touch, as they are afterwards.
 
+    Without ``edits`` those that the trees were built with count; a tree of one
+    block then is edited where it is read, as its row holds all there is to know.
     Columns: as of the trees, and tokens_before, leaves_before, chars_encoded.  A
     block whose leaves went into the one before has none left.  What an edit adds
     stays in its first block, of whatever size.  One row of ``edits`` a tree.
     """
     small_batches(trees.sparkSession)
+    if edits is None:
+        own = trees.where("blocks = 1 AND size(edits) > 0")
+        own = own.select("tree", "doc_id", "block", "leaf_tokens", "leaf_text", "edits").mapInArrow(_edited_alone(vocabulary), _CHANGED_DDL)
+        trees = trees.where("blocks > 1")
+        return own.unionAll(changed_blocks(trees, trees.where("block = 0").select("tree", "edits"), vocabulary, scratch))
     plain = edits.select("tree", F.col("edits").cast(_EDITS).alias("edits")).where(F.size("edits") > 0)
     plan = plain.join(roots(trees).select("tree", "chars"), "tree").mapInArrow(_composed, f"tree long, edits {_EDITS}")
     before = Window.partitionBy("tree").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -251,17 +283,17 @@ def changed_blocks(trees: DataFrame, edits: DataFrame, vocabulary: str, scratch:
     marks = placed.join(plan, "tree").select("tree", "block", "begin", F.transform(touching, once).alias("edits"))
     marks = scratch.table(marks.where(F.size("edits") > 0), "marks")
 
-    blocks = trees.select("tree", "block", "doc_id", "leaf_tokens", "leaf_text")
+    blocks = trees.select("tree", "block", "doc_id", "blocks", "leaf_tokens", "leaf_text")
     if 32 * marks.count() <= BROADCAST_BYTES:  # few edits: other blocks stay where they are
         blocks = blocks.join(F.broadcast(marks.select("tree", "block")), ["tree", "block"], "left_semi")
     met = marks.unionByName(blocks, allowMissingColumns=True).select(
-        "tree", "block", "begin", "edits", "doc_id", "leaf_tokens", "leaf_text"
+        "tree", "block", "begin", "edits", "doc_id", "blocks", "leaf_tokens", "leaf_text"
     )
     met = met.repartition("tree").sortWithinPartitions("tree", "block", F.col("begin").isNull())
-    return met.mapInArrow(_edited(vocabulary), f"{_BLOCK_DDL}, tokens_before long, leaves_before long, chars_encoded long")
+    return met.mapInArrow(_edited(vocabulary), _CHANGED_DDL)
 
 
-def edited_trees(trees: DataFrame, edits: DataFrame, vocabulary: str, scratch: Scratch) -> DataFrame:
+def edited_trees(trees: DataFrame, edits: DataFrame | None, vocabulary: str, scratch: Scratch) -> DataFrame:
     """``trees`` after ``edits``: the changed blocks, written, and the others as they were; see ``changed_blocks``."""
     changed = scratch.table(changed_blocks(trees, edits, vocabulary, scratch), "changed")
     keys = changed.select("tree", "block")
@@ -281,14 +313,14 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "token-counts")
     trees = build_trees(docs, vocabulary, scratch)
-    edits = trees.where("block = 0").select("tree", "edits")
-    changed = changed_blocks(trees, edits, vocabulary, scratch)
+    changed = changed_blocks(trees, None, vocabulary, scratch)
     moved = changed.groupBy("tree").agg(
         F.sum(F.col("tokens") - F.col("tokens_before")).alias("more_tokens"),
         F.sum(F.col("leaves") - F.col("leaves_before")).alias("more_leaves"),
         F.sum("chars_encoded").alias("chars_encoded"),
     )
-    whole = roots(trees).join(edits.select("tree", F.greatest(F.size("edits"), F.lit(0)).alias("n")), "tree")
+    first = trees.where("block = 0").select("tree", F.greatest(F.size("edits"), F.lit(0)).alias("n"))
+    whole = roots(trees).join(first, "tree")
     none = F.lit(0)
     return whole.join(moved, "tree", "left").select(
         "doc_id",

@@ -90,7 +90,7 @@ def test_any_edit_gives_the_count_of_the_whole_text(spark, path, count):
     trees = build_trees(spark.createDataFrame(rows, SCHEMA).repartition(3), path, scratch)
     assert _texts(trees) == {i: text for i, text, _ in rows}
     texts = {i: _applied(text, edits) for i, text, edits in rows}
-    edits = trees.where("block = 0").select("tree", "edits")
+    edits = None
     for _ in range(2):  # the second edits meet the trees that the first have left
         trees = edited_trees(trees, edits, path, scratch)
         found = {r.doc_id: r for r in roots(trees).collect()}

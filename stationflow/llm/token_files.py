@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,9 @@ _LOWER = "a-z\xdf-\xf6\xf8-\xff"
 _PLAIN = re.compile(f"[\\t\\n\\r\x20-\x7e\xc0-\xd6\xd8-\xde{_LOWER}]*")
 #: The tokenizer's pre-tokens for these (fixed by its file).
 _PRE_TOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[0-9]|[^\\s0-9{_LOWER}]+")
+#: Lines of such, of the mark of a text's end, and of marks that stand for whole texts.
+_RUNS = re.compile(f"\n|\0|\1[0-9]+|{_PRE_TOKENS.pattern}")
+_MARKS = {"\n": np.array([-1], "<i4").tobytes(), "\0": np.array([END], "<i4").tobytes()}
 #: Encoded pre-tokens kept per Python worker; the cache starts anew when it is full.
 CACHE = 800_000
 
@@ -56,10 +60,12 @@ class Encoder:
     """Texts -> ids as little-endian 32-bit bytes, the end id included.
 
     A text of ASCII and Latin-1 letters, whose normal form and lower case are
-    plain, is cut into the tokenizer's pre-tokens here.  Each distinct pre-token
-    goes through the tokenizer's model once and is looked up after that; many
-    go in one call, and the model's word-end mark tells their ids apart.  Any
-    other text goes through the whole tokenizer.  Memory is bounded by ``CACHE``.
+    plain, is split at white space, which no pre-token of the tokenizer crosses.
+    The distinct parts of a batch are cut into the tokenizer's pre-tokens here.
+    Each distinct pre-token goes through the tokenizer's model once and is looked
+    up after that; many go in one call, and the model's word-end mark tells their
+    ids apart.  Any other text goes through the whole tokenizer.  Memory is
+    bounded by ``CACHE``.
     """
 
     def __init__(self, path: str):
@@ -86,19 +92,45 @@ class Encoder:
             for run, cut in zip(part, (4 * cuts).tolist(), strict=True):
                 self.known[run], at = data[at:cut], cut
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        end = np.array([END], dtype="<i4").tobytes()
-        plain = [bool(_PLAIN.fullmatch(t)) and "<|" not in t for t in texts]
-        runs = [_PRE_TOKENS.findall(t.lower()) if p else () for t, p in zip(texts, plain, strict=True)]
-        distinct = set().union(*runs)
-        if len(self.known) + len(distinct) > CACHE:
+    def look_up(self, parts: str, fixed: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``parts`` (lines), each part's followed by -1, and where these are; ``fixed``: the marks' ids."""
+        runs = _RUNS.findall(parts)
+        self.known |= fixed
+        found = [*map(self.known.get, runs)]
+        for mark in fixed:
+            del self.known[mark]
+        new = {r for r, x in zip(runs, found, strict=True) if x is None}
+        if len(self.known) + len(new) > CACHE:
             self.known.clear()
-        self.learn([r for r in distinct if r not in self.known])
-        other = iter(self.full.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
-        return [
-            b"".join([*map(self.known.__getitem__, rs), end]) if p else np.array([*next(other).ids, END], "<i4").tobytes()
-            for rs, p in zip(runs, plain, strict=True)
-        ]
+        self.learn([*new])
+        found = [self.known[r] if x is None else x for r, x in zip(runs, found, strict=True)]
+        ids = np.frombuffer(b"".join(found), dtype="<i4")
+        return ids, np.flatnonzero(ids < 0)
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the number of each text's."""
+        plain = [bool(_PLAIN.fullmatch(t)) and "<|" not in t for t in texts]
+        whole = self.full.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False)
+        # marks, which no plain text holds, stand for the ends and the other texts
+        other = {f"\1{i}": np.array(x.ids, "<i4").tobytes() for i, x in enumerate(whole)}
+        marks = iter(other)
+        marked = [f"{t.lower() if p else next(marks)} \0" for t, p in zip(texts, plain, strict=True)]
+        split = pc.ascii_split_whitespace(pa.array(marked, pa.large_string()))
+        coded = split.values.dictionary_encode()
+        distinct = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        lines = pc.binary_join(distinct, pa.scalar("\n", pa.large_string()))[0].as_py()
+        ids, stop = self.look_up(f"{lines}\n", other | _MARKS)
+        first = np.concatenate([[0], stop[:-1] + 1])
+        part = coded.indices.to_numpy()
+        size = (stop - first)[part]
+        ends = np.cumsum(size)
+        at = np.repeat(first[part] - (ends - size), size)
+        at += np.arange(len(at))
+        return ids[at], np.diff(np.concatenate([[0], ends])[split.offsets.to_numpy()])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        ids, sizes = self.encode_flat(texts)
+        return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
 
 
 def _encoder(path: str) -> Encoder:
@@ -111,21 +143,20 @@ def _encoder(path: str) -> Encoder:
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, start = _encoder(path).encode, TaskContext.get().partitionId(), 0
+        encode, shard, start = _encoder(path).encode_flat, TaskContext.get().partitionId(), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = encode([t or "" for t in batch.column(1).to_pylist()])
-            sizes = np.array([len(x) for x in ids], dtype=np.int64) // 4
+            ids, sizes = encode([t or "" for t in batch.column(1).to_pylist()])
             ends = start + np.cumsum(sizes)
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(ids), shard, np.int32)),
+                    pa.array(np.full(len(sizes), shard, np.int32)),
                     batch.column(0),
                     pa.array(ends - sizes),
                     pa.array(sizes),
-                    pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))),
+                    pa.ListArray.from_arrays(offsets, pa.array(ids)),
                 ],
                 names=["shard", "doc_id", "start_in_shard", "n_tokens", "ids"],
             )

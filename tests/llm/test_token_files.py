@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from stationflow.llm import token_files
 from stationflow.llm.queries import WORD_TOKENIZER, tokenizer_path
 from stationflow.llm.scratch import Scratch
 from stationflow.llm.token_files import Encoder, read_tokens, token_digests, write_token_files
@@ -76,3 +77,33 @@ def test_rows_of_one_id_are_cut_between_shards(spark, path, plain):
 
 def test_empty_table(spark, path):
     assert token_digests(spark.createDataFrame([], SCHEMA), path, Scratch(spark, "t").path("f")).count() == 0
+
+
+def test_words_of_a_batch_are_cut_once(path, plain, monkeypatch):
+    class Counted:
+        cut = 0
+
+        def __init__(self, pattern):
+            self.pattern = pattern
+
+        def findall(self, text):
+            Counted.cut += len(text)
+            return self.pattern.findall(text)
+
+    for name in ("_PRE_TOKENS", "_RUNS"):
+        if hasattr(token_files, name):
+            monkeypatch.setattr(token_files, name, Counted(getattr(token_files, name)))
+    texts = [f"It's the {i % 7}th\tday, isn't it?\r\n " * 50 for i in range(40)]
+    found = Encoder(path).encode(texts)
+    assert [np.frombuffer(x, "<i4").tolist() for x in found] == [plain(t) for t in texts]
+    assert Counted.cut < sum(map(len, texts)) / 100
+
+
+@pytest.mark.parametrize("cache", [0, 30, 10_000])
+def test_a_full_cache_and_marks_in_texts(path, plain, monkeypatch, cache):
+    monkeypatch.setattr(token_files, "CACHE", cache)
+    encode = Encoder(path).encode
+    for low in range(4):
+        texts = ["", "\0", "\1", "\0010 a \0", "a \1\0001 b", "\n\n", "漢 \0010", "<|endoftext|>", f"word{low}'s w{low}x, é!'t " * low]
+        assert [np.frombuffer(x, "<i4").tolist() for x in encode(texts)] == [plain(t) for t in texts]
+    assert encode([]) == []

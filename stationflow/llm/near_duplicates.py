@@ -199,9 +199,13 @@ def _starred(listed: DataFrame, sets: DataFrame, p: Params, scratch: Scratch) ->
         # the smallest one, and others by their hash
         is_first = (F.col("rid") == F.col("least")) | (F.pmod(F.xxhash64("key", "rid"), F.col("n")) < firsts - 1)
         is_first = F.lit(True) if last else is_first
-        dealt = scratch.table(rest.join(sizes, "key").select("key", "rid", is_first.alias("is_first")), "dealt")
-        first = dealt.where("is_first").select("key", F.col("rid").alias("first"))
-        met = dealt.join(first, "key").where("rid <> first AND (NOT is_first OR first < rid)")
+        dealt = scratch.table(rest.join(sizes, "key").select("key", "rid", "least", is_first.alias("is_first")), "dealt")
+        if firsts == 1:  # the one first document came with the sizes
+            met = dealt.where("NOT is_first").withColumnRenamed("least", "first")
+        else:
+            first = dealt.where("is_first").select("key", F.col("rid").alias("first"))
+            met = dealt.join(first, "key").where("rid <> first AND (NOT is_first OR first < rid)")
+            met = scratch.table(met.select("key", "rid", "first", "is_first"), "met")
         pair = F.least("first", "rid").alias("a"), F.greatest("first", "rid").alias("b")
         wanted = met.select(*pair).distinct().withColumn("least", F.lit(p.loose))
         near.append(_estimated(wanted, sets, p, scratch))

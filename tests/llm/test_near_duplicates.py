@@ -155,6 +155,34 @@ def test_documents_unlike_the_first_of_a_combination_meet_each_other(spark):
     assert nd._starred(listed.limit(0), sets, Params(), Scratch(spark, "test")).count() == 0
 
 
+def test_the_first_round_of_a_crowd_makes_no_rows_beside_its_own(spark, monkeypatch):
+    from stationflow.llm import near_duplicates as nd
+
+    asked, stored, estimated, table = [], [], nd._estimated, Scratch.table
+
+    def spy(pairs, *rest):
+        asked.append(pairs._jdf.queryExecution().optimizedPlan().toString())
+        return estimated(pairs, *rest)
+
+    def kept(self, df, name):
+        stored.append(name)
+        return table(self, df, name)
+
+    monkeypatch.setattr(nd, "_estimated", spy)
+    monkeypatch.setattr(Scratch, "table", kept)
+    rng = random.Random(4)
+    draw = lambda n: sorted((rng.getrandbits(63) for _ in range(n)), key=lambda x: x % (1 << 64))
+    base, other = draw(64), draw(64)
+    sketches = [base] * 30 + [draw(64), other, other, draw(64)]
+    sets = spark.createDataFrame(list(enumerate(sketches)), "rid long, sketch array<long>")
+    listed = spark.createDataFrame([(k, i) for k in (5, 6) for i in range(len(sketches))], "key long, rid long")
+    edges = {(r.a, r.b) for r in nd._starred(listed, sets, Params(), Scratch(spark, "test")).collect()}
+    assert edges == {(0, i) for i in range(1, 30)} | {(31, 32)}
+    # the copies meet the first one without a join; what is left of the lists is joined once a round
+    assert len(asked) > 1 and not any("Join" in plan for plan in asked)
+    assert stored.count("met") == len(asked) - 1
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(250)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]

@@ -8,6 +8,7 @@ the first of its queries that ends, stops the others and says which one it was.
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,16 +65,17 @@ def slow_batches(events: DataFrame, trigger_ms: int) -> DataFrame:
 
 def wait_for_any(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> StreamingQuery | None:
     """Wait until one of ``queries`` has ended, stop the others, and return it (None after ``timeout`` seconds)."""
-    by_run = {str(q.runId): q for q in queries}
-    ended = [q for q in queries if not q.isActive]
-    if not ended:
+    end = None if timeout is None else time.monotonic() + timeout
+    while not (ended := [q for q in queries if not q.isActive]):
+        left = None if end is None else end - time.monotonic()
+        if left is not None and left <= 0:
+            return None
         try:
-            spark.streams.awaitAnyTermination(timeout)
+            spark.streams.awaitAnyTermination(left)
         except Exception:  # noqa: BLE001 - the failed query is found and reported below
             pass
-        ended = [q for q in by_run.values() if not q.isActive]
-    if not ended:
-        return None
+        if all(q.isActive for q in queries):  # another query has ended: it would end every later wait at once
+            spark.streams.resetTerminated()
     first = next((q for q in ended if q.exception() is not None), ended[0])
     for q in queries:
         if q.isActive:

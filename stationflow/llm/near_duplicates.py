@@ -13,8 +13,10 @@
    again under ``keys`` combinations of ``grain`` retained values each; two sets
    of similarity 0.85 share none of these with a chance of 4e-6 if they are of
    one size, of 6e-4 if one holds the other.  A combination's documents are
-   compared with the first of them.  Those less similar to it than ``loose``
-   are compared among themselves in further rounds, with four times as many
+   compared with the first of them, the one whose long lists are longest: the
+   most central of a group of copies, which then comes first in most of the
+   group's combinations and is like all of them.  Those less similar to it than
+   ``loose`` are compared among themselves in further rounds, with four times as many
    first ones each time, until none is left; a list of copies costs one pair a
    document, one of unrelated documents all its pairs.  Pairs are filtered by
    the similarity that the union's sketch estimates.
@@ -146,14 +148,15 @@ def _unsigned(v):
 
 
 def _combinations(p: Params):
-    """(rid, sketch) -> (key, rid): per key, the retained values that come first under ``grain`` reorderings."""
+    """(rid, weight, sketch) -> (key, rid, weight): per key, the retained values that come first under ``grain`` reorderings."""
     rng = np.random.default_rng(11)
     odd = rng.integers(0, 1 << 63, p.keys * p.grain, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rids, keys = batch.column(0).to_numpy(), np.zeros((batch.num_rows, p.keys), np.uint64)
-            for row, sketch in zip(keys, batch.column(1), strict=True):
+            rids, weights = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            keys = np.zeros((batch.num_rows, p.keys), np.uint64)
+            for row, sketch in zip(keys, batch.column(2), strict=True):
                 values = sketch.values.to_numpy().view(np.uint64)
                 turned = values[None, :] * odd[:, None]
                 turned = (turned ^ (turned >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -164,8 +167,9 @@ def _combinations(p: Params):
                     row ^= row >> np.uint64(31)
                 row += np.arange(p.keys, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(rids, p.keys))], names=["key", "rid"]
-            )
+                [pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(rids, p.keys)), pa.array(np.repeat(weights, p.keys))],
+                names=["key", "rid", "weight"],
+            )
 
     return run
 
@@ -178,28 +182,35 @@ def _candidates(lists: DataFrame, sets: DataFrame, p: Params, scratch: Scratch)
     pairs = members.select(F.explode("m").alias("a"), "m").select(
         "a", F.explode(F.filter("m", lambda b: b > F.col("a"))).alias("b")
     )
-    crowd = sized.where(F.col("n") > p.short).select("rid").distinct()
-    listed = sets.select("rid", "sketch").join(crowd, "rid", "left_semi").mapInArrow(_combinations(p), "key long, rid long")
-    listed = scratch.table(listed, "combinations")
+    crowd = sized.where(F.col("n") > p.short).groupBy("rid").agg(F.sum("n").alias("weight"))
+    crowd = sets.select("rid", "sketch").join(crowd, "rid").select("rid", "weight", "sketch")
+    listed = scratch.table(crowd.mapInArrow(_combinations(p), "key long, rid long, weight long"), "combinations")
     near = _estimated(pairs.withColumn("least", F.lit(p.share)).distinct(), sets, p, scratch)
     return near.unionAll(_starred(listed, sets, p, scratch))
 
 
 def _starred(listed: DataFrame, sets: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
-    """Edges (a, b) within the combinations ``listed`` (key, rid); every document meets its like or all others."""
+    """Edges (a, b) within the combinations ``listed`` (key, rid); every document meets its like or all others.
+
+    A third column, ``weight``, says which documents come first; without it the
+    smallest ``rid`` does.
+    """
+    if "weight" not in listed.columns:
+        listed = listed.withColumn("weight", F.lit(0))
     near, rest, firsts, few = [], listed, 1, 0
     while True:
-        sizes = rest.groupBy("key").agg(F.min("rid").alias("least"), F.count("*").alias("n")).where("n > 1")
+        least = F.min_by("rid", F.struct(-F.col("weight"), "rid")).alias("least")
+        sizes = rest.groupBy("key").agg(least, F.count("*").alias("n")).where("n > 1")
         sizes = scratch.table(sizes, "sizes")
         found = sizes.agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).first()
         if not found["n"]:
             break
         few = few or found["n"]
         last = firsts > 1 and found["pairs"] <= few  # no more pairs are left than the first round had: all at once
-        # the smallest one, and others by their hash
+        # the least one, and others by their hash
         is_first = (F.col("rid") == F.col("least")) | (F.pmod(F.xxhash64("key", "rid"), F.col("n")) < firsts - 1)
         is_first = F.lit(True) if last else is_first
-        dealt = scratch.table(rest.join(sizes, "key").select("key", "rid", "least", is_first.alias("is_first")), "dealt")
+        dealt = scratch.table(rest.join(sizes, "key").select("key", "rid", "weight", "least", is_first.alias("is_first")), "dealt")
         if firsts == 1:  # the one first document came with the sizes
             met = dealt.where("NOT is_first").withColumnRenamed("least", "first")
         else:
@@ -212,7 +223,7 @@ def _starred(listed: DataFrame, sets: DataFrame, p: Params, scratch: Scratch) ->
         if last:
             break
         linked = met.where("NOT is_first").select("key", "rid", *pair).join(near[-1], ["a", "b"], "left_semi")
-        others = dealt.where("NOT is_first").select("key", "rid")
+        others = dealt.where("NOT is_first").select("key", "rid", "weight")
         rest = scratch.table(others.join(linked.select("key", "rid"), ["key", "rid"], "left_anti"), "rest")
         firsts *= 4
     return reduce(DataFrame.unionAll, near) if near else listed.select(F.col("key").alias("a"), F.col("rid").alias("b")).limit(0)

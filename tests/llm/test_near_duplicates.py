@@ -183,6 +183,29 @@ def test_the_first_round_of_a_crowd_makes_no_rows_beside_its_own(spark, monkeypa
     assert stored.count("met") == len(asked) - 1
 
 
+def test_copies_of_one_text_meet_few_documents_each(spark, monkeypatch):
+    from stationflow.llm import near_duplicates as nd
+
+    rng = random.Random(8)
+    base = words(rng, 200)
+    rows = []
+    for i in range(400):  # the least edited ones come late
+        copy = list(base)
+        for _ in range(max(0, 6 - i // 50)):
+            copy[rng.randrange(len(copy))] = "edit" + str(rng.randint(0, 400))
+        rows.append((i, " ".join(copy)))
+    asked, estimated = [], nd._estimated
+
+    def spy(pairs, *rest):
+        asked.append(pairs.count())
+        return estimated(pairs, *rest)
+
+    monkeypatch.setattr(nd, "_estimated", spy)
+    found = near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows)
+    assert sum(asked) <= 8 * len(rows)  # 6.2 each; with the smallest rid first 11.3
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(250)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]

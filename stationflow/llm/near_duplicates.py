@@ -185,15 +185,15 @@ def _candidates(lists: DataFrame, sets: DataFrame, p: Params, scratch: Scratch)
     crowd = sized.where(F.col("n") > p.short).groupBy("rid").agg(F.sum("n").alias("weight"))
     crowd = sets.select("rid", "sketch").join(crowd, "rid").select("rid", "weight", "sketch")
     listed = scratch.table(crowd.mapInArrow(_combinations(p), "key long, rid long, weight long"), "combinations")
-    near = _estimated(pairs.withColumn("least", F.lit(p.share)).distinct(), sets, p, scratch)
-    return near.unionAll(_starred(listed, sets, p, scratch))
+    return _starred(listed, sets, p, scratch, pairs.withColumn("least", F.lit(p.share)))
 
 
-def _starred(listed: DataFrame, sets: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
+def _starred(listed: DataFrame, sets: DataFrame, p: Params, scratch: Scratch, pairs: DataFrame | None = None) -> DataFrame:
     """Edges (a, b) within the combinations ``listed`` (key, rid); every document meets its like or all others.
 
     A third column, ``weight``, says which documents come first; without it the
-    smallest ``rid`` does.
+    smallest ``rid`` does.  ``pairs`` (a, b, least) of short lists are estimated
+    together with those of the first round, so that the sketches are joined once.
     """
     if "weight" not in listed.columns:
         listed = listed.withColumn("weight", F.lit(0))
@@ -218,17 +218,29 @@ def _starred(listed: DataFrame, sets: DataFrame, p: Params, scratch: Scratch) ->
             met = dealt.join(first, "key").where("rid <> first AND (NOT is_first OR first < rid)")
             met = scratch.table(met.select("key", "rid", "first", "is_first"), "met")
         pair = F.least("first", "rid").alias("a"), F.greatest("first", "rid").alias("b")
-        wanted = met.select(*pair).distinct().withColumn("least", F.lit(p.loose))
-        near.append(_estimated(wanted, sets, p, scratch))
+        wanted = met.select(*pair, F.lit(p.loose).alias("least"))
+        near.append(_estimated(_wanted(wanted if pairs is None else wanted.unionAll(pairs)), sets, p, scratch))
+        pairs = None
         if last:
             break
-        linked = met.where("NOT is_first").select("key", "rid", *pair).join(near[-1], ["a", "b"], "left_semi")
-        others = dealt.where("NOT is_first").select("key", "rid", "weight")
-        rest = scratch.table(others.join(linked.select("key", "rid"), ["key", "rid"], "left_anti"), "rest")
+        if firsts == 1:  # everyone met one document only
+            rest = met.select("key", "rid", "weight", *pair).join(near[-1], ["a", "b"], "left_anti").select("key", "rid", "weight")
+        else:
+            linked = met.where("NOT is_first").select("key", "rid", *pair).join(near[-1], ["a", "b"], "left_semi")
+            others = dealt.where("NOT is_first").select("key", "rid", "weight")
+            rest = others.join(linked.select("key", "rid"), ["key", "rid"], "left_anti")
+        rest = scratch.table(rest, "rest")
         firsts *= 4
+    if pairs is not None:
+        near.append(_estimated(_wanted(pairs), sets, p, scratch))
     return reduce(DataFrame.unionAll, near) if near else listed.select(F.col("key").alias("a"), F.col("rid").alias("b")).limit(0)
 
 
+def _wanted(pairs: DataFrame) -> DataFrame:
+    """Every pair once, with the least of its bounds."""
+    return pairs.groupBy("a", "b").agg(F.min("least").alias("least"))
+
+
 def _exact_links(sets: list[np.ndarray], threshold: int) -> np.ndarray:
     """Component numbers of bounded many sets under exact Jaccard links."""
     n = len(sets)
@@ -319,8 +331,9 @@ def _first_groups(placed: DataFrame, p: Params) -> DataFrame:
     """
     hubs = F.greatest(F.lit(1), F.least(F.lit(64), F.floor(p.block_bytes / F.greatest("mean", F.lit(1)))))
     chosen = placed.where("blocks > 1 AND bytes <= 2 * mean").where(F.pmod(F.xxhash64("rid", F.lit(1)), F.col("docs")) < hubs)
-    everywhere = chosen.select("cluster", "rid", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    return placed.select("cluster", "rid", "block").unionAll(everywhere).select(_group("cluster", "block"), "rid").distinct()
+    everywhere = chosen.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("to <> block")
+    everywhere = everywhere.select("cluster", "rid", F.col("to").alias("block"))
+    return placed.select("cluster", "rid", "block").unionAll(everywhere).select(_group("cluster", "block"), "rid")
 
 
 def _second_groups(apart: DataFrame, large: DataFrame, p: Params) -> DataFrame:
@@ -339,14 +352,13 @@ def _second_groups(apart: DataFrame, large: DataFrame, p: Params) -> DataFrame:
 
 
 def _verified(clusters: DataFrame, texts: DataFrame, p: Params, scratch: Scratch) -> DataFrame:
-    """Edges (a, b) that hold the components of the exact link graph; ``clusters``: (cluster, rid, bytes)."""
+    """(node, root): components of the exact link graph; ``clusters``: (cluster, rid, bytes)."""
     placed = scratch.table(_placed(clusters, p), "blocks")
     large = placed.where("blocks > 1")
-    edges = scratch.table(_solve(_first_groups(placed, p), texts, p), "links")
+    label = connected_components(_solve(_first_groups(placed, p), texts, p), scratch)
     if large.isEmpty():
-        return edges
+        return label
 
-    label = connected_components(edges, scratch)
     rooted = large.join(label, F.col("rid") == F.col("node"), "left").select(
         "cluster", "rid", "bytes", "blocks", F.coalesce("root", "rid").alias("root")
     )
@@ -355,8 +367,9 @@ def _verified(clusters: DataFrame, texts: DataFrame, p: Params, scratch: Scratch
     apart = rooted.join(main, "cluster").where("root <> main").select("cluster", "rid", "bytes", "blocks")
     apart = scratch.table(apart, "apart")
     if apart.isEmpty():
-        return edges
-    return edges.unionAll(_solve(_second_groups(apart, large, p), texts, p))
+        return label
+    known = label.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return connected_components(known.unionAll(_solve(_second_groups(apart, large, p), texts, p)), scratch)
 
 
 def near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:
@@ -405,8 +418,7 @@ def near_duplicates(docs: DataFrame, params: Params | None = None) -> DataFrame:
     wanted = clusters.select("rid", F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")
     source = keyed.select(F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash", F.col("text").cast("binary").alias("text"))
     texts = source.join(bounded_broadcast(wanted, 32), ["id", "text_hash"]).select("rid", "text")
-    links = _verified(clusters.select("cluster", "rid", "bytes"), texts, p, scratch)
-    root = connected_components(links, scratch)
+    root = _verified(clusters.select("cluster", "rid", "bytes"), texts, p, scratch)
 
     rooted = features.select("rid", "doc_id", "text_hash", "n_shingles").join(classes, "rid", "left")
     rooted = rooted.join(root, F.col("first") == F.col("node"), "left").select(

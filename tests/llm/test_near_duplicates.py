@@ -226,3 +226,49 @@ def test_no_cross_join_or_python_udf_in_the_result(spark):
     docs = spark.createDataFrame(corpus(3, group=20), SCHEMA).withColumn("lang", F.lit("en"))
     plan = near_duplicates(docs)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_components_end_without_a_round_that_changes_nothing(spark, monkeypatch):
+    stored, table = [], Scratch.table
+
+    def kept(self, df, name):
+        stored.append(name)
+        return table(self, df, name)
+
+    monkeypatch.setattr(Scratch, "table", kept)
+    stars = [(i, i % 7) for i in range(7, 60)] + [(8, 1), (3, 3), (None, 2), (9, None)]  # one edge twice
+    root = connected_components(spark.createDataFrame(stars, "a long, b long"), Scratch(spark, "test"))
+    assert sorted((r.node, r.root) for r in root.collect()) == [(i, i % 7) for i in range(7, 60)]
+    assert stored == ["stars", "least"]
+    chain = [(i, i + 1) for i in range(40)]
+    root = connected_components(spark.createDataFrame(chain, "a long, b long"), Scratch(spark, "test"))
+    assert sorted((r.node, r.root) for r in root.collect()) == [(i, 0) for i in range(1, 41)]
+    none = spark.createDataFrame([], "a long, b long")
+    assert connected_components(none, Scratch(spark, "test")).count() == 0
+
+
+def test_pairs_of_short_lists_and_of_crowds_are_estimated_together(spark, monkeypatch):
+    from stationflow.llm import near_duplicates as nd
+
+    asked, estimated = [], nd._estimated
+
+    def spy(pairs, *rest):
+        asked.append({(r.a, r.b): r.least for r in pairs.collect()})
+        return estimated(pairs, *rest)
+
+    monkeypatch.setattr(nd, "_estimated", spy)
+    rng = random.Random(9)
+    draw = lambda n: sorted((rng.getrandbits(63) for _ in range(n)), key=lambda x: x % (1 << 64))
+    base, other = draw(64), draw(64)
+    p = Params()
+    # as many values in common as pass in a crowd, but not in a short list
+    half = sorted(base[:40] + draw(24), key=lambda x: x % (1 << 64))
+    sketches = [base, base, half, other, other, base[:42] + sorted(set(draw(22)))]
+    sets = spark.createDataFrame([(i, sorted(s, key=lambda x: x % (1 << 64))) for i, s in enumerate(sketches)], "rid long, sketch array<long>")
+    listed = spark.createDataFrame([(5, 0), (5, 1), (5, 2)], "key long, rid long")
+    short = spark.createDataFrame([(0, 1, p.share), (0, 2, p.share), (3, 4, p.share), (3, 4, p.share), (3, 5, p.share)], "a long, b long, least double")
+    edges = [(r.a, r.b) for r in nd._starred(listed, sets, p, Scratch(spark, "test"), short).collect()]
+    assert (0, 1) in edges and (3, 4) in edges and (3, 5) not in edges and len(edges) == len(set(edges))
+    assert asked[0] == {(0, 1): p.loose, (0, 2): p.loose, (3, 4): p.share, (3, 5): p.share}  # a crowd's bound is the lower
+    alone = nd._starred(listed.limit(0), sets, p, Scratch(spark, "test"), short).collect()
+    assert {(r.a, r.b) for r in alone} >= {(0, 1), (3, 4)} and asked[-1][(0, 2)] == p.share
